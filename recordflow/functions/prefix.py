@@ -78,7 +78,7 @@ def running(
     ``lasts``     last value that is not null, up to and including the row
     ``previous``  value of the row before, null on the first row
 
-    ``keys + order`` must tell any two rows apart.
+    ``keys + order`` must tell any two rows apart. A column of the same name is replaced.
     """
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
     sort_columns = [*keys, *order]
@@ -130,7 +130,8 @@ def running(
         **{n: F.when(first_row, F.col(f"_carry.{n}")).otherwise(F.lag(f"_in_{n}").over(rows))
            for n in previous},
     }
-    return ranged.select(*df.columns, *[value.alias(n) for n, value in values.items()])
+    kept = [c for c in df.columns if c not in values]
+    return ranged.select(*kept, *[value.alias(n) for n, value in values.items()])
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow.functions.prefix import ROWS_PER_RANGE, positions
@@ -80,14 +80,19 @@ def resume_from_offset(source: DataFrame, write_count: DataFrame,
     )
 
 
-def headers_after(headers: DataFrame, last_identifier: str, order: Sequence[str]) -> DataFrame:
-    """Headers listed after ``last_identifier``; fails when it was never listed."""
+def headers_after(headers: DataFrame, last_identifier: str | Column,
+                  order: Sequence[str]) -> DataFrame:
+    """Headers listed after ``last_identifier``; fails when it was never listed.
+
+    ``last_identifier`` may be a scalar subquery on the iteration state.
+    """
+    wanted = last_identifier if isinstance(last_identifier, Column) else F.lit(last_identifier)
     place = F.struct(*order)
     last = (
-        headers.where(F.col("identifier") == last_identifier)
+        headers.where(F.col("identifier") == wanted)
         .agg(F.max(place).alias("place"))
         .select(F.when(F.col("place").isNull(), F.raise_error(
-            F.lit(f"last identifier not in the listing: {last_identifier}")))
+            F.concat(F.lit("last identifier not in the listing: "), wanted)))
             .otherwise(F.col("place")).alias("place"))
         .scalar()
     )

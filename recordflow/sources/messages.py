@@ -23,9 +23,11 @@ def topic_messages(spark: SparkSession, servers: str, topics: list[str],
         .load())
 
 
-def decode_messages(frame: DataFrame) -> DataFrame:
+def decode_messages(frame: DataFrame, *keep: str) -> DataFrame:
     """The ``value`` column, JSON as text or bytes, to (task_id, record_id, marked_as_deleted)."""
-    return frame.select(F.from_json(F.col("value").cast("string"), MESSAGE).alias("m")).select(
+    message = F.from_json(F.col("value").cast("string"), MESSAGE)
+    return frame.select(*keep, message.alias("m")).select(
+        *keep,
         F.col("m.taskId").alias("task_id"),
         F.col("m.recordId").alias("record_id"),
         F.coalesce("m.markedAsDeleted", F.lit(False)).alias("marked_as_deleted"),
