@@ -4,6 +4,8 @@
 one job, parted by ``outcome``, so no crash can leave one without the other and the
 result is computed once.
 
+``ProgressLog`` holds the commits of tasks; nothing is ever read and changed.
+
 ``ChangeTable`` holds keyed state as a log of versions. A version is one folder, written
 as a whole; writing it again replaces it, so a repeated batch changes nothing.
 """
@@ -14,7 +16,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +73,10 @@ class ResultTable:
         return self._rows(execution_id, dataset_id).where(
             F.col("outcome") == ERROR).select(*schema.ERROR_COLUMNS)
 
+    def written(self, execution_id: str) -> int:
+        """Rows of one execution, good and bad; counted from file footers."""
+        return self._rows(execution_id).count()
+
     def insert(self, results: DataFrame, execution_id: str, balance: bool = True) -> None:
         """Adds the step results of one execution; keys that are there stay as they are.
 
@@ -91,6 +97,58 @@ class ResultTable:
         fresh.write.mode("append").partitionBy(*self.PARTITIONS).parquet(self.path)
 
 
+class ProgressLog:
+    """One small file per commit; the state of a task is a sum over its commits.
+
+    Commit 0 registers the task and counts for nothing. Writing a commit again replaces it.
+    """
+
+    COLUMNS = T.StructType([
+        T.StructField("written", T.LongType()),
+        T.StructField("task_id", T.LongType()),
+        T.StructField("commit_id", T.LongType()),
+    ])
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _write(self, task_id: int, commit_id: int, written: int) -> None:
+        self.spark.range(1).select(F.lit(written).cast("bigint").alias("written")).coalesce(
+            1).write.mode("overwrite").parquet(
+            f"{self.path}/task_id={task_id}/commit_id={commit_id}")
+
+    def _task(self, task_id: int) -> DataFrame:
+        return _read_or_empty(
+            self.spark, f"{self.path}/task_id={task_id}", self.COLUMNS, basePath=self.path)
+
+    def find(self, task_id: int) -> tuple[int, int] | None:
+        """(commits, written) of a task, or None."""
+        row = self._task(task_id).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("written").alias("written")).first()
+        return (row["rows"] - 1, row["written"]) if row["rows"] else None
+
+    def register(self, task_id: int) -> int:
+        """Registers the task if it is absent and gives its id back."""
+        if self.find(task_id) is None:
+            self._write(task_id, 0, 0)
+        return task_id
+
+    def add(self, task_id: int, commit_id: int, written: int) -> None:
+        """Adds a commit, numbered from 1."""
+        self._write(task_id, commit_id, written)
+
+    def set_written(self, task_id: int, total: int) -> None:
+        """Adds the commit that brings the task to ``total`` rows."""
+        commits, written = self.find(task_id) or (0, 0)
+        self.add(task_id, commits + 1, total - written)
+
+    def state(self) -> DataFrame:
+        """(task_id, commit_count, write_count) of every task."""
+        return _read_or_empty(self.spark, self.path, self.COLUMNS).groupBy("task_id").agg(
+            F.count_if(F.col("commit_id") > 0).alias("commit_count"),
+            F.sum("written").alias("write_count"))
+
+
 class ChangeTable:
     """Keyed state: append versions, read the latest row per key."""
 
@@ -108,9 +166,10 @@ class ChangeTable:
     def _version_path(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
-    def write(self, rows: DataFrame, version: int, removed: bool = False) -> None:
+    def write(self, rows: DataFrame, version: int, removed: bool | Column = False) -> None:
         """Writes ``rows`` (one per key) as ``version``; a repeat replaces the version."""
-        rows.select(*self.names).withColumn("removed", F.lit(removed)).write.mode(
+        flag = removed if isinstance(removed, Column) else F.lit(removed)
+        rows.select(*self.names, flag.alias("removed")).write.mode(
             "overwrite").parquet(self._version_path(version))
 
     def versions(self) -> DataFrame:
