@@ -1,0 +1,191 @@
+"""Streams over the given tables; each must give what the batch form gives.
+
+Rows are landed in three parts, in time order, and the query is started again after each
+part, so every check also goes on from a checkpoint.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from recordflow import schema
+from recordflow.checks.fragments import ITEMS, MESSAGE_PARTS, TASK_PARAMS, VALIDATED
+from recordflow.checks.progress import FLAGS, PROCESSED, RUNNING, _sums, counter_flags
+from recordflow.checks.registry import query
+from recordflow.checks.rules import external_rules
+from recordflow.checks.store import RANGE
+from recordflow.operators import validate
+from recordflow.plans import bindings, message_job
+from recordflow.plans.steps import Step
+from recordflow.session import new_work_folder
+from recordflow.sinks.tables import ProgressLog, ResultTable
+from recordflow.sources.messages import decode_messages
+from recordflow.streaming import notifications, records, statistics, tasks
+from recordflow.streaming.settings import finish, landed_stream
+
+SECONDS = 1800
+
+
+def land_in_parts(rows: DataFrame, by: str, folder: str) -> Sequence[Callable[[], None]]:
+    """Three writers that together land all rows, in the order of the number ``by``."""
+    first, second = rows.agg(F.percentile_approx(by, [0.33, 0.66])).first()[0]
+    parts = (F.col(by) <= first, (F.col(by) > first) & (F.col(by) <= second), F.col(by) > second)
+    return [lambda part=part: rows.where(part).write.mode("append").parquet(folder)
+            for part in parts]
+
+
+def run_in_parts(rows: DataFrame, by: str, folder: str, start: Callable) -> None:
+    """Lands each part and runs ``start(stream)`` to its end after it."""
+    for land in land_in_parts(rows, by, folder):
+        land()
+        finish(start(landed_stream(rows.sparkSession, folder, rows.schema)), SECONDS)
+
+
+@query("stream_task_stats", f"""
+SELECT task_id, count_if(status = 'STOP') AS failed, count_if(status <> 'STOP') AS succeeded
+FROM ({ITEMS}) GROUP BY 1""")
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-statistics")
+    run_in_parts(
+        bindings.notification_events(tables), "event_id", f"{work}/landed",
+        lambda rows: statistics.start_statistics(
+            statistics.task_statistics(rows, F.col("status")), f"{work}/statistics",
+            f"{work}/checkpoint"))
+    return tables.spark.read.parquet(f"{work}/statistics").groupBy("task_id").agg(
+        F.max("failed").alias("failed"), F.max("succeeded").alias("succeeded"))
+
+
+@query("stream_notification_running", f"""
+SELECT *, {PROCESSED} AS resource_num
+FROM (SELECT task_id, event_id, {_sums(RUNNING)} FROM ({FLAGS}))""")
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-notifications")
+    counters = notifications.counter_state(tables.spark, f"{work}/counters")
+    run_in_parts(
+        bindings.notification_events(tables), "event_id", f"{work}/landed",
+        lambda rows: notifications.start_notifications(
+            rows, counter_flags(), ["ts", "event_id"], counters, f"{work}/notifications",
+            f"{work}/checkpoint", rows_per_range=RANGE))
+    return tables.spark.read.parquet(f"{work}/notifications").select(
+        "task_id", "event_id", *notifications.COUNTERS, "resource_num")
+
+
+@query("stream_notification_totals", f"""
+SELECT *, {PROCESSED} AS processed
+FROM (SELECT task_id, {_sums('')} FROM ({FLAGS}) GROUP BY 1)""")
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-totals")
+
+    def start(rows):
+        def write(batch, batch_id):
+            batch.write.mode("overwrite").parquet(f"{work}/totals/batch_id={batch_id}")
+
+        totals = notifications.running_totals(rows, counter_flags())
+        return notifications.start(
+            totals.writeStream.outputMode("update").foreachBatch(write), f"{work}/checkpoint")
+
+    run_in_parts(bindings.notification_events(tables), "event_id", f"{work}/landed", start)
+    written = tables.spark.read.parquet(f"{work}/totals")
+    names = [*notifications.COUNTERS, "processed"]
+    return written.groupBy("task_id").agg(*[F.max(n).alias(n) for n in names])
+
+
+@query("stream_record_step", VALIDATED)
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-step")
+    results = ResultTable(tables.spark, work)
+    progress = ProgressLog(tables.spark, f"{work}/progress")
+    step = Step(schema.VALIDATION_EXTERNAL, lambda rows, execution_id: validate.validate(
+        rows, schema.VALIDATION_EXTERNAL, external_rules(), execution_id))
+    rows = bindings.document_records(tables, "lang", "doc_id")
+    run_in_parts(rows, "doc_id", f"{work}/landed", lambda landed: records.start_step(
+        landed, step, "E1", results, progress, 1, f"{work}/checkpoint"))
+    none = F.lit(None).cast("string")
+    return bindings.union(
+        results.records("E1").withColumn("exception", none),
+        results.errors("E1").select("*", F.lit("").alias("record_data")))
+
+
+@query("stream_cancelled_tasks", """
+WITH line AS (SELECT *, CAST(user_id AS VARCHAR) AS task_id FROM events
+              WHERE event_type NOT IN ('error', 'view'))
+SELECT task_id, event_type AS task_name, 'file' || event_id AS file_url
+FROM line WHERE user_id NOT IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 70)""")
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-tasks")
+    spark = tables.spark
+    cancelled = tasks.cancelled_tasks(spark, f"{work}/cancelled")
+    tables.events.groupBy("user_id").count().where("count > 70").select(
+        F.col("user_id").cast("string").alias("value")).write.text(f"{work}/cancellations")
+    finish(tasks.start_cancellations(
+        spark.readStream.text(f"{work}/cancellations"), cancelled, f"{work}/checkpoint-cancel"),
+        SECONDS)
+    bindings.task_lines(tables).write.text(f"{work}/lines")
+    files = tables.events.select(
+        F.concat(F.lit("file"), F.col("event_id").cast("string")).alias("file_url"),
+        F.col("props").alias("content"))
+    finish(tasks.start_tasks(
+        spark.readStream.text(f"{work}/lines"), lambda: files,
+        lambda rows: rows.withColumn("status", F.lit("CONTINUE")), cancelled, f"{work}/tasks",
+        f"{work}/checkpoint-tasks"), SECONDS)
+    return spark.read.parquet(f"{work}/tasks").where("exception is null").select(
+        "task_id", "task_name", "file_url")
+
+
+MESSAGE_RESULT = f"""
+SELECT event_id, task_id, record_id AS resource, marked_as_deleted,
+       CASE WHEN failed IS NULL AND NOT marked_as_deleted THEN new_url END AS result_resource,
+       CASE WHEN failed IS NULL THEN
+         CASE WHEN marked_as_deleted THEN record_id ELSE new_url END END AS revision_resource,
+       coalesce(failed, '') AS info_text,
+       CASE WHEN failed IS NULL THEN 'SUCCESS' ELSE 'ERROR' END AS state,
+       CASE WHEN failed IS NULL AND NOT marked_as_deleted THEN hex(encode(event_type)) END
+         AS file_content
+FROM (
+  SELECT m.*, representation_name AS event_type,
+         CASE WHEN provider_id IS NULL THEN 'no parameters for task ' || m.task_id
+              WHEN NOT marked_as_deleted AND representation_name = 'error' THEN 'no file' END
+           AS failed,
+         'http://repository.test/records/' || cloud_id || '/representations/'
+           || new_representation_name || '/versions/'
+           || sha256(sent_micros || '|' || record_id) AS new_url
+  FROM ({MESSAGE_PARTS}) m LEFT JOIN ({TASK_PARAMS}) p ON p.task_id = m.task_id)"""
+
+
+def _message_inputs(tables, decoded: DataFrame) -> message_job.Inputs:
+    kind = F.regexp_extract("record_id", "/representations/([^/]+)", 1)
+    content = decoded.select(
+        F.col("record_id").alias("resource_url"),
+        F.encode(F.concat(F.lit("  "), kind, F.lit(" \n"), kind), "UTF-8").alias("file_content"),
+    ).where(kind != "error")
+    return message_job.Inputs(bindings.task_params(tables), content, "http://repository.test")
+
+
+MESSAGE_COLUMNS = ["event_id", "task_id", "resource", "marked_as_deleted", "result_resource",
+                   "revision_resource", "info_text", "state", "file_content"]
+
+
+@query("message_job", MESSAGE_RESULT)
+def _(tables):
+    decoded = decode_messages(bindings.raw_messages(tables), "event_id")
+    return message_job.process(decoded, _message_inputs(tables, decoded), "event_id").select(
+        *MESSAGE_COLUMNS).withColumn("file_content", F.hex("file_content"))
+
+
+@query("stream_message_job", f"""
+SELECT * EXCLUDE (ok), count_if(ok) OVER (PARTITION BY task_id ORDER BY event_id
+                                          ROWS UNBOUNDED PRECEDING) AS resource_num
+FROM (SELECT *, state = 'SUCCESS' AS ok FROM ({MESSAGE_RESULT}))""")
+def _(tables):
+    work = new_work_folder(tables.spark, "stream-messages")
+    raw = bindings.raw_messages(tables).select("event_id", "value")
+    inputs = _message_inputs(tables, decode_messages(raw))
+    counters = notifications.counter_state(tables.spark, f"{work}/counters")
+    run_in_parts(raw, "event_id", f"{work}/landed", lambda rows: message_job.start_messages(
+        decode_messages(rows, "event_id"), inputs, ["event_id"], counters,
+        f"{work}/notifications", f"{work}/checkpoint", rows_per_range=RANGE))
+    return tables.spark.read.parquet(f"{work}/notifications").select(
+        *MESSAGE_COLUMNS, "resource_num").withColumn("file_content", F.hex("file_content"))

@@ -56,7 +56,7 @@ class Workflow:
         run's ``execution_id`` and ``task_id``.
         """
         execution_id = execution_id or params.new_execution_id()
-        task_id = self.progress.register(params.new_task_id() if task_id is None else task_id)
+        task_id = self.progress.register(task_id)
         source = None if source_id is None else self.results.records(source_id)
         if resume and source is not None:
             source = resume_pending(source, self.results.records(execution_id),

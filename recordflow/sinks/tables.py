@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from recordflow import schema
 from recordflow.functions.keyed import latest_per_key
+from recordflow.params import new_task_id
 from recordflow.sinks.first_wins import rows_to_insert
 
 RECORD, ERROR = "record", "error"
@@ -127,10 +128,16 @@ class ProgressLog:
             F.count(F.lit(1)).alias("rows"), F.sum("written").alias("written")).first()
         return (row["rows"] - 1, row["written"]) if row["rows"] else None
 
-    def register(self, task_id: int) -> int:
-        """Registers the task if it is absent and gives its id back."""
-        if self.find(task_id) is None:
-            self._write(task_id, 0, 0)
+    def register(self, task_id: int | None = None) -> int:
+        """Registers the task if it is absent; without an id, a new task.
+
+        Gives the id back.
+        """
+        if task_id is None:
+            task_id = new_task_id()
+        elif self.find(task_id) is not None:
+            return task_id
+        self._write(task_id, 0, 0)
         return task_id
 
     def add(self, task_id: int, commit_id: int, written: int) -> None:
@@ -150,7 +157,11 @@ class ProgressLog:
 
 
 class ChangeTable:
-    """Keyed state: append versions, read the latest row per key."""
+    """Keyed state: append versions, read the latest row per key.
+
+    ``compact`` folds the versions so far into a base; from then on only later versions
+    are merged with it. Versions are never deleted, so any of them can be written again.
+    """
 
     def __init__(self, spark: SparkSession, path: str, columns: T.StructType,
                  keys: Sequence[str]):
@@ -162,18 +173,22 @@ class ChangeTable:
             T.StructField("removed", T.BooleanType()),
             T.StructField("version", T.LongType()),
         ])
-
-    def _version_path(self, version: int) -> str:
-        return f"{self.path}/version={version}"
+        self.base_columns = T.StructType([*columns.fields, T.StructField("upto", T.LongType())])
 
     def write(self, rows: DataFrame, version: int, removed: bool | Column = False) -> None:
         """Writes ``rows`` (one per key) as ``version``; a repeat replaces the version."""
         flag = removed if isinstance(removed, Column) else F.lit(removed)
-        rows.select(*self.names, flag.alias("removed")).write.mode(
-            "overwrite").parquet(self._version_path(version))
+        rows.select(*self.names, flag.alias("removed")).write.mode("overwrite").parquet(
+            f"{self.path}/changes/version={version}")
+
+    def _bases(self) -> DataFrame:
+        return _read_or_empty(self.spark, f"{self.path}/base", self.base_columns)
 
-    def versions(self) -> DataFrame:
-        return _read_or_empty(self.spark, self.path, self.columns)
+    def _base_version(self, before: int | None) -> int | None:
+        bases = self._bases()
+        if before is not None:
+            bases = bases.where(F.col("upto") < before)
+        return bases.agg(F.max("upto")).first()[0]
 
     def state(self, before: int | None = None) -> DataFrame:
         """The latest row of each key, removed keys left out.
@@ -181,15 +196,18 @@ class ChangeTable:
         ``before`` leaves out that version and later ones, which is how a repeated
         batch sees the state it saw the first time.
         """
-        rows = self.versions()
+        rows = _read_or_empty(self.spark, f"{self.path}/changes", self.columns)
         if before is not None:
             rows = rows.where(F.col("version") < before)
+        upto = self._base_version(before)
+        if upto is not None:
+            base = self._bases().where(F.col("upto") == upto).select(
+                *self.names, F.lit(False).alias("removed"), F.col("upto").alias("version"))
+            rows = rows.where(F.col("version") > upto).unionByName(base)
         latest = latest_per_key(rows, self.keys, ["version"])
         return latest.where(~F.col("removed")).select(*self.names)
 
-    def compacted(self, path: str) -> ChangeTable:
-        """The state as a new table with one version, to read from then on."""
-        fresh = ChangeTable(self.spark, path, T.StructType(
-            [f for f in self.columns.fields if f.name in self.names]), self.keys)
-        fresh.write(self.state(), 0)
-        return fresh
+    def compact(self, upto: int) -> None:
+        """Folds all versions up to ``upto`` into a new base."""
+        self.state(before=upto + 1).write.mode("overwrite").parquet(
+            f"{self.path}/base/upto={upto}")
