@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -12,6 +14,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from recordflow.operators.progress import statistics_flags
 from recordflow.streaming.settings import start, state_settings
 
+# The state class is sent to Python workers with its code, as they may lack this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: statistics that were not written for five minutes are forgotten.
 TIME_TO_LIVE_MS = 300_000
 
