@@ -6,7 +6,7 @@ ranges of about ``rows_per_range`` rows by their (keys, order) value. The window
 then runs per (range, keys), and what earlier ranges of the same group add up to
 is carried in. Ranges follow the sort order, so at most one group continues into
 any range: the carried table has no more rows than there are ranges
-(``MAX_RANGES``), however large the data is.
+(about ``MAX_RANGES``), however large the data is.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 2048
+MAX_RANGES = 2048  # a power of two
 _SAMPLES_PER_RANGE = 16
-_COARSE_STEP = 46  # about the square root of MAX_RANGES: two short searches, not one long
 
 
 def _range_bounds(df: DataFrame, sort_columns: Sequence[str], rows_per_range: int) -> Column:
@@ -37,28 +36,30 @@ def _range_bounds(df: DataFrame, sort_columns: Sequence[str], rows_per_range: in
         .where(F.pmod(F.xxhash64("k"), one_in) == 0)
         .agg(F.array_sort(F.collect_set("k")).alias("k"))
         .select(F.filter(
-            "k", lambda _, i: i % _SAMPLES_PER_RANGE == _SAMPLES_PER_RANGE - 1).alias("fine"))
-        .select(F.struct(
-            "fine",
-            F.filter("fine", lambda _, i: i % _COARSE_STEP == 0).alias("coarse"),
-        ).alias("bounds"))
+            "k", lambda _, i: i % _SAMPLES_PER_RANGE == _SAMPLES_PER_RANGE - 1).alias("bounds"))
         .scalar()
     )
 
 
+def _bounds_up_to(bounds: str, key: Column) -> Column:
+    """How many of the sorted ``bounds`` are at most ``key``, by binary search."""
+    steps = F.array(*[F.lit(MAX_RANGES >> i) for i in range(MAX_RANGES.bit_length())])
+
+    def search(value: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda low, step: low + F.when(
+            F.get(F.col(bounds), low + step - 1) <= value, step).otherwise(0))
+
+    # The key goes in as an array item, so that it is put together once per row.
+    return F.transform(F.array(key), search)[0]
+
+
 def with_range(df: DataFrame, sort_columns: Sequence[str],
                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Adds ``_range``, rising with ``sort_columns``."""
-    key = F.struct(*sort_columns)
-    step = F.lit(_COARSE_STEP)
-    first = (F.col("_coarse") - 1) * step
     return (
         df.withColumn("_bounds", _range_bounds(df, sort_columns, rows_per_range))
-        .withColumn("_coarse", F.size(F.filter("_bounds.coarse", lambda b: b <= key)))
-        .withColumn("_range", F.when(F.col("_coarse") == 0, F.lit(0)).otherwise(
-            first + F.size(F.filter(
-                F.slice("_bounds.fine", first + 1, step), lambda b: b <= key))))
-        .drop("_bounds", "_coarse")
+        .withColumn("_range", _bounds_up_to("_bounds", F.struct(*sort_columns)))
+        .drop("_bounds")
     )
 
 
