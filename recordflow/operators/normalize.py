@@ -19,10 +19,10 @@ def normalized_statements(record_data: Column) -> Column:
 
 def normalize(records: DataFrame, execution_id: str) -> DataFrame:
     """Records of plain lines, cleaned; a record with nothing left is an error."""
-    cleaned = normalized_statements(F.col("record_data"))
+    cleaned = records.withColumn("_clean", normalized_statements(F.col("record_data")))
     return step_result(
-        records, execution_id, schema.NORMALIZATION, cleaned,
-        F.when(cleaned.isNull(), F.lit(NOTHING_LEFT)))
+        cleaned, execution_id, schema.NORMALIZATION, F.col("_clean"),
+        F.when(F.col("_clean").isNull(), F.lit(NOTHING_LEFT)))
 
 
 def clean_values(values: Column) -> Column:

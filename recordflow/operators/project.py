@@ -51,13 +51,17 @@ def step_result(records: DataFrame, execution_id: str, execution_name: str,
 
     A failed record has empty data and the exception's text.
     """
-    failure = F.lit(None).cast("string") if exception is None else exception
-    return records.select(
+    # Both are computed in a projection of their own, so that neither runs twice.
+    computed = records.select(
+        "dataset_id", "record_id", record_data.alias("_data"),
+        (F.lit(None).cast("string") if exception is None else exception).alias("_failure"))
+    failure = F.col("_failure")
+    return computed.select(
         "dataset_id",
         F.lit(execution_id).alias("execution_id"),
         F.lit(execution_name).alias("execution_name"),
         "record_id",
-        F.when(failure.isNull(), record_data).otherwise(F.lit("")).alias("record_data"),
+        F.when(failure.isNull(), F.col("_data")).otherwise(F.lit("")).alias("record_data"),
         failure.alias("exception"),
     )
 

@@ -38,8 +38,9 @@ def process(messages: DataFrame, inputs: Inputs, *keep: str) -> DataFrame:
     """
     known = project.url_parts(harvest.task_params_join(messages, inputs.params)).withColumn(
         "resource_url", F.col("record_id"))
-    retrieved = harvest.retrieve_file(known, inputs.content)
-    cleaned = normalize.normalized_statements(text.utf8_text(F.col("file_content")))
+    retrieved = harvest.retrieve_file(known, inputs.content).withColumn(
+        "_clean", normalize.normalized_statements(text.utf8_text(F.col("file_content"))))
+    cleaned = F.col("_clean")
     deleted = F.col("marked_as_deleted")
     normalized = retrieved.withColumns({
         "exception": F.coalesce(
