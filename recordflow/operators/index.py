@@ -44,8 +44,13 @@ def index_step(records: DataFrame, tier: Column, target: str, execution_id: str)
 
 
 def index_upsert(index: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The serving table after new rows replaced old ones; ``version`` orders them."""
-    return latest_per_key(index.unionByName(incoming), ["record_id"], ["version"])
+    """The serving table after incoming rows replaced old ones.
+
+    Of several incoming rows of one record, the highest ``version`` counts. Old rows are
+    not grouped, only those that are replaced are taken out.
+    """
+    latest = latest_per_key(incoming, ["record_id"], ["version"])
+    return index_remove(index, latest).select(*index.columns).unionByName(latest)
 
 
 def index_remove(index: DataFrame, refused: DataFrame) -> DataFrame:

@@ -18,8 +18,11 @@ from recordflow.plans import record_xml
 
 @dataclass(frozen=True)
 class Step:
+    """``shuffles`` tells that the results no longer lie as the records were read."""
+
     name: str
     run: Callable[[DataFrame, str], DataFrame]
+    shuffles: bool = False
 
 
 def harvest_step(headers: DataFrame, content: DataFrame, dataset_id: Column,
@@ -29,7 +32,7 @@ def harvest_step(headers: DataFrame, content: DataFrame, dataset_id: Column,
         fetched = harvest.harvest_content(harvest.not_deleted(headers), content)
         return harvest.assign_id(fetched, dataset_id, local_id, execution_id)
 
-    return Step(schema.HARVEST, run)
+    return Step(schema.HARVEST, run, shuffles=True)
 
 
 def external_validation(rules: Mapping[str, Column]) -> Step:
@@ -77,7 +80,7 @@ def enrichment(entities: DataFrame, reference: Callable[[Column], Column],
             enrich.labels_before_end(F.col("record_data"), F.col("labels")),
             execution_id, tolerate)
 
-    return Step(schema.ENRICHMENT, run)
+    return Step(schema.ENRICHMENT, run, shuffles=True)
 
 
 def media_step(metadata: DataFrame) -> Step:
@@ -92,7 +95,7 @@ def media_step(metadata: DataFrame) -> Step:
             record_xml.build(resource=facts, mainThumbnail=has_main.cast("string")),
             execution_id)
 
-    return Step(schema.MEDIA, run)
+    return Step(schema.MEDIA, run, shuffles=True)
 
 
 def record_tier() -> Column:

@@ -48,11 +48,11 @@ class Workflow:
         self.progress = ProgressLog(spark, f"{self.root}/progress")
 
     def run_step(self, step: Step, source_id: str | None, execution_id: str | None = None,
-                 task_id: int | None = None, resume: bool = False,
-                 balance: bool = True) -> Execution:
+                 task_id: int | None = None, resume: bool = False) -> Execution:
         """Runs one step and adds its commit to the task's progress.
 
-        With ``resume`` only records without a result are processed; give the interrupted
+        A step gives one row per source record, and stored records are unique, so only a
+        harvest can bring repeats. With ``resume`` only records without a result are processed; give the interrupted
         run's ``execution_id`` and ``task_id``.
         """
         execution_id = execution_id or params.new_execution_id()
@@ -64,7 +64,8 @@ class Workflow:
         self.spark.sparkContext.setJobDescription(
             params.run_label(step.name, "all", execution_id))
         try:
-            self.results.insert(step.run(source, execution_id), execution_id, balance)
+            self.results.insert(step.run(source, execution_id), execution_id,
+                                balance=step.shuffles, unique=source is not None)
             self.progress.set_written(task_id, self.results.written(execution_id))
         except Exception:
             LOG.exception("step %s failed, execution %s", step.name, execution_id)
@@ -87,8 +88,9 @@ class Workflow:
         """Progress per dataset and execution."""
         sources = {e.execution_id: e.source_id for e in executions if e.source_id}
         mine = F.col("execution_id").isin(*[e.execution_id for e in executions])
+        read = F.col("execution_id").isin(*sources.values())
         return progress_report(
-            self.results.records(), self.results.records().where(mine),
+            self.results.records().where(read), self.results.records().where(mine),
             self.results.errors().where(mine), sources)
 
     def serving(self, target: str) -> ChangeTable:

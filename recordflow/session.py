@@ -18,6 +18,24 @@ SETTINGS = {
 }
 
 
+SHUFFLE_BYTES = 256 << 20
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition counts for a job that shuffles about ``input_bytes``.
+
+    Spark's default of 200 partitions would make each one 500 GB for 100 TB. Partitions
+    start small enough for a task's memory; adaptive execution joins those that turn out
+    small. There are at least two per core, and no more than the shuffle can track well.
+    """
+    wanted = max(-(-input_bytes // SHUFFLE_BYTES), 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(min(wanted, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),
+    }
+
+
 def build_session(app_name: str = "recordflow", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **extra}.items():

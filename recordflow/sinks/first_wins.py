@@ -12,14 +12,19 @@ from recordflow.schema import RECORD_KEY
 
 
 def rows_to_insert(incoming: DataFrame, existing: DataFrame, order: Sequence[str],
-                   keys: Sequence[str] = RECORD_KEY) -> DataFrame:
+                   keys: Sequence[str] = RECORD_KEY, unique: bool = False) -> DataFrame:
     """Incoming rows whose key is new; of repeats in the batch, the first in ``order``.
 
-    Only the key columns of ``existing`` are read. One writer per execution: two
-    writers cannot see each other's rows.
+    Only the key columns of ``existing`` are read. They are first cut down to those that
+    come in again: mostly none or few, so that Spark can broadcast them and the rows
+    themselves need no shuffle. ``unique`` says that no key is repeated in the batch,
+    which saves the grouping of whole rows. One writer per execution: two writers cannot
+    see each other's rows.
     """
-    unique = first_per_key(incoming, keys, order)
-    return unique.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    keys = list(keys)
+    rows = incoming if unique else first_per_key(incoming, keys, order)
+    again = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return rows.join(again, keys, "left_anti").select(*incoming.columns)
 
 
 def insert_first_wins(incoming: DataFrame, existing: DataFrame, order: Sequence[str],

@@ -38,7 +38,9 @@ def _read_or_empty(spark: SparkSession, path: str, columns: T.StructType,
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], columns)
+        # Known to the optimizer as empty, so that joins with it fall away.
+        return spark.range(1).where("false").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in columns.fields])
 
 
 class ResultTable:
@@ -78,12 +80,14 @@ class ResultTable:
         """Rows of one execution, good and bad; counted from file footers."""
         return self._rows(execution_id).count()
 
-    def insert(self, results: DataFrame, execution_id: str, balance: bool = True) -> None:
+    def insert(self, results: DataFrame, execution_id: str, balance: bool = True,
+               unique: bool = False) -> None:
         """Adds the step results of one execution; keys that are there stay as they are.
 
         Only the keys of that execution are compared. ``balance`` lets the writers follow
         the partitions, with large ones split and small ones joined, so that many datasets
-        do not give many small files.
+        do not give many small files; results that still lie as they were read from this
+        table need no such shuffle. ``unique`` says that no key is repeated in ``results``.
         """
         rows = (
             results.where(F.col("execution_id") == execution_id)
@@ -92,7 +96,7 @@ class ResultTable:
         )
         fresh = rows_to_insert(
             rows, self._rows(execution_id), ["execution_name", "record_data", "exception"],
-            [*schema.RECORD_KEY, "outcome"])
+            [*schema.RECORD_KEY, "outcome"], unique)
         if balance:
             fresh = fresh.hint("rebalance", *self.PARTITIONS)
         fresh.write.mode("append").partitionBy(*self.PARTITIONS).parquet(self.path)
@@ -190,24 +194,29 @@ class ChangeTable:
             bases = bases.where(F.col("upto") < before)
         return bases.agg(F.max("upto")).first()[0]
 
-    def state(self, before: int | None = None) -> DataFrame:
+    def state(self, before: int | None = None, base_before: int | None = None) -> DataFrame:
         """The latest row of each key, removed keys left out.
 
         ``before`` leaves out that version and later ones, which is how a repeated
-        batch sees the state it saw the first time.
+        batch sees the state it saw the first time. ``base_before`` starts from an
+        older base.
         """
-        rows = _read_or_empty(self.spark, f"{self.path}/changes", self.columns)
+        changes = _read_or_empty(self.spark, f"{self.path}/changes", self.columns)
         if before is not None:
-            rows = rows.where(F.col("version") < before)
-        upto = self._base_version(before)
+            changes = changes.where(F.col("version") < before)
+        upto = self._base_version(before if base_before is None else base_before)
         if upto is not None:
-            base = self._bases().where(F.col("upto") == upto).select(
-                *self.names, F.lit(False).alias("removed"), F.col("upto").alias("version"))
-            rows = rows.where(F.col("version") > upto).unionByName(base)
-        latest = latest_per_key(rows, self.keys, ["version"])
-        return latest.where(~F.col("removed")).select(*self.names)
+            changes = changes.where(F.col("version") > upto)
+        latest = latest_per_key(changes, self.keys, ["version"])
+        there = latest.where(~F.col("removed")).select(*self.names)
+        if upto is None:
+            return there
+        # The base is not grouped: only rows that changed since are taken out of it.
+        base = self._bases().where(F.col("upto") == upto).select(*self.names)
+        return base.join(latest.select(*self.keys), self.keys, "left_anti").select(
+            *self.names).unionByName(there)
 
     def compact(self, upto: int) -> None:
-        """Folds all versions up to ``upto`` into a new base."""
-        self.state(before=upto + 1).write.mode("overwrite").parquet(
+        """Folds all versions up to ``upto`` into a new base; a repeat replaces it."""
+        self.state(before=upto + 1, base_before=upto).write.mode("overwrite").parquet(
             f"{self.path}/base/upto={upto}")

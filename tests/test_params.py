@@ -6,7 +6,7 @@ import pytest
 
 from recordflow import params, schema
 from recordflow.params import MissingParameter, check_params
-from recordflow.session import shared_folder
+from recordflow.session import shared_folder, size_settings
 from recordflow.sinks.tables import ProgressLog
 
 COMMON = {"dataset_id": "d1", "execution_id": "e1"}
@@ -86,3 +86,12 @@ def test_commit_written_again_counts_once(spark, folder):
 
 def test_shared_folder_is_read_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_partitions_follow_the_size_of_the_data():
+    def partitions(size, cores):
+        return int(size_settings(size, cores)["spark.sql.shuffle.partitions"])
+
+    assert partitions(0, 8) == 16
+    assert partitions(1 << 40, 8) == 4096
+    assert partitions(100 << 40, 4000) == 100_000

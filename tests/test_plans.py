@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from recordflow import schema
-from recordflow.operators import project
+from recordflow.operators import enrich, project
 from recordflow.plans.bindings import Tables, document_records
+from recordflow.sinks.first_wins import rows_to_insert
 from recordflow.sinks.tables import ResultTable
 from recordflow.sources.store import scan_execution
 
@@ -87,3 +88,51 @@ def test_step_is_a_narrow_projection(spark):
 
 def test_spread_gives_the_partitions_asked_for(spark):
     assert project.spread(spark.range(10).coalesce(1), 6).rdd.getNumPartitions() == 6
+
+
+def test_hot_reference_is_split(spark, folder):
+    """One reference holds a third of all rows: its partition is split among tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        references = spark.range(0, 60_000, 1, 8).select(
+            F.col("id").cast("string").alias("record_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("reference"))
+        entities = spark.range(60_000).select(
+            F.col("id").alias("reference"), F.format_string("e%d", "id").alias("label"))
+        joined = enrich.lookup_references(references, entities)
+        rows = joined.collect()
+        plan = physical(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(rows) == 60_000 and all(r["resolved"] for r in rows)
+    assert "skew=true" in plan
+
+
+def test_fresh_insert_of_a_step_shuffles_nothing(spark, folder):
+    table = ResultTable(spark, folder)
+    frame = document_records(Tables(spark, DATA)).withColumn(
+        "exception", F.lit(None).cast("string"))
+    rows = rows_to_insert(frame, table.records("E0"), ["record_data"], unique=True)
+    assert "Exchange" not in physical(rows)
+
+
+def test_repeated_insert_does_not_shuffle_the_rows(spark, folder):
+    table = ResultTable(spark, folder)
+    frame = document_records(Tables(spark, DATA)).withColumn(
+        "exception", F.lit(None).cast("string"))
+    table.insert(frame, "E0")
+    again = rows_to_insert(frame, table.records("E0"), ["record_data"], unique=True)
+    assert again.count() == 0
+    exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", physical(again))
+    assert not any("record_data" in columns for columns in exchanged)
