@@ -52,15 +52,15 @@ def _(tables):
 
 
 @query("task_stats_totals", f"""
-SELECT task_id, count_if(status = 'STOP') AS failed, count_if(status <> 'STOP') AS succeeded
+SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed, count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
 FROM ({ITEMS}) GROUP BY 1""")
 def _(tables):
     return progress.task_statistics(bindings.notification_events(tables), F.col("status"))
 
 
 @query("task_stats_running", f"""
-SELECT task_id, event_id, count_if(status = 'STOP') {RUNNING} AS failed,
-       count_if(status <> 'STOP') {RUNNING} AS succeeded
+SELECT task_id, event_id, count(CASE WHEN status = 'STOP' THEN 1 END) {RUNNING} AS failed,
+       count(CASE WHEN status <> 'STOP' THEN 1 END) {RUNNING} AS succeeded
 FROM ({ITEMS})""")
 def _(tables):
     return progress.running_task_statistics(

@@ -81,9 +81,9 @@ def _(tables):
 
 
 @query("chunk_status", """
-SELECT task_id, count(*) AS started, count_if(status = 'returned') AS returned,
-       count_if(status = 'executing') AS executing,
-       count(*) - count_if(status IN ('returned', 'executing')) AS finished
+SELECT task_id, count(*) AS started, count(CASE WHEN status = 'returned' THEN 1 END) AS returned,
+       count(CASE WHEN status = 'executing' THEN 1 END) AS executing,
+       count(*) - count(CASE WHEN status IN ('returned', 'executing') THEN 1 END) AS finished
 FROM (SELECT user_id AS task_id, CASE event_type WHEN 'error' THEN 'returned'
         WHEN 'view' THEN 'executing' ELSE 'done' END AS status FROM events)
 GROUP BY 1""")
@@ -110,7 +110,7 @@ def _(tables):
 @query("resume_offset", f"""
 SELECT p.dataset_id, p.execution_id, p.execution_name, p.record_id, p.record_data, p.position
 FROM ({PLACED}) p LEFT JOIN (
-  SELECT source AS dataset_id, count_if(quality = 1) AS write_count FROM ({LABELLED}) GROUP BY 1
+  SELECT source AS dataset_id, count(CASE WHEN quality = 1 THEN 1 END) AS write_count FROM ({LABELLED}) GROUP BY 1
 ) w USING (dataset_id)
 WHERE p.position > coalesce(w.write_count, 0)""")
 def _(tables):
@@ -190,8 +190,8 @@ def _(tables):
 
 
 @query("insert_counts", f"""
-SELECT source AS dataset_id, 'E1' AS execution_id, count_if(quality = 0) AS inserted,
-       count_if(quality = 0) + 2 * count_if(quality = 1) AS skipped
+SELECT source AS dataset_id, 'E1' AS execution_id, count(CASE WHEN quality = 0 THEN 1 END) AS inserted,
+       count(CASE WHEN quality = 0 THEN 1 END) + 2 * count(CASE WHEN quality = 1 THEN 1 END) AS skipped
 FROM ({LABELLED}) GROUP BY 1""")
 def _(tables):
     return first_wins.insert_counts(*_two_batches(tables))

@@ -45,7 +45,7 @@ def run_in_parts(rows: DataFrame, by: str, folder: str, start: Callable) -> None
 
 
 @query("stream_task_stats", f"""
-SELECT task_id, count_if(status = 'STOP') AS failed, count_if(status <> 'STOP') AS succeeded
+SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed, count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
 FROM ({ITEMS}) GROUP BY 1""")
 def _(tables):
     work = new_work_folder(tables.spark, "stream-statistics")
@@ -176,7 +176,7 @@ def _(tables):
 
 
 @query("stream_message_job", f"""
-SELECT * EXCLUDE (ok), count_if(ok) OVER (PARTITION BY task_id ORDER BY event_id
+SELECT * EXCLUDE (ok), count(CASE WHEN ok THEN 1 END) OVER (PARTITION BY task_id ORDER BY event_id
                                           ROWS UNBOUNDED PRECEDING) AS resource_num
 FROM (SELECT *, state = 'SUCCESS' AS ok FROM ({MESSAGE_RESULT}))""")
 def _(tables):

@@ -80,6 +80,8 @@ def running(
     ``previous``  value of the row before, null on the first row
 
     ``keys + order`` must tell any two rows apart. A column of the same name is replaced.
+    ``df`` is read four times, thrice for its keys and inputs only, so it should be a
+    table rather than the end of a long plan.
     """
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
     sort_columns = [*keys, *order]
@@ -120,7 +122,8 @@ def running(
     ranged = (
         ranged.withColumn("_carry", carried)
         .withColumn("_carry", F.get("_carry", F.col("_range")))
-        .withColumn("_carry", F.when(F.col("_carry.group").eqNullSafe(F.struct(*keys)), F.col("_carry")))
+        .withColumn("_carry", F.when(
+            F.col("_carry.group").eqNullSafe(F.struct(*keys)), F.col("_carry")))
     )
     first_row = F.row_number().over(rows) == 1
     values = {

@@ -41,11 +41,14 @@ def broken_rules(rules: Mapping[str, Column]) -> Column:
 
 
 def validate(records: DataFrame, profile: str, rules: Mapping[str, Column],
-             execution_id: str) -> DataFrame:
-    """Records under ``execution_id``, those that break a rule as errors."""
-    return step_result(
-        records, execution_id, check_profile(profile), F.col("record_data"),
-        broken_rules(rules))
+             execution_id: str, reorder: Column | None = None) -> DataFrame:
+    """Records under ``execution_id``, those that break a rule as errors.
+
+    ``reorder`` puts a record into canonical order; rules see that as ``checked_text``.
+    """
+    check_profile(profile)
+    seen = records if reorder is None else records.withColumn("checked_text", reorder)
+    return step_result(seen, execution_id, profile, F.col("record_data"), broken_rules(rules))
 
 
 def schema_violation(record_data: Column, fields: str, xsd_file: str) -> Column:
@@ -59,7 +62,9 @@ def schema_violation(record_data: Column, fields: str, xsd_file: str) -> Column:
 
 
 def validate_schema(records: DataFrame, profile: str, fields: str, xsd_file: str,
-                    execution_id: str) -> DataFrame:
+                    execution_id: str, reorder: Column | None = None) -> DataFrame:
+    """The same against an XML schema. What is stored is the record as it came."""
+    seen = F.col("record_data") if reorder is None else reorder
     return step_result(
         records, execution_id, check_profile(profile), F.col("record_data"),
-        schema_violation(F.col("record_data"), fields, xsd_file))
+        schema_violation(seen, fields, xsd_file))

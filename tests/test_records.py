@@ -13,7 +13,7 @@ from recordflow.checks.steps import TARGET, ship_schema
 from recordflow.functions import text
 from recordflow.operators import enrich, harvest, index, progress, route, transform, validate
 from recordflow.plans import record_xml
-from recordflow.sources import landed, messages
+from recordflow.sources import landed, messages, store
 
 SAMPLE = """<?xml version="1.0" encoding="UTF-8"?>
 <r:RDF xmlns:r="urn:r" xmlns:s="urn:s">
@@ -70,6 +70,34 @@ def test_xsd_invalid_record(spark):
         ("3", "", "record does not fit the schema")]
 
 
+def test_checks_see_the_canonical_order_and_data_stay(spark):
+    shuffled = ("<record><year>unknown</year><size>1</size><about>a</about><title>t</title>"
+                "<country>c</country><datasetName>n</datasetName><language>de</language></record>")
+    frame = records(spark, ("1", shuffled))
+    given = (schema.VALIDATION_EXTERNAL, TARGET, ship_schema(spark), "e1")
+    assert validate.validate_schema(frame, *given).first()["exception"] is not None
+    parsed = frame.withColumn("xml", text.parse_xml(F.col("record_data"), TARGET))
+    ordered = transform.mapped_record(
+        [transform.Rule(n, f"xml.{n}") for n in ("title", "size", "year")],
+        {n: F.col(f"xml.{n}") for n in ("about", "datasetName", "country", "language")})
+    out = validate.validate_schema(parsed, *given, reorder=ordered).first()
+    assert (out["record_data"], out["exception"]) == (shuffled, None)
+    lines = validate.validate(
+        records(spark, ("1", "b\na")), schema.VALIDATION_INTERNAL,
+        {"a first": F.startswith("checked_text", F.lit("a"))}, "e1",
+        validate.canonical_text(F.col("record_data"))).first()
+    assert (lines["record_data"], lines["exception"]) == ("b\na", None)
+
+
+def test_keyed_state_reads(spark):
+    tasks = spark.createDataFrame([(1, 2, 3)], schema.TASK_INFO)
+    assert rows(store.find_task(tasks, 1)) == [(1, 2, 3)]
+    assert store.find_task(tasks, 9).count() == 0
+    state = spark.createDataFrame([("d", "e", 5, "x")], schema.ITERATION_STATE)
+    assert rows(store.find_iteration_state(state, "d", "e"), "last_identifier") == [("x",)]
+    assert store.find_iteration_state(state, "d", "f").count() == 0
+
+
 def test_unknown_profile_is_refused_before_any_plan(spark):
     with pytest.raises(ValueError):
         validate.validate(records(spark), "OTHER", {}, "e1")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from recordflow import schema
 from recordflow.operators.project import step_result
-from recordflow.params import PREVIEW, PUBLISH
-from recordflow.plans import record_xml, steps
+from recordflow.operators.transform import Rule
+from recordflow.params import PREVIEW, PUBLISH, MissingParameter
+from recordflow.plans import jobs, record_xml, steps
 from recordflow.plans.steps import Step
 from recordflow.plans.workflow import Workflow
 
@@ -105,3 +106,77 @@ def test_normalization_step(spark):
         ("1", "<record><about>1</about><language>de</language><title>a b</title>"
               "<link>x</link><link>y</link></record>", None),
         ("2", "", record_xml.MALFORMED)]
+
+
+def test_named_jobs_go_through_all_steps(spark, folder):
+    headers = spark.createDataFrame(
+        [("x:1", False), ("x:2", True), ("x:3", False)], "identifier string, deleted boolean",
+    ).withColumn("datestamp", F.timestamp_seconds(F.lit(0)))
+    content = spark.createDataFrame(
+        [("x:1", "One a b"), ("x:3", "Three c")], "identifier string, content string")
+    inputs = jobs.Inputs(
+        headers=headers, content=content, local_id=F.col("external_id"),
+        external_rules={"short": F.length("record_data") > 3},
+        internal_rules={"no title": F.col("xml.title") != ""},
+        mappings={"default": [
+            Rule("title", "split(record_data, ' ')[0]", required=True),
+            Rule("link", "slice(split(record_data, ' '), 2, 9)", many=True)]},
+        entity_tables={"letters": spark.createDataFrame(
+            [("a", "A"), ("b", "B")], "reference string, label string")},
+        metadata=spark.createDataFrame(
+            [("a", "image/jpeg", 5)], "resource string, mime string, bytes bigint"))
+    workflow = Workflow(spark, folder)
+    last = jobs.run_job(
+        workflow, schema.HARVEST, inputs, dataset_id="d1", repository_url="http://r.test",
+        metadata_prefix="p", set_spec="s")
+    assert workflow.progress.find(int(last.execution_id)) == (1, 2)
+    for name, given in (
+            (schema.VALIDATION_EXTERNAL, {"validation_type": schema.VALIDATION_EXTERNAL}),
+            (schema.TRANSFORMATION, {"dataset_name": "n", "country": "c", "language": "eng",
+                                     "mapping": "default"}),
+            (schema.VALIDATION_INTERNAL, {"validation_type": schema.VALIDATION_INTERNAL}),
+            (schema.NORMALIZATION, {}),
+            (schema.ENRICHMENT, {"entity_table": "letters"}),
+            (schema.MEDIA, {})):
+        last = jobs.run_job(workflow, name, inputs, dataset_id="d1",
+                            execution_id=last.execution_id, **given)
+    assert rows(workflow.results.records(last.execution_id), "record_id", "record_data") == [
+        ("/d1/x_1", "<record><about>/d1/x_1</about><datasetName>n</datasetName>"
+                    "<country>c</country><language>en</language><title>One</title><link>a</link>"
+                    "<link>b</link><concept>A</concept><concept>B</concept>"
+                    "<resource>a image/jpeg 5</resource><mainThumbnail>true</mainThumbnail>"
+                    "</record>")]
+
+
+def test_index_jobs_serve_redirect_and_repeat(spark, folder):
+    data = "<record><title>same</title><resource>x</resource></record>"
+    title = F.regexp_extract("record_data", "<title>([^<]*)", 1)
+    workflow = Workflow(spark, folder)
+
+    def index_job(source, dataset, **given):
+        return jobs.run_job(
+            workflow, schema.INDEXING, jobs.Inputs(local_id=title), dataset_id=dataset,
+            execution_id=source, database=PUBLISH, preserve_timestamps=True, **given)
+
+    old = spark.createDataFrame(
+        [("old", "E0", schema.HARVEST, "/old/1", data, None)], schema.STEP_RESULT)
+    new = spark.createDataFrame(
+        [("new", "E1", schema.HARVEST, "/new/1", data, None)], schema.STEP_RESULT)
+    workflow.results.insert(old, "E0")
+    workflow.results.insert(new, "E1")
+    index_job("E0", "old", perform_redirects=False)
+    task = index_job("E1", "new", perform_redirects=True, redirect_from=("old",)).execution_id
+    for _ in range(2):
+        assert rows(workflow.serving(PUBLISH).state(), "record_id") == [("/new/1",), ("/old/1",)]
+        assert rows(workflow.redirects(PUBLISH).state()) == [("/old/1", "/new/1")]
+        assert workflow.run_number(PUBLISH, task) == 2
+        again = index_job("E1", "new", perform_redirects=True, redirect_from=("old",),
+                          task_id=task)
+        assert again.execution_id == task
+
+
+def test_parameters_are_checked_before_anything_runs(spark, folder):
+    workflow = Workflow(spark, folder)
+    with pytest.raises(MissingParameter):
+        jobs.run_job(workflow, schema.MEDIA, jobs.Inputs(), dataset_id="d1")
+    assert workflow.progress.state().count() == 0
