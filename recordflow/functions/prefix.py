@@ -4,14 +4,16 @@ A plain window puts each group into one task, so one group that holds a third of
 all rows is one task with a third of all rows. Here the rows are first cut into
 ranges of about ``rows_per_range`` rows by their (keys, order) value. The window
 then runs per (range, keys), and what earlier ranges of the same group add up to
-is carried in. Ranges follow the sort order, so at most one group continues into
-any range: the carried table has no more rows than there are ranges
-(about ``MAX_RANGES``), however large the data is.
+is carried in. Ranges follow the sort order, so only the group of a cut point goes
+on from one range to the next: what is carried has one row per range (about
+``MAX_RANGES``), however large the data is, and no other group is added up for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,16 +55,19 @@ def _bounds_up_to(bounds: str, key: Column) -> Column:
     return F.transform(F.array(key), search)[0]
 
 
-def with_range(df: DataFrame, sort_columns: Sequence[str],
-               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Adds ``_range``, rising with ``sort_columns``."""
+def _with_bounds(df: DataFrame, sort_columns: Sequence[str], rows_per_range: int) -> DataFrame:
     return (
         df.withColumn("_bounds", _range_bounds(df, sort_columns, rows_per_range))
         .withColumn("_range", _bounds_up_to("_bounds", F.struct(*sort_columns)))
-        .drop("_bounds")
     )
 
 
+def with_range(df: DataFrame, sort_columns: Sequence[str],
+               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Adds ``_range``, rising with ``sort_columns``."""
+    return _with_bounds(df, sort_columns, rows_per_range).drop("_bounds")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,30 +91,30 @@ def running(
     sums, lasts, previous = sums or {}, lasts or {}, previous or {}
     sort_columns = [*keys, *order]
     inputs = {**sums, **lasts, **previous}
-    ranged = with_range(
+    ranged = _with_bounds(
         df.withColumns({f"_in_{name}": value for name, value in inputs.items()}),
         sort_columns, rows_per_range)
 
+    # Only the group of the cut point that ends a range can go on in the next one.
+    cut = F.get("_bounds", F.col("_range"))
+    goes_on = reduce(and_, [cut[k].eqNullSafe(F.col(k)) for k in keys], cut.isNotNull())
     at = F.struct(*order)
-    block = ranged.groupBy(*keys, "_range").agg(
-        F.count(F.lit(1)).alias("_rows"),
+    block = ranged.where(goes_on).groupBy(*keys, "_range").agg(
         *[F.sum(f"_in_{n}").alias(n) for n in sums],
         *[F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), at)).alias(n) for n in lasts],
         *[F.max_by(F.struct(f"_in_{n}"), at).alias(n) for n in previous],
     )
-    by_range = Window.partitionBy(*keys).orderBy("_range")
-    before = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, 0)
     carried = (
         block.select(
-            *keys, "_range",
-            F.lag("_rows").over(by_range).alias("_continues"),
-            *[F.sum(n).over(before).alias(n) for n in sums],
-            *[F.last(n, ignorenulls=True).over(before).alias(n) for n in lasts],
-            *[F.lag(n).over(by_range)[f"_in_{n}"].alias(n) for n in previous],
+            (F.col("_range") + 1).alias("_range"), F.struct(*keys).alias("group"),
+            *[F.sum(n).over(so_far).alias(n) for n in sums],
+            *[F.last(n, ignorenulls=True).over(so_far).alias(n) for n in lasts],
+            *[F.col(n)[f"_in_{n}"].alias(n) for n in previous],
         )
-        .where("_continues is not null")
         .agg(F.map_from_entries(F.collect_list(F.struct(
-            "_range", F.struct(F.struct(*keys).alias("group"), *inputs)))).alias("carry"),
+            "_range", F.struct("group", *inputs)))).alias("carry"),
             F.coalesce(F.max("_range"), F.lit(0)).alias("top"))
         .select(F.transform(
             F.sequence(F.lit(0), F.col("top")),
@@ -120,7 +125,7 @@ def running(
     rows = Window.partitionBy("_range", *keys).orderBy(*order)
     up_to = rows.rowsBetween(Window.unboundedPreceding, 0)
     ranged = (
-        ranged.withColumn("_carry", carried)
+        ranged.drop("_bounds").withColumn("_carry", carried)
         .withColumn("_carry", F.get("_carry", F.col("_range")))
         .withColumn("_carry", F.when(
             F.col("_carry.group").eqNullSafe(F.struct(*keys)), F.col("_carry")))

@@ -70,10 +70,10 @@ def id_collisions(assigned: DataFrame) -> DataFrame:
 
 def retrieve_file(items: DataFrame, content: DataFrame) -> DataFrame:
     """Adds the file of each item; items marked as deleted get none."""
-    wanted = F.when(~F.col("marked_as_deleted"), F.col("resource_url"))
-    return items.withColumn("_wanted", wanted).join(
-        content.select(F.col("resource_url").alias("_wanted"), "file_content"),
-        "_wanted", "left").drop("_wanted")
+    found = items.join(content.select("resource_url", "file_content"), "resource_url", "left")
+    return found.select(
+        *items.columns,
+        F.when(~F.col("marked_as_deleted"), F.col("file_content")).alias("file_content"))
 
 
 def file_content(tasks: DataFrame, files: DataFrame) -> DataFrame:

@@ -57,18 +57,19 @@ def media_resources(records: DataFrame, links: Column, metadata: DataFrame) -> D
 def media_totals(records: DataFrame, links: Column, metadata: DataFrame) -> DataFrame:
     """Per record: resources extracted and failed, their size and the main flag.
 
-    Only sums, so nothing is collected. Records without links have zeros.
+    Only sums, so nothing is collected. Records without links stay, with zeros; a name of
+    its own for each keeps them from meeting in one task of the join.
     """
-    totals = looked_up_links(resource_links(records, links), metadata).groupBy(*KEY).agg(
-        F.count_if("extracted").alias("extracted"),
-        F.count_if(~F.col("extracted")).alias("failed"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.bool_or(F.col("extracted") & (F.col("place") == 0)).alias("has_main_thumbnail"),
-    )
-    return records.select(*KEY).join(totals, KEY, "left").select(
-        *KEY,
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("extracted", "failed", "bytes")],
-        F.coalesce("has_main_thumbnail", F.lit(False)).alias("has_main_thumbnail"),
+    every = records.select(*KEY, F.posexplode_outer(links).alias("place", "resource"))
+    named = every.withColumn(
+        "resource", F.coalesce("resource", F.concat(F.lit("no link in "), "record_id")))
+    is_link, extracted = F.col("place").isNotNull(), F.col("extracted")
+    return looked_up_links(named, metadata).groupBy(*KEY).agg(
+        F.count_if(is_link & extracted).alias("extracted"),
+        F.count_if(is_link & ~extracted).alias("failed"),
+        F.coalesce(F.sum(F.when(is_link, F.col("bytes"))), F.lit(0)).alias("bytes"),
+        F.coalesce(F.bool_or(extracted & (F.col("place") == 0)), F.lit(False))
+        .alias("has_main_thumbnail"),
     )
 
 

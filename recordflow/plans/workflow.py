@@ -64,6 +64,7 @@ class Workflow:
         source.
         """
         execution_id = execution_id or params.new_execution_id()
+        is_new = task_id is None
         task_id = self.progress.register(task_id)
         source = None if source_id is None else self.results.records(source_id, dataset_id)
         if resume and source is not None:
@@ -74,7 +75,11 @@ class Workflow:
         try:
             self.results.insert(step.run(source, execution_id), execution_id,
                                 balance=step.shuffles, unique=source is not None)
-            self.progress.set_written(task_id, self.results.written(execution_id))
+            written = self.results.written(execution_id)
+            if is_new:
+                self.progress.add(task_id, 1, written)
+            else:
+                self.progress.set_written(task_id, written)
         except Exception:
             LOG.exception("step %s failed, execution %s", step.name, execution_id)
             raise

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from recordflow import schema
 from recordflow.checks.steps import TARGET, ship_schema
 from recordflow.functions import text
-from recordflow.operators import enrich, harvest, index, progress, route, transform, validate
+from recordflow.operators import enrich, harvest, index, media, progress, route, transform, validate
 from recordflow.plans import record_xml
 from recordflow.sources import landed, messages, store
 
@@ -242,6 +242,22 @@ def test_progress_counts_errors_under_the_target(spark):
     assert rows(report) == [("d1", "e1", 2, 1, 1, 2)]
 
 
+def test_media_of_records_without_links(spark):
+    frame = records(spark, ("1", "a b"), ("2", ""), ("3", "c"))
+    links = F.filter(F.split("record_data", " "), lambda link: link != "")
+    metadata = spark.createDataFrame(
+        [("a", "image/jpeg", 5), ("no link in 2", "x", 9)],
+        "resource string, mime string, bytes bigint")
+    assert rows(media.media_totals(frame, links, metadata)) == [
+        ("d1", "1", 1, 1, 5, True), ("d1", "2", 0, 0, 0, False), ("d1", "3", 0, 1, 0, False)]
+    main = media.main_resources(frame, links, metadata)
+    assert rows(main, "record_id", "resource", "has_main_thumbnail") == [
+        ("1", "a", True), ("2", None, False), ("3", "c", False)]
+    enriched = media.enrich_media(
+        frame, links, metadata, F.concat_ws("|", "record_data", F.size("resources")), "e1")
+    assert rows(enriched, "record_id", "record_data") == [("1", "a b|2"), ("2", "|0"), ("3", "c|1")]
+
+
 def test_publication_and_tiers(spark):
     frame = spark.createDataFrame(
         [(0, False), (1, False), (1, True), (4, True), (5, False)], "n int, main boolean")
