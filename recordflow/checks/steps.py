@@ -260,7 +260,7 @@ FROM (SELECT dataset_id, record_id, record_data, labels, reports,
         GROUP BY 1, 2) USING (dataset_id, record_id))""")
 def _(tables):
     starts = F.transform(text.distinct_lines(F.col("record_data")),
-                         lambda line: F.lower(F.split(line, " ")[0]))
+                         lambda line: F.lower(F.substring_index(line, " ", 1)))
     return enrich.enrich(
         bindings.document_records(tables), F.array_distinct(starts), bindings.vocabulary(tables),
         F.concat(F.col("record_data"), F.lit("\n"), F.array_join("labels", " ")),

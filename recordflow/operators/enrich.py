@@ -58,7 +58,7 @@ def enrich_report(references: DataFrame, entities: DataFrame) -> DataFrame:
 
 def record_references(records: DataFrame, references: Column) -> DataFrame:
     """Rows (dataset_id, record_id, place, reference) of the references inside each record."""
-    return records.select(*KEY, F.posexplode(references).alias("place", "reference"))
+    return text.numbered_items(records, KEY, references, "place", "reference")
 
 
 def fold_references(looked_up: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow import schema
+from recordflow.functions import text
 from recordflow.operators.project import step_result
 
 KEY = ["dataset_id", "record_id"]
@@ -13,7 +14,7 @@ KEY = ["dataset_id", "record_id"]
 
 def resource_links(records: DataFrame, links: Column) -> DataFrame:
     """Rows (dataset_id, record_id, place, resource); place 0 is the main resource."""
-    return records.select(*KEY, F.posexplode(links).alias("place", "resource"))
+    return text.numbered_items(records, KEY, links, "place", "resource")
 
 
 def looked_up_links(links: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from recordflow import schema
+from recordflow.functions import text
 from recordflow.operators import enrich, project
 from recordflow.plans.bindings import Tables, document_records
 from recordflow.sinks.first_wins import rows_to_insert
@@ -136,3 +137,11 @@ def test_repeated_insert_does_not_shuffle_the_rows(spark, folder):
     assert again.count() == 0
     exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", physical(again))
     assert not any("record_data" in columns for columns in exchanged)
+
+
+def test_costly_references_are_computed_once_per_use(spark):
+    """Once beside the text and once for the lookup; no filter computes them again."""
+    frame = document_records(Tables(spark, DATA))
+    links = text.parse_xml(F.col("record_data"), "link array<string>")["link"]
+    plan = physical(enrich.record_references(frame, links))
+    assert plan.count("from_xml") == 1
