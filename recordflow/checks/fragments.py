@@ -99,7 +99,8 @@ def looked_up_links(records: str = PAGE_RECORDS) -> str:
 
 MEDIA_TOTALS = f"""
 SELECT p.dataset_id, p.record_id, count(CASE WHEN extracted THEN 1 END) AS extracted,
-       count(CASE WHEN NOT extracted THEN 1 END) AS failed, CAST(coalesce(sum(bytes), 0) AS BIGINT) AS bytes,
+       count(CASE WHEN NOT extracted THEN 1 END) AS failed,
+       CAST(coalesce(sum(bytes), 0) AS BIGINT) AS bytes,
        coalesce(bool_or(extracted AND place = 0), false) AS has_main_thumbnail
 FROM ({PAGE_RECORDS}) p LEFT JOIN ({looked_up_links()}) l USING (dataset_id, record_id)
 GROUP BY 1, 2"""

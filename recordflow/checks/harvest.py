@@ -72,7 +72,8 @@ def _(tables):
 
 @query("retrieve_file", f"""
 SELECT event_id, record_id AS resource_url, marked_as_deleted,
-       CASE WHEN NOT marked_as_deleted AND NOT contains(record_id, '/purchase/') THEN hex(encode(record_id)) END
+       CASE WHEN NOT marked_as_deleted AND NOT contains(record_id, '/purchase/')
+            THEN hex(encode(record_id)) END
          AS file_content
 FROM ({MESSAGES})""")
 def _(tables):
@@ -81,7 +82,8 @@ def _(tables):
     content = items.where("not contains(resource_url, '/purchase/')").select(
         "resource_url", F.encode("resource_url", "UTF-8").alias("file_content"))
     return harvest.retrieve_file(items, content).select(
-        "event_id", "resource_url", "marked_as_deleted", F.hex("file_content").alias("file_content"))
+        "event_id", "resource_url", "marked_as_deleted",
+        F.hex("file_content").alias("file_content"))
 
 
 @query("message_decode", f"SELECT task_id, record_id, marked_as_deleted FROM ({MESSAGES})")

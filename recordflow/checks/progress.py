@@ -52,7 +52,8 @@ def _(tables):
 
 
 @query("task_stats_totals", f"""
-SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed, count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
+SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed,
+       count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
 FROM ({ITEMS}) GROUP BY 1""")
 def _(tables):
     return progress.task_statistics(bindings.notification_events(tables), F.col("status"))

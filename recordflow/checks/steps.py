@@ -67,7 +67,8 @@ def _(tables):
 
 @query("progress_report", f"""
 SELECT dataset_id, 'E1' AS execution_id, count(*) AS source_total,
-       count(CASE WHEN exception IS NULL THEN 1 END) AS success, count(CASE WHEN exception IS NOT NULL THEN 1 END) AS exceptions,
+       count(CASE WHEN exception IS NULL THEN 1 END) AS success,
+       count(CASE WHEN exception IS NOT NULL THEN 1 END) AS exceptions,
        count(*) AS processed
 FROM ({VALIDATED}) GROUP BY 1""")
 def progress_of_validation(tables):

@@ -110,7 +110,8 @@ def _(tables):
 @query("resume_offset", f"""
 SELECT p.dataset_id, p.execution_id, p.execution_name, p.record_id, p.record_data, p.position
 FROM ({PLACED}) p LEFT JOIN (
-  SELECT source AS dataset_id, count(CASE WHEN quality = 1 THEN 1 END) AS write_count FROM ({LABELLED}) GROUP BY 1
+  SELECT source AS dataset_id, count(CASE WHEN quality = 1 THEN 1 END) AS write_count
+  FROM ({LABELLED}) GROUP BY 1
 ) w USING (dataset_id)
 WHERE p.position > coalesce(w.write_count, 0)""")
 def _(tables):
@@ -190,7 +191,8 @@ def _(tables):
 
 
 @query("insert_counts", f"""
-SELECT source AS dataset_id, 'E1' AS execution_id, count(CASE WHEN quality = 0 THEN 1 END) AS inserted,
+SELECT source AS dataset_id, 'E1' AS execution_id,
+       count(CASE WHEN quality = 0 THEN 1 END) AS inserted,
        count(CASE WHEN quality = 0 THEN 1 END) + 2 * count(CASE WHEN quality = 1 THEN 1 END) AS skipped
 FROM ({LABELLED}) GROUP BY 1""")
 def _(tables):

@@ -45,7 +45,8 @@ def run_in_parts(rows: DataFrame, by: str, folder: str, start: Callable) -> None
 
 
 @query("stream_task_stats", f"""
-SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed, count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
+SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed,
+       count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
 FROM ({ITEMS}) GROUP BY 1""")
 def _(tables):
     work = new_work_folder(tables.spark, "stream-statistics")

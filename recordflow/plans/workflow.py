@@ -59,9 +59,9 @@ class Workflow:
         """Runs one step and adds its commit to the task's progress.
 
         A step gives one row per source record, and stored records are unique, so only a
-        harvest can bring repeats. With ``resume`` only records without a result are processed; give the interrupted
-        run's ``execution_id`` and ``task_id``. ``dataset_id`` chooses one dataset of the
-        source.
+        harvest can bring repeats. With ``resume`` only records without a result are
+        processed; give the interrupted run's ``execution_id`` and ``task_id``.
+        ``dataset_id`` chooses one dataset of the source.
         """
         execution_id = execution_id or params.new_execution_id()
         is_new = task_id is None

@@ -15,7 +15,7 @@ from recordflow.operators.project import step_result
 from recordflow.plans.steps import Step
 from recordflow.sinks.tables import ProgressLog, ResultTable
 from recordflow.streaming import notifications, records, statistics, tasks
-from recordflow.streaming.settings import finish, landed_stream
+from recordflow.streaming.settings import finish, landed_stream, state_settings
 
 SECONDS = 300
 TASKS = "task_id bigint, id bigint, status string"
@@ -139,3 +139,20 @@ def test_cancelled_tasks_are_read_for_each_batch(spark, folder):
     Path(folder, "cancel", "1.txt").write_text("2 9\n")
     Path(folder, "lines", "2.txt").write_text("1 c f1\n2 d f1\n")
     assert run() == [("1", "a", "one"), ("1", "c", "one"), ("2", "b", "one")]
+
+
+def test_print_sink_ends_with_what_has_landed(spark, folder):
+    land(spark, f"{folder}/landed", [(1, 1, "STOP")], TASKS)
+    stream = landed_stream(
+        spark, f"{folder}/landed", spark.createDataFrame([], TASKS).schema)
+    query = statistics.start_print(stream, f"{folder}/checkpoint")
+    finish(query, SECONDS)
+    assert query.lastProgress["numInputRows"] == 1
+
+
+def test_settings_of_a_stateful_query_do_not_stay(spark):
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    with state_settings(spark):
+        assert spark.conf.get(key) == "false"
+    assert spark.conf.get(key) == before
