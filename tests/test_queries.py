@@ -6,9 +6,8 @@ import pytest
 from compare import connect, difference
 from conftest import DATA
 
-import __spark_entry__ as entry_point
-
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+import __spark_entry__ as entry_point  # noqa: E402  registers the queries
+from recordflow.checks.registry import QUERIES, SQL  # noqa: E402  the text operators have tests of their own
 
 
 @pytest.fixture(scope="module")
