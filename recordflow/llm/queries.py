@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, simhash, token_counts
+from . import byte_bpe, fingerprints, simhash, token_counts
 from .common import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -19,10 +19,10 @@ PATTERN = public_tokenizers.PATTERN
 @query("op3_byte_bpe")
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    there = byte_bpe.encode_texts(docs, RANKS, PATTERN)
-    back = byte_bpe.decode_ids(there, RANKS, PATTERN)
-    return back.select("doc_id", F.col("n_ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = docs.select("doc_id", byte_bpe.round_trip(F.col("text"), RANKS, PATTERN).alias("both"))
+    return both.select(
+        "doc_id", (F.length("both.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("both.ids", 256).alias("ids_sha256"), F.sha2("both.decoded", 256).alias("decoded_sha256"))
 
 
 @query("op4_simhash_near_dedup")
@@ -35,3 +35,8 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def token_counts_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.with_token_counts(docs, LISTED, PATTERN).drop("text")
+
+
+@query("op1_doc_fingerprints")
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
