@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, simhash, token_counts
-from .common import QUERIES, SQL, query, table
+from . import byte_bpe, fingerprints, mixing, simhash, token_counts
+from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -40,3 +42,58 @@ def token_counts_of_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_doc_fingerprints")
 def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+MIX_SQL = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) :: bigint as size,
+         md5(coalesce(doc_id :: varchar, '') || '|' || md5(coalesce(text, ''))) as mix_key
+  from documents),
+sources as (
+  select source, sum(size) :: bigint as words,
+         (row_number() over (order by source collate "C" nulls last) - 1) % 3 as place
+  from sized group by source),
+weighed as (select *, [3, 1, 2][place + 1] as weight, words * 2 as bound from sources),
+levels as (
+  select *, ((sum(words) over ()) :: double * 1.5 - coalesce(sum(bound) over (
+             order by bound / weight, weight, bound rows between unbounded preceding and 1 preceding), 0) :: double)
+            / (sum(weight) over (order by bound / weight, weight, bound
+               rows between current row and unbounded following)) :: double as level
+  from weighed),
+chosen as (select (select first(level order by bound / weight, weight, bound)
+                   from levels where level <= bound / weight) as level),
+aims as (
+  select source, words, place,
+         case when c.level is null or c.level * weight > bound then bound :: double else c.level * weight end as target
+  from weighed, chosen c),
+placed as (
+  select s.*, a.words as source_size, a.target, a.place,
+         (sum(s.size) over (partition by s.source order by s.mix_key, s.size
+          rows between unbounded preceding and current row) - s.size) :: double + s.size / 2.0 as middle
+  from sized s join aims a on s.source is not distinct from a.source),
+parts as (
+  select *, case when middle < target then middle / target end as part_0,
+         case when middle + source_size < target then (middle + source_size) / target end as part_1
+  from placed)
+select doc_id, size, source_size, target,
+       size * ((part_0 is not null) :: int + (part_1 is not null) :: int) as taken,
+       case when part_0 is not null then case place when 0 then @0:part_0@ when 1 then @1:part_0@ else @2:part_0@ end end as position,
+       case when part_1 is not null then case place when 0 then @0:part_1@ when 1 then @1:part_1@ else @2:part_1@ end end as position_again
+from parts
+"""
+for _i, _schedule in enumerate(mixing.SCHEDULES):
+    for _part in ("part_0", "part_1"):
+        _value = re.sub(r"(\d(?:\.\d+)?(?:e-?\d+)?)D", r"\1 :: double", mixing.position_sql(_part, _schedule))
+        MIX_SQL = MIX_SQL.replace(f"@{_i}:{_part}@", _value)
+
+
+@query("op2_source_mixing", MIX_SQL)
+def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", n_words(F.col("text")).alias("size"),
+        mixing.order_key(F.col("doc_id"), F.col("text")).alias("mix_key"))
+    mixed = mixing.mix(cut(docs))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.get("positions", F.lit(0)).alias("position"), F.get("positions", F.lit(1)).alias("position_again"),
+    ).orderBy("position", "doc_id")
