@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, mixing, simhash, token_counts
+from . import byte_bpe, chat, fingerprints, mixing, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -97,3 +97,24 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken",
         F.get("positions", F.lit(0)).alias("position"), F.get("positions", F.lit(1)).alias("position_again"),
     ).orderBy("position", "doc_id")
+
+
+CHAT_SQL = """
+with convs as (
+  select conv_id, list({'role': role, 'text': text} order by turn nulls first, role, text) as turns
+  from (select distinct conv_id, turn, role, text from conversations) group by conv_id),
+whole as (select min(conv_id) as conv_id, count(*) as n_copies, turns from convs group by turns),
+inner_ as (select distinct turns[1 : k] as turns
+           from (select turns, unnest(range(1, len(turns))) as k from whole)),
+kept as (select * from whole w where not exists (select 1 from inner_ i where i.turns = w.turns))
+select conv_id, len(turns) as n_turns, n_copies,
+       list_aggregate(list_transform(turns, lambda t:
+         '<|im_start|>' || coalesce(t.role, '') || chr(10) || coalesce(t.text, '') || '<|im_end|>' || chr(10)),
+         'string_agg', '') as text
+from kept
+"""
+
+
+@query("op10_chat_formatting", CHAT_SQL)
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.formatted(table(spark, folder, "conversations"))
