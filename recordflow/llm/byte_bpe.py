@@ -159,6 +159,19 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return decode.asNondeterministic()(ids)
 
 
+def round_trip(text: Column, path: str, pattern: str) -> Column:
+    """Packed ids of a text and the text that they decode to, as a struct ``ids, decoded``: both
+    ways in one pass over the rows and one set of tables."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: string>")
+    def both(texts: pa.Array) -> pa.Array:
+        codec = Codec.of(path, pattern)
+        ids = _each(texts, codec.encode, pa.binary())
+        return pa.StructArray.from_arrays([ids, _each(ids, codec.decode, pa.string())], ["ids", "decoded"])
+
+    return both.asNondeterministic()(text)
+
+
 def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds packed ids and, as ``n_<ids>``, their number."""
     out = df.withColumn(ids, encoded(F.col(text), path, pattern))

@@ -112,7 +112,7 @@ class MergeRules:
 class Transducer:
     """Reads bytes of one piece, writes tokens. State 0 is the start of a piece."""
 
-    def __init__(self, rules: MergeRules, most: int = 400_000):
+    def __init__(self, rules: MergeRules, most: int = 700_000):
         self.rules, self.most = rules, most
         child: dict[int, int] = {}
         ends: dict[int, int] = {0: _OPEN}
@@ -130,14 +130,21 @@ class Transducer:
     def _clear(self) -> None:
         start = (_OPEN, (((), 0),))
         self.states, self._number = [start], {start: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        # (state, byte) -> next state and, above 32 bits, which of `writes` is written
+        self.steps: dict[int, int] = {}
+        self.writes: list[tuple[int, ...]] = [()]
+        self._write: dict[tuple[int, ...], int] = {(): 0}
         self.rests: dict[int, tuple[int, ...]] = {}
 
-    def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """Next state and the tokens written; the transition is kept."""
+    def step(self, state: int, byte: int) -> int:
+        """The transition, which is kept."""
         key = state << 8 | byte
         if (known := self.steps.get(key)) is None:
-            known = self.steps[key] = self._determine(*self.states[state], byte)
+            state, out = self._determine(*self.states[state], byte)
+            number = self._write.setdefault(out, len(self.writes))
+            if number == len(self.writes):
+                self.writes.append(out)
+            known = self.steps[key] = state | number << 32
         return known
 
     def _determine(self, last: int, guesses: tuple, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -204,15 +211,27 @@ class Transducer:
                     self.states.append(here)
                     self._number[here] = state
                 found = self.step(state, byte)
-            state, written = found
-            if written:
-                out += written
+            state = found & 0xFFFFFFFF
+            if found > 0xFFFFFFFF:
+                out += self.writes[found >> 32]
         out += self.rest(state)
         return out
 
     def count(self, piece: bytes) -> int:
-        """How many tokens :meth:`run` writes: the transitions' counts added up."""
-        return len(self.run(piece))
+        """How many tokens :meth:`run` writes: the counts of the transitions, added up."""
+        if len(self.steps) > self.most:
+            self._clear()
+            self.rules.forget()
+        total = state = 0
+        for byte in piece:
+            if (found := self.steps.get(state << 8 | byte)) is None:
+                if len(self.steps) > 2 * self.most:
+                    return len(self.run(piece))  # one endless piece
+                found = self.step(state, byte)
+            state = found & 0xFFFFFFFF
+            if found > 0xFFFFFFFF:
+                total += len(self.writes[found >> 32])
+        return total + len(self.rest(state))
 
 
 class _Kept(dict):
