@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, fingerprints, mixing, simhash, token_counts
+from . import byte_bpe, chat, fingerprints, mixing, pii, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -118,3 +118,8 @@ from kept
 @query("op10_chat_formatting", CHAT_SQL)
 def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.formatted(table(spark, folder, "conversations"))
+
+
+@query("op9_pii_surrogates")
+def pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.replaced(table(spark, folder, "documents").select("doc_id", "text"))
