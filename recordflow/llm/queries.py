@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, fingerprints, mixing, pii, quality, simhash, token_counts
+from . import byte_bpe, chat, embedding_dups, fingerprints, mixing, pii, quality, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -130,3 +130,8 @@ def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, folder, "labels"))
     return quality.scored(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op8_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dups.near_vectors(table(spark, folder, "embeddings"))
