@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, embedding_dups, fingerprints, mixing, pii, quality, simhash, token_counts
+from . import byte_bpe, chat, embedding_dups, fingerprints, langid, mixing, pii, quality, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -135,3 +135,9 @@ def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dups.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op5_language_id")
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    languages, logs = langid.fit(table(spark, folder, "documents"))
+    return langid.identify(table(spark, folder, "pages"), languages, logs)
