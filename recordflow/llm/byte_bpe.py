@@ -174,10 +174,10 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
 def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds packed ids and, as ``n_<ids>``, their number."""
-    out = df.withColumn(ids, encoded(F.col(text), path, pattern))
-    return out.withColumn(f"n_{ids}", (F.length(ids) / 4).cast("long"))
+    out = df.withColumn(ids, encoded(F.col(f"`{text}`"), path, pattern))
+    return out.withColumn(f"n_{ids}", (F.length(F.col(f"`{ids}`")) / 4).cast("long"))
 
 
 def decode_ids(df: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text of packed ids."""
-    return df.withColumn(text, decoded(F.col(ids), path, pattern))
+    return df.withColumn(text, decoded(F.col(f"`{ids}`"), path, pattern))

@@ -22,7 +22,7 @@ Defined cases: null sources are one source, the last in order. Null and blank te
 their turn comes like any other's, and they take 0 words. A source without words has target 0.
 Null ids are ordered by their texts. Rows equal in id and text are separate documents that
 follow each other. An empty table gives none. Other columns stay; columns of the names added
-here must not be there before.
+here are replaced.
 """
 
 from __future__ import annotations
@@ -41,6 +41,9 @@ SHARE, MOST = 1.5, 2
 ROWS_PER_BUCKET = 4096
 
 
+ADDED = ("size", "mix_key", "source_size", "target", "taken", "positions")
+
+
 def order_key(doc_id: Column, text: Column) -> Column:
     """The shuffled order, the same at every run: MD5 of id and text."""
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce(text, F.lit("")))))
@@ -86,16 +89,18 @@ def targets(sources: DataFrame, share: float = SHARE, most: int = MOST) -> DataF
     ).otherwise(F.col("level") * F.col("weight"))).drop("bound", "level")
 
 
-def mix(df: DataFrame, source: str = "source", *, weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE,
-        most: int = MOST, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Adds ``source_size, target, taken, positions`` to documents with ``size`` (words) and
-    ``mix_key`` (:func:`order_key`); ``positions`` holds a training position for each time that
-    the document is taken. Only the columns of ``df`` are shuffled."""
+def mix(df: DataFrame, size: Column, key: Column, source: str = "source", *, weights=WEIGHTS, schedules=SCHEDULES,
+        share: float = SHARE, most: int = MOST, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Adds ``size, mix_key, source_size, target, taken, positions`` to documents: ``size`` (words) and
+    ``mix_key`` (:func:`order_key`) as given, ``positions`` a training position for each time that the
+    document is taken. Only the columns of ``df`` are shuffled."""
     rows = df.count()
     digits = 1
     while rows > rows_per_bucket * 16**digits:
         digits += 1
-    sized = df.withColumns({"mix_source": F.col(f"`{source}`"), "mix_bucket": F.substring("mix_key", 1, digits)})
+    # the rows as they came stand in one column, so that no name of theirs meets one of these
+    sized = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), size.alias("size"), key.alias("mix_key"),
+                      F.col(f"`{source}`").alias("mix_source")).withColumn("mix_bucket", F.substring("mix_key", 1, digits))
     sums = sized.groupBy("mix_source", "mix_bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
@@ -120,7 +125,8 @@ def mix(df: DataFrame, source: str = "source", *, weights=WEIGHTS, schedules=SCH
         joined = joined.withColumn(f"at_{turn}", F.when(F.col(part).isNotNull(), chosen))
     positions = F.array_compact(F.array(*[F.col(f"at_{turn}") for turn in range(most)]))
     out = joined.withColumn("positions", positions).withColumn("taken", F.col("size") * F.size("positions"))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], "source_size", "target", "taken", "positions")
+    own = [F.col(f"row.`{c}`") for c in df.columns if c.lower() not in ADDED]
+    return out.select(*own, *ADDED)
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

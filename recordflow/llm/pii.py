@@ -221,19 +221,20 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def replaced(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """``df`` with surrogates in its texts, and ``n_found``, how many finds were replaced."""
-    own, ident = free_name(df, "own_finds"), free_name(df, "find_key")
-    texts = F.col(f"`{text}`")
-    looked = df.withColumn(own, found(texts))
+    """``df`` with surrogates in its texts, and ``n_found``, how many finds were replaced (a
+    column of that name is replaced)."""
+    texts, names = F.col(f"`{text}`"), [c for c in df.columns if c.lower() != "n_found"]
+    own, ident, key_name, new_name = (free_name(df, x) for x in ("own_finds", "find_key", "map_key", "new_by_find"))
+    looked = df.select(*[F.col(f"`{c}`") for c in names], found(texts).alias(own))
     without = looked.where(F.coalesce(F.size(own), F.lit(0)) <= 0).drop(own).withColumn("n_found", F.lit(0))
     having = looked.where(F.size(own) > 0).withColumn(ident, F.sha2(texts, 256))
     pairs = cut(having.select(F.col(ident).alias("key"), F.explode(F.array_distinct(own)).alias("find")).distinct())
     made = surrogates(pairs.select("find").distinct(), key)
-    maps = pairs.join(made, "find").groupBy("key").agg(
-        F.map_from_entries(F.collect_list(F.struct("find", "surrogate"))).alias("new_by_find"))
-    joined = having.join(maps, F.col(ident) == F.col("key"))
+    maps = pairs.join(made, "find").groupBy(F.col("key").alias(key_name)).agg(
+        F.map_from_entries(F.collect_list(F.struct("find", "surrogate"))).alias(new_name))
+    joined = having.join(maps, F.col(ident) == F.col(key_name))
     gaps = F.split(texts, PATTERN, -1)
-    new = F.concat(F.transform(own, lambda f: F.element_at("new_by_find", f)), F.array(F.lit("")))
+    new = F.concat(F.transform(own, lambda f: F.element_at(new_name, f)), F.array(F.lit("")))
     whole = F.array_join(F.zip_with(gaps, new, lambda a, b: F.concat(a, b)), "")
-    columns = [whole.alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
+    columns = [whole.alias(c) if c == text else F.col(f"`{c}`") for c in names]
     return joined.select(*columns, F.size(own).alias("n_found")).unionByName(without)

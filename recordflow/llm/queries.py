@@ -92,7 +92,7 @@ def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(
         "doc_id", "source", n_words(F.col("text")).alias("size"),
         mixing.order_key(F.col("doc_id"), F.col("text")).alias("mix_key"))
-    mixed = mixing.mix(cut(docs))
+    mixed = mixing.mix(cut(docs), F.col("size"), F.col("mix_key"))
     return mixed.select(
         "doc_id", "size", "source_size", "target", "taken",
         F.get("positions", F.lit(0)).alias("position"), F.get("positions", F.lit(1)).alias("position_again"),
