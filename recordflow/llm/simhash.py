@@ -69,20 +69,20 @@ def fingerprint(text: Column, width: int = WIDTH, seed: int = SEED) -> Column:
     return work(text)
 
 
-def _cells(fp: Column) -> Column:
-    """Keys of a fingerprint's own two cells and of those that it probes.
+def _cells(fp: Column) -> tuple[Column, Column]:
+    """Keys of a fingerprint's own two cells, and of those that it probes.
 
     The counts of a half's 16 segments stand packed in 32 bits, two bits each: x - (x >> 1 &
     0101...) turns each pair of bits into its count.
     """
-    keys, nothing = [], F.array().cast("array<bigint>")
+    own, probed, nothing = [], [], F.array().cast("array<bigint>")
     for half, bits in enumerate((fp.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(fp, 32))):
         counts = bits - F.shiftright(bits, 1).bitwiseAND(0x55555555) + F.lit(half << 32)
-        keys.append(F.array(counts))
+        own.append(counts)
         for j in range(16):
             up = counts + F.lit(1 << 2 * j)
-            keys.append(F.when(F.shiftright(counts, 2 * j).bitwiseAND(3) < 2, F.array(up)).otherwise(nothing))
-    return F.concat(*keys)
+            probed.append(F.when(F.shiftright(counts, 2 * j).bitwiseAND(3) < 2, F.array(up)).otherwise(nothing))
+    return F.array(*own), F.concat(*probed)
 
 
 def _forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +133,12 @@ def links(fps: DataFrame, fp: str = "fp", radius: int = RADIUS, block: int = BLO
     fewer differing bits (directly or through others). ``fps`` holds each fingerprint once."""
     if radius > 3:
         raise ValueError("two halves prove a distance of 1 in one of them up to radius 3")
-    spread = fps.select(F.col(fp).alias("fp"), F.explode(_cells(F.col(fp))).alias("cell"))
-    # a key and the number of its members; keys met by one alone are of no use
-    members = spread.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    own_cells, probed = _cells(F.col(fp))
+    spread = fps.select(F.col(fp).alias("fp"), F.explode(own_cells).alias("cell"), F.lit(1).alias("lives")).union(
+        fps.select(fp, F.explode(probed), F.lit(0)))
+    # cells in which somebody lives and somebody else is met
+    members = spread.groupBy("cell").agg(F.count("*").alias("n"), F.max("lives").alias("lived")).where("n > 1 and lived = 1")
+    spread, members = spread.select("cell", "fp"), members.select("cell", "n")
     met = spread.join(members, "cell")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
