@@ -196,7 +196,7 @@ def _grouped(docs: DataFrame, radius: int, block: int) -> DataFrame:
 def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One row of each component stays: the smallest id, null ids last; of several rows with it,
     the one whose columns hash lowest, once. All columns of ``df`` stay."""
-    row = free_name(df, "row_hash")
+    row, keep_id, keep_row = (free_name(df, x) for x in ("row_hash", "keep_id", "keep_row"))
     hashed = df.withColumn(row, row_hash(df))
     width, seed = options.get("width", WIDTH), options.get("seed", SEED)
     docs = cut(hashed.select(
@@ -205,6 +205,7 @@ def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     grouped = _grouped(docs, options.get("radius", RADIUS), options.get("block", BLOCK))
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     keep = grouped.groupBy("root").agg(best.alias("best"))
-    keep = keep.select(F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
-    at = (F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("keep_id"))) & (F.col(f"`{row}`") == F.col("keep_row"))
-    return hashed.join(keep, at, "left_semi").dropDuplicates().select(*[F.col(f"`{c}`") for c in df.columns])
+    keep = keep.select(F.col("best.doc_id").alias(keep_id), F.col("best.row").alias(keep_row))
+    own_id = F.col(f"`{doc_id}`").cast("long")
+    chosen = hashed.join(keep, own_id.eqNullSafe(F.col(keep_id)) & (F.col(f"`{row}`") == F.col(keep_row)), "left_semi")
+    return chosen.dropDuplicates([doc_id, row]).drop(row)
