@@ -29,7 +29,7 @@ from .common import free_name
 
 #: Phrase hashes kept in a fingerprint.
 KEPT = 64
-_SECTIONS, _PARAGRAPHS, _PHRASES = r"(?<=\n\n)", r"(?<=\n)", r"(?<=[^a-z]|[aeiou])\s+"
+_SECTIONS, _PARAGRAPHS, _PHRASES = r"(?<=\n\n)(?!\z)", r"(?<=\n)(?!\z)", r"(?<=[^a-z]|[aeiou])\s+"
 ROWS_PER_RANGE, MOST_RANGES, SAMPLES = 4096, 1 << 16, 16
 
 
