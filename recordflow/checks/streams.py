@@ -26,8 +26,6 @@ from recordflow.sources.messages import decode_messages
 from recordflow.streaming import notifications, records, statistics, tasks
 from recordflow.streaming.settings import finish, landed_stream
 
-SECONDS = 1800
-
 
 def land_in_parts(rows: DataFrame, by: str, folder: str) -> Sequence[Callable[[], None]]:
     """Three writers that together land all rows, in the order of the number ``by``."""
@@ -41,7 +39,7 @@ def run_in_parts(rows: DataFrame, by: str, folder: str, start: Callable) -> None
     """Lands each part and runs ``start(stream)`` to its end after it."""
     for land in land_in_parts(rows, by, folder):
         land()
-        finish(start(landed_stream(rows.sparkSession, folder, rows.schema)), SECONDS)
+        finish(start(landed_stream(rows.sparkSession, folder, rows.schema)))
 
 
 @query("stream_task_stats", f"""
@@ -122,8 +120,7 @@ def _(tables):
     tables.events.groupBy("user_id").count().where("count > 70").select(
         F.col("user_id").cast("string").alias("value")).write.text(f"{work}/cancellations")
     finish(tasks.start_cancellations(
-        spark.readStream.text(f"{work}/cancellations"), cancelled, f"{work}/checkpoint-cancel"),
-        SECONDS)
+        spark.readStream.text(f"{work}/cancellations"), cancelled, f"{work}/checkpoint-cancel"))
     bindings.task_lines(tables).write.text(f"{work}/lines")
     files = tables.events.select(
         F.concat(F.lit("file"), F.col("event_id").cast("string")).alias("file_url"),
@@ -131,7 +128,7 @@ def _(tables):
     finish(tasks.start_tasks(
         spark.readStream.text(f"{work}/lines"), lambda: files,
         lambda rows: rows.withColumn("status", F.lit("CONTINUE")), cancelled, f"{work}/tasks",
-        f"{work}/checkpoint-tasks"), SECONDS)
+        f"{work}/checkpoint-tasks"))
     return spark.read.parquet(f"{work}/tasks").where("exception is null").select(
         "task_id", "task_name", "file_url")
 

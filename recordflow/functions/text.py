@@ -78,7 +78,8 @@ def utf8_bytes(value: Column) -> Column:
 
 
 def utf8_text(value: Column) -> Column:
-    return F.decode(value, "UTF-8")
+    """Bytes as text; what is no UTF-8 becomes U+FFFD, so that no row can stop a job."""
+    return F.make_valid_utf8(value.cast("string"))
 
 
 def xml_escape(value: Column) -> Column:

@@ -80,12 +80,14 @@ def fold_references(looked_up: DataFrame) -> DataFrame:
 
 
 def enrich(records: DataFrame, references: Column, entities: DataFrame,
-           enriched: Column, execution_id: str, tolerate: bool = False) -> DataFrame:
+           enriched: Column, execution_id: str, tolerate: bool = False,
+           failure: Column | None = None) -> DataFrame:
     """Records with their entities added.
 
     ``references`` is an array column of a record; ``enriched`` builds the new data from
     the record and the ``labels`` array. Unresolved references stop the record, with one
     report line each; with ``tolerate`` only a record of which none resolves is stopped.
+    ``failure`` says of a record why it can't be enriched at all, null where it can.
     """
     folded = fold_references(lookup_references(record_references(records, references), entities))
     joined = records.join(folded, KEY, "left").withColumns({
@@ -97,11 +99,5 @@ def enrich(records: DataFrame, references: Column, entities: DataFrame,
         stopped = stopped & (F.size("labels") == 0)
     return step_result(
         joined, execution_id, schema.ENRICHMENT, enriched,
-        F.when(stopped, F.array_join("reports", "\n")))
-
-
-def labels_before_end(record_data: Column, labels: Column, root: str = "record") -> Column:
-    """The record with one ``concept`` element per label added at its end."""
-    end = f"</{root}>"
-    body = F.left(record_data, F.length(record_data) - F.lit(len(end)))
-    return F.concat(body, text.xml_elements("concept", labels), F.lit(end))
+        F.coalesce(F.lit(None).cast("string") if failure is None else failure,
+                   F.when(stopped, F.array_join("reports", "\n"))))

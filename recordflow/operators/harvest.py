@@ -52,8 +52,9 @@ def assign_id(harvested: DataFrame, dataset_id: Column, local_id: Column, execut
         dataset_id.alias("dataset_id"),
         F.lit(execution_id).alias("execution_id"),
         F.lit(execution_name).alias("execution_name"),
-        error_identity(F.col("external_id"), F.when(F.col("exception").isNull(), assigned),
-                       harvested=True).alias("record_id"),
+        # what could not be fetched is named by its listing, what got no id by its harvest
+        F.when(F.col("exception").isNotNull(), error_identity(F.col("external_id"))).otherwise(
+            error_identity(F.col("external_id"), assigned, harvested=True)).alias("record_id"),
         F.when(failure.isNull(), F.col("content")).otherwise(F.lit("")).alias("record_data"),
         failure.alias("exception"),
     )
@@ -99,5 +100,6 @@ def task_params_join(messages: DataFrame, params: DataFrame,
         "output_mime_type": F.when(
             F.col("known"), F.coalesce("output_mime_type", F.lit(default_mime_type))),
         "exception": F.when(F.col("known").isNull(), F.concat(
-            F.lit("no parameters for task "), F.col("task_id").cast("string"))),
+            F.lit("no parameters for task "),
+            F.coalesce(F.col("task_id").cast("string"), F.lit("without an id")))),
     }).drop("known")

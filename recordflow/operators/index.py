@@ -34,13 +34,16 @@ def publishable(tier: Column, target: str) -> Column:
     return tier != TIERS[0]
 
 
-def index_step(records: DataFrame, tier: Column, target: str, execution_id: str) -> DataFrame:
-    """Records that go to the index, the others as errors."""
+def index_step(records: DataFrame, tier: Column, target: str, execution_id: str,
+               failure: Column | None = None) -> DataFrame:
+    """Records that go to the index, the others as errors; ``failure`` first, where it is set."""
+    # Fixed value: the text of a refusal.
     refused = F.concat(
         F.lit(f"Record deleted from database {target}, cause it was in media tier 0! Id: "),
         F.col("record_id"))
     return step_result(records, execution_id, schema.INDEXING, F.col("record_data"),
-                       F.when(~publishable(tier, target), refused))
+                       F.coalesce(F.lit(None).cast("string") if failure is None else failure,
+                                  F.when(~publishable(tier, target), refused)))
 
 
 def index_upsert(index: DataFrame, incoming: DataFrame) -> DataFrame:

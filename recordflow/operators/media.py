@@ -75,7 +75,7 @@ def media_totals(records: DataFrame, links: Column, metadata: DataFrame) -> Data
 
 
 def enrich_media(records: DataFrame, links: Column, metadata: DataFrame, enriched: Column,
-                 execution_id: str) -> DataFrame:
+                 execution_id: str, failure: Column | None = None) -> DataFrame:
     """Records with their resources' metadata added; failed resources are skipped.
 
     ``enriched`` builds the new data from the record and the ``resources`` array, each
@@ -86,4 +86,4 @@ def enrich_media(records: DataFrame, links: Column, metadata: DataFrame, enriche
         "array<struct<place:int,resource:string,mime:string,bytes:bigint,extracted:boolean>>")
     joined = records.join(folded, KEY, "left").withColumn(
         "resources", F.coalesce("resources", empty))
-    return step_result(joined, execution_id, schema.MEDIA, enriched)
+    return step_result(joined, execution_id, schema.MEDIA, enriched, failure)

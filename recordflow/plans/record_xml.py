@@ -1,4 +1,8 @@
-"""The XML form in which records pass from transformation to the index."""
+"""The XML form in which records pass from transformation to the index.
+
+Steps read the fields they know from the parsed record, and change the record in place: what a
+step does not know is carried on as it is written.
+"""
 
 from __future__ import annotations
 
@@ -25,12 +29,47 @@ def malformed() -> Column:
     return F.when(F.col("xml.malformed").isNotNull(), F.lit(MALFORMED))
 
 
-def build(**changed: Column) -> Column:
-    """The record as text, with some fields changed; null and empty fields are left out."""
-    def field(name: str) -> Column:
-        value = changed.get(name, F.col(f"xml.{name}"))
-        if name in MANY:
-            return text.xml_elements(name, value)
-        return F.coalesce(F.when(value != "", text.xml_element(name, value)), F.lit(""))
+# An element below the root, with all that is inside it.
+_ELEMENT = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s[^<>]*)?(?:/>|>.*?</\1\s*>)"
+_BETWEEN = r"(?s)(?:\s|<!--.*?-->)+"
+_WHOLE = r"(?s)^(.*?<record(?:\s[^<>]*)?>)(.*)(</record\s*>\s*)$"
+
+
+def name_of(element: Column) -> Column:
+    return F.regexp_extract(element, r"^<([A-Za-z_][\w.:-]*)", 1)
+
+
+def value_of(element: Column) -> Column:
+    """What stands inside an element, as it is written; empty for an empty one."""
+    return F.regexp_extract(element, r"(?s)^<[^<>]*[^/<>]>(.*)</[^<>]*>$", 1)
+
+
+def with_value(element: Column, value: Column) -> Column:
+    """The element with other content, its name and attributes kept."""
+    return F.concat(F.regexp_extract(element, r"^<[^<>]*>", 0), value,
+                    F.lit("</"), name_of(element), F.lit(">"))
+
+
+def elements() -> Column:
+    """The record's elements as they are written, in order: known or not, with attributes,
+    repeats and what is inside."""
+    return F.regexp_extract_all(
+        F.regexp_extract("record_data", _WHOLE, 2), F.lit(_ELEMENT), F.lit(0))
+
+
+def unreadable() -> Column:
+    """The malformed, and records with anything between their elements but blanks and comments.
+
+    Such a record could not be put together again without a loss.
+    """
+    left = F.regexp_replace(F.regexp_replace(
+        F.regexp_extract("record_data", _WHOLE, 2), _ELEMENT, ""), _BETWEEN, "")
+    whole = F.coalesce(F.col("record_data"), F.lit("")).rlike(_WHOLE)
+    return F.coalesce(malformed(), F.when(~whole | (left != ""), F.lit(MALFORMED)))
+
 
-    return F.concat(F.lit("<record>"), *[field(name) for name in ORDER], F.lit("</record>"))
+def rebuilt(parts: Column, added: Column | None = None) -> Column:
+    """The record in its own frame, of the given elements and then ``added`` text."""
+    return F.concat(
+        F.regexp_extract("record_data", _WHOLE, 1), F.array_join(parts, ""),
+        F.lit("") if added is None else added, F.regexp_extract("record_data", _WHOLE, 3))

@@ -56,16 +56,28 @@ def internal_validation(rules: Mapping[str, Column]) -> Step:
     return Step(schema.VALIDATION_INTERNAL, run)
 
 
+def normalized_elements() -> Column:
+    """Text values cleaned in place; elements left without content and repeated links dropped."""
+    def clean(element: Column) -> Column:
+        value = record_xml.value_of(element)
+        name = record_xml.name_of(element)
+        cleaned = F.when(name == "language", text.language_code(value)).when(
+            name.isin("title", "description", "link"), text.collapse_spaces(value))
+        return F.when(cleaned.isNotNull(), record_xml.with_value(element, cleaned)).otherwise(element)
+
+    cleaned = F.filter(
+        F.transform(record_xml.elements(), clean),
+        lambda e: ~text.is_blank(record_xml.value_of(e)) | e.rlike(r"^<[^<>]*=[^<>]*>"))
+    links = F.array_distinct(F.filter(cleaned, lambda e: record_xml.name_of(e) == "link"))
+    first = F.transform(links, lambda e: F.array_position(cleaned, e).cast("int") - 1)
+    return F.filter(cleaned, lambda e, i: (record_xml.name_of(e) != "link")
+                    | F.array_contains(first, i))
+
+
 def normalization() -> Step:
     def run(records: DataFrame, execution_id: str) -> DataFrame:
-        data = record_xml.build(
-            language=text.language_code(F.col("xml.language")),
-            title=text.collapse_spaces(F.col("xml.title")),
-            description=text.collapse_spaces(F.col("xml.description")),
-            link=normalize.clean_values(F.col("xml.link")),
-        )
         return step_result(record_xml.with_parsed(records), execution_id, schema.NORMALIZATION,
-                           data, record_xml.malformed())
+                           record_xml.rebuilt(normalized_elements()), record_xml.unreadable())
 
     return Step(schema.NORMALIZATION, run)
 
@@ -74,11 +86,11 @@ def enrichment(entities: DataFrame, reference: Callable[[Column], Column],
                tolerate: bool = False) -> Step:
     """``reference`` turns a link of the record into a key of ``entities``."""
     def run(records: DataFrame, execution_id: str) -> DataFrame:
-        links = text.parse_xml(F.col("record_data"), record_xml.FIELDS)["link"]
+        parsed = record_xml.with_parsed(records)
         return enrich.enrich(
-            records, F.transform(links, reference), entities,
-            enrich.labels_before_end(F.col("record_data"), F.col("labels")),
-            execution_id, tolerate)
+            parsed, F.transform("xml.link", reference), entities,
+            record_xml.rebuilt(record_xml.elements(), text.xml_elements("concept", F.col("labels"))),
+            execution_id, tolerate, record_xml.unreadable())
 
     return Step(schema.ENRICHMENT, run, shuffles=True)
 
@@ -89,11 +101,13 @@ def media_step(metadata: DataFrame) -> Step:
         facts = F.transform(good, lambda r: F.concat_ws(
             " ", r["resource"], r["mime"], r["bytes"].cast("string")))
         has_main = F.coalesce(F.get("resources", F.lit(0))["extracted"], F.lit(False))
-        parsed = record_xml.with_parsed(records)
+        kept = F.filter(record_xml.elements(), lambda e: ~record_xml.name_of(e).isin(
+            "resource", "mainThumbnail"))
+        added = F.concat(text.xml_elements("resource", facts),
+                         text.xml_element("mainThumbnail", has_main.cast("string")))
         return media.enrich_media(
-            parsed, F.col("xml.link"), metadata,
-            record_xml.build(resource=facts, mainThumbnail=has_main.cast("string")),
-            execution_id)
+            record_xml.with_parsed(records), F.col("xml.link"), metadata,
+            record_xml.rebuilt(kept, added), execution_id, record_xml.unreadable())
 
     return Step(schema.MEDIA, run, shuffles=True)
 
@@ -107,7 +121,8 @@ def record_tier() -> Column:
 
 def indexing(target: str) -> Step:
     return Step(schema.INDEXING, lambda records, execution_id: index.index_step(
-        record_xml.with_parsed(records), record_tier(), target, execution_id))
+        record_xml.with_parsed(records), record_tier(), target, execution_id,
+        record_xml.unreadable()))
 
 
 def index_both() -> tuple[Step, Step]:

@@ -50,9 +50,13 @@ def read_chunks(records: DataFrame, plan: DataFrame) -> DataFrame:
     The bounds become one filter on the record id, so the scan can skip files by
     their statistics. ``plan`` rows must be neighbours, as a range of chunk ids is.
     """
-    first = plan.agg(F.min("first_id")).scalar()
-    last = plan.agg(F.max("last_id")).scalar()
-    return records.where((F.col("record_id") >= first) & (F.col("record_id") <= last))
+    bounds = {name: plan.agg(value).scalar() for name, value in (
+        ("first", F.min("first_id")), ("last", F.max("last_id")),
+        ("dataset", F.min("dataset_id")), ("execution", F.min("execution_id")))}
+    return records.where(
+        F.col("dataset_id").eqNullSafe(bounds["dataset"])
+        & F.col("execution_id").eqNullSafe(bounds["execution"])
+        & (F.col("record_id") >= bounds["first"]) & (F.col("record_id") <= bounds["last"]))
 
 
 def resume_pending(source: DataFrame, done: DataFrame, errors: DataFrame) -> DataFrame:

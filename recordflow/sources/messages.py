@@ -9,10 +9,11 @@ MESSAGE = "taskId bigint, recordId string, markedAsDeleted boolean"
 
 
 def topic_messages(spark: SparkSession, servers: str, topics: list[str],
-                   job_name: str) -> DataFrame:
+                   job_name: str, most: int = 100_000) -> DataFrame:
     """An unbounded frame of a message topic. The connector's jar must be on the class path.
 
-    Committed offsets live in the query's checkpoint; a first run starts at the end.
+    Committed offsets live in the query's checkpoint; a first run starts at the end. A
+    micro-batch takes ``most`` messages at most, also after a pause.
     """
     return decode_messages(
         spark.readStream.format("kafka")
@@ -20,6 +21,7 @@ def topic_messages(spark: SparkSession, servers: str, topics: list[str],
         .option("subscribe", ",".join(topics))
         .option("groupIdPrefix", job_name)
         .option("startingOffsets", "latest")
+        .option("maxOffsetsPerTrigger", most)
         .load())
 
 
@@ -50,4 +52,4 @@ def parse_task_lines(frame: DataFrame) -> DataFrame:
 
 def parse_cancelled_ids(frame: DataFrame) -> DataFrame:
     """One row per task id; a line may hold many."""
-    return _tokens(frame).select(F.explode("token").alias("task_id"))
+    return _tokens(frame).select(F.explode("token").alias("task_id")).where(F.col("task_id") != "")

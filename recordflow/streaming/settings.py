@@ -56,8 +56,13 @@ def start(writer: DataStreamWriter, checkpoint: str, name: str | None = None,
     return writer.trigger(availableNow=True).start()
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> None:
-    """Waits for a bounded query; stops it and fails when it takes longer."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Waits for a bounded query, however long it takes.
+
+    With ``seconds``, as in tests, a query that takes longer is stopped and fails.
+    """
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"query {query.name or query.id} still ran after {seconds} s")

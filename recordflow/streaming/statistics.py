@@ -61,7 +61,7 @@ def task_statistics(tasks: DataFrame, status: Column, ttl_ms: int = TIME_TO_LIVE
     task go through one state in turn.
     """
     counted = tasks.select(
-        tasks["task_id"].cast("bigint").alias("task_id"),
+        tasks["task_id"].try_cast("bigint").alias("task_id"),
         *[flag.cast("bigint").alias(name) for name, flag in statistics_flags(status).items()])
     if not each_row:
         counted = counted.mapInPandas(_combined, STATISTICS)

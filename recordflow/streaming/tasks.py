@@ -36,7 +36,8 @@ def without_cancelled(cancelled: ChangeTable) -> Callable[[DataFrame], DataFrame
     def keep(batch: DataFrame) -> DataFrame:
         ids = cancelled.state()
         return cancel_filter(batch, ids.select(
-            F.col("task_id").cast(batch.schema["task_id"].dataType).alias("task_id")))
+            F.col("task_id").try_cast(batch.schema["task_id"].dataType).alias("task_id")).where(
+                F.col("task_id").isNotNull()))
 
     return keep
 

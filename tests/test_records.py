@@ -122,9 +122,9 @@ def test_harvest_cases(spark):
         (None, "", "header has no identifier")]
     assigned = harvest.assign_id(out, F.lit("d1"), F.col("external_id"), "e0")
     assert rows(assigned, "record_id", "exception") == [
-        ("/d1/a", None), ("/externalIdentifier/", "header has no identifier"),
-        ("/externalIdentifier/b", "no record for b"),
-        ("/externalIdentifier/d", "no content for d")]
+        ("/d1/a", None), ("/oaiIdentifier/", "header has no identifier"),
+        ("/oaiIdentifier/b", "no record for b"),
+        ("/oaiIdentifier/d", "no content for d")]
 
 
 def test_two_ids_that_become_one_are_reported(spark):
@@ -289,3 +289,22 @@ def test_counter_going_backward(spark):
     assert rows(progress.progress_delta(frame, ["checkpoint_id"]), "split_id", "increase") == [
         ("s", -2), ("s", 4), ("s", 5), ("t", 4)]
     assert rows(progress.progress_violations(frame, ["checkpoint_id"]), "checkpoint_id") == [(3,)]
+
+
+def test_bad_bytes_and_ids_stop_nothing(spark):
+    from recordflow.functions import text
+    from recordflow.sources.chunks import chunk_plan, read_chunks
+    from recordflow.sources.messages import parse_cancelled_ids
+
+    data = spark.createDataFrame([(bytearray(b"ok \xc3\xa9"),), (bytearray(b"bad \xff!"),), (None,)], "b binary")
+    assert [r.t for r in data.select(text.utf8_text(F.col("b")).alias("t")).collect()] == ["ok é", "bad �!", None]
+    ids = spark.createDataFrame([("7 x",), ("",), (" 8  9",)], "value string")
+    assert rows(parse_cancelled_ids(ids)) == [("7",), ("8",), ("9",), ("x",)]
+    messages = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "task_id long, resource string")
+    params = spark.createDataFrame([(1, None)], "task_id long, output_mime_type string")
+    joined = harvest.task_params_join(messages, params)
+    assert rows(joined, "resource", "output_mime_type", "exception") == [
+        ("a", "text/plain", None), ("b", None, "no parameters for task without an id"), ("c", None, "no parameters for task 2")]
+    stored = spark.createDataFrame([(d, "e", f"r{i}") for d in "ab" for i in range(6)], "dataset_id string, execution_id string, record_id string")
+    plan = chunk_plan(stored.where("dataset_id = 'a'"), 2).where("chunk_id = 1")
+    assert rows(read_chunks(stored, plan), "dataset_id", "record_id") == [("a", "r2"), ("a", "r3")]

@@ -180,3 +180,39 @@ def test_parameters_are_checked_before_anything_runs(spark, folder):
     with pytest.raises(MissingParameter):
         jobs.run_job(workflow, schema.MEDIA, jobs.Inputs(), dataset_id="d1")
     assert workflow.progress.state().count() == 0
+
+
+CUT_OFF = "<record><about>x</about><title>half"
+ODD = ('<?xml version="1.0"?>\n<record id="7">\n <about>a</about><title lang="en">  One\n two </title><title>Three &amp; four</title>'
+       '<creator role="x"><name>N  N</name></creator><language>ENG</language><title/><flag on="1"/><!-- note -->'
+       '<link>u1</link><link> u1 </link><link>u2</link><mainThumbnail>old</mainThumbnail></record>\n')
+NESTED = "<record><a><a>x</a></a></record>"
+
+
+def run_on(spark, step, *texts):
+    records = spark.createDataFrame([("d", str(i), t) for i, t in enumerate(texts)], "dataset_id string, record_id string, record_data string")
+    return {r.record_id: r for r in step.run(records, "e").collect()}
+
+
+def test_no_step_loses_or_fakes_a_record(spark):
+    entities = spark.createDataFrame([("u1", "L1"), ("u2", "L2")], "reference string, label string")
+    metadata = spark.createDataFrame([("u1", "image/png", 5)], "resource string, mime string, bytes long")
+    for step in (steps.normalization(), steps.enrichment(entities, lambda link: link), steps.media_step(metadata), steps.indexing("PREVIEW")):
+        got = run_on(spark, step, CUT_OFF, ODD, None, "", "no record", NESTED)
+        for key in ("0", "2", "3", "4", "5"):
+            assert got[key].exception == record_xml.MALFORMED and got[key].record_data == "", (step.name, key)
+        assert '<creator role="x"><name>N  N</name></creator>' in got["1"].record_data or got["1"].exception
+
+
+def test_records_are_changed_in_place(spark):
+    normal = run_on(spark, steps.normalization(), ODD)["0"].record_data
+    assert normal == ('<?xml version="1.0"?>\n<record id="7"><about>a</about><title lang="en">One two</title><title>Three &amp; four</title>'
+                      '<creator role="x"><name>N  N</name></creator><language>en</language><flag on="1"/><link>u1</link><link>u2</link>'
+                      '<mainThumbnail>old</mainThumbnail></record>\n')
+    entities = spark.createDataFrame([("u1", "L & 1"), ("u2", "L2")], "reference string, label string")
+    enriched = run_on(spark, steps.enrichment(entities, lambda link: link), normal)["0"].record_data
+    assert enriched == normal.replace("</record>", "<concept>L &amp; 1</concept><concept>L2</concept></record>")
+    metadata = spark.createDataFrame([("u1", "image/png", 5)], "resource string, mime string, bytes long")
+    media = run_on(spark, steps.media_step(metadata), enriched)["0"].record_data
+    assert media == enriched.replace("<mainThumbnail>old</mainThumbnail>", "").replace(
+        "</record>", "<resource>u1 image/png 5</resource><mainThumbnail>true</mainThumbnail></record>")
