@@ -8,7 +8,7 @@ kept; names by names of the title's gender and the name's script; addresses in r
 domains and networks.
 
 Surrogates are keyed: SHA-256 of key, type, plain form and round. The plain form (lower case,
-letters and digits only) is the same for all spellings of one entity, so they get one surrogate
+letters and digits only where separators are free) is the same for all spellings of one entity, so they get one surrogate
 in each spelling's format, in all documents. A collision check keeps entities apart: of
 entities with one surrogate the first keeps it, nobody gets a surrogate that is itself found in
 the texts, and the others try again with the next round's hash until all have one.
@@ -91,7 +91,7 @@ def _plain(kind: Column, find: Column) -> Column:
     name = F.lower(F.regexp_replace(find, rf"^(?iu:{_TITLES})\.? ", ""))
     # the gender and script of a name are part of it, so that its surrogate's can follow
     return F.when(kind == "person", F.concat(_gender(find), F.lit(":"), name)).when(
-        (kind == "email") | ((kind == "ip") & find.contains(".")), F.lower(find)).otherwise(F.lower(F.regexp_replace(find, r"[^\p{L}\p{N}]", "")))
+        kind.isin("email", "secret") | ((kind == "ip") & find.contains(".")), F.lower(find)).otherwise(F.lower(F.regexp_replace(find, r"[^\p{L}\p{N}]", "")))
 
 
 def _letters(text: Column) -> Column:
@@ -105,21 +105,28 @@ def _gender(find: Column) -> Column:
     return F.when(titled("male"), "male").when(titled("female"), "female").otherwise("any")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is put together once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _digits_of(stream: Column, i: Column, size: int) -> Column:
-    return F.pmod(F.conv(stream.substr(i * 2 + 1, F.lit(2)), 16, 10).try_cast("int"), F.lit(size))
+    """A number below ``size`` from byte i of the hash."""
+    return F.pmod(F.conv(F.get(stream, i), 16, 10).try_cast("int"), F.lit(size))
 
 
 def _pick(choices, n: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in choices]), n + 1)
 
 
-def _characters(plain: Column, stream: Column, hexes: Column, keep: Column) -> Column:
-    """Each letter or digit after the first ``keep`` replaced by one of its sort."""
-    def one(c: Column, i: Column) -> Column:
-        letter = F.when(hexes, F.substring(F.lit("abcdef"), 1, 6).substr(_digits_of(stream, i, 6) + 1, F.lit(1))).otherwise(
+def _characters(plain: Column, stream: Column, hexes: Column, shift: int = 0) -> Column:
+    """Each letter or digit replaced by one of its sort."""
+    def one(c: Column, place: Column) -> Column:
+        i = place + shift
+        letter = F.when(hexes, F.lit("abcdef").substr(_digits_of(stream, i, 6) + 1, F.lit(1))).otherwise(
             F.lit("abcdefghijklmnopqrstuvwxyz").substr(_digits_of(stream, i, 26) + 1, F.lit(1)))
         cyrillic = F.lit("абвгдежзиклмнопрстуфхцчшэюя").substr(_digits_of(stream, i, 27) + 1, F.lit(1))
-        return F.when(i < keep, c).when(c.rlike(r"\d"), _digits_of(stream, i, 10).cast("string")).when(
+        return F.when(c.rlike(r"\d"), _digits_of(stream, i, 10).cast("string")).when(
             c.rlike(r"\p{IsCyrillic}"), cyrillic).when(c.rlike(r"\p{L}|\p{N}"), letter).otherwise(c)
 
     return F.array_join(F.transform(_letters(plain), one), "")
@@ -135,19 +142,23 @@ def _luhn(digits: Column) -> Column:
 
 def _surrogate(kind: Column, plain: Column, key: str, turn: int) -> Column:
     """The surrogate's plain form, from the keyed hash of this turn."""
-    # a random byte for each character: blocks of 32
-    stream = F.array_join(F.transform(
-        F.sequence(F.lit(0), (F.length(plain) / 32).cast("int") + 1),
-        lambda b: F.sha2(F.concat_ws("|", F.lit(key), kind, plain, F.lit(str(turn)), b.cast("string")), 256)), "")
+    # a random byte for each character, at least 64 of them: blocks of 32
+    blocks = F.transform(F.sequence(F.lit(0), (F.length(plain) / 32).cast("int") + 1), lambda b: F.sha2(
+        F.concat_ws("|", F.lit(key), kind, F.md5(plain), F.lit(str(turn)), b.cast("string")), 256))
+    stream = F.regexp_extract_all(F.array_join(blocks, ""), F.lit("[0-9a-f]{2}"), F.lit(0))
+    return _bound(stream, lambda s: _formed(kind, plain, s, turn))
+
+
+def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
     hexes = plain.rlike("^[0-9a-f]*$")
-    digits = _characters(plain, stream, hexes, F.lit(0))
+    digits = _bound(hexes, lambda h: _characters(plain, stream, h))
     local, domain = F.substring_index(plain, "@", 1), _pick(("com", "net", "org"), _digits_of(stream, F.lit(40), 3))
-    email = F.concat(_characters(local, stream, F.lit(False), F.lit(0)), F.lit("@example."), domain)
+    email = F.concat(_characters(local, stream, F.lit(False)), F.lit("@example."), domain)
     octets = [(240 + _digits_of(stream, F.lit(0), 15)).cast("string"), *[
         _digits_of(stream, F.lit(i), 254).cast("string") for i in (1, 2, 3)]]
     ip = F.when(plain.rlike(r"^\d+(\.\d+){3}$"), F.concat_ws(".", *octets)).otherwise(digits)
     off = F.concat(plain.substr(F.lit(1), F.lit(1)), _characters(
-        plain.substr(F.lit(2), F.length(plain) - 2), F.substring(stream, 3, 1 << 30), F.lit(False), F.lit(0)))
+        plain.substr(F.lit(2), F.length(plain) - 2), stream, F.lit(False), 1))
     check = F.pmod(_luhn(plain) - _luhn(F.concat(off, F.lit("0"))), F.lit(10))
     card = F.concat(off, check.cast("string"))
     gender = F.substring_index(plain, ":", 1)
@@ -176,16 +187,19 @@ def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
     name = F.initcap(F.substring_index(surrogate, ":", -1))
     person = F.concat(title, F.when(F.upper(bare) == bare, F.upper(name)).otherwise(name))
     ip = F.when(find.contains("."), surrogate)
-    characters = _letters(find)
-    places = F.filter(F.transform(characters, lambda c, i: F.when(c.rlike(r"\p{L}|\p{N}"), i)), lambda i: i.isNotNull())
-    dense = F.size(places) == F.size(characters)
+    # secrets are spelt in one way; of the others, which are short, separators are passed over
+    places = F.when(kind != "secret", F.filter(
+        F.transform(_letters(find), lambda c, i: F.when(c.rlike(r"\p{L}|\p{N}"), i)), lambda i: i.isNotNull()))
+
+    def spelt(known: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            at = F.when(kind == "secret", i).otherwise(F.array_position(known["places"], i).cast("int") - 1)
+            new = F.get(known["new"], at)
+            return F.when((kind != "secret") & ~c.rlike(r"\p{L}|\p{N}"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
-    def one(c: Column, i: Column) -> Column:
-        at = F.when(dense, i + 1).otherwise(F.array_position(places, i).cast("int"))
-        new = surrogate.substr(at, F.lit(1))
-        return F.when(~dense & ~c.rlike(r"\p{L}|\p{N}"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
+        return F.array_join(F.transform(_letters(find), one), "")
 
-    others = F.array_join(F.transform(characters, one), "")
+    others = _bound(F.struct(_letters(surrogate).alias("new"), places.alias("places")), spelt)
     # phone numbers keep their country code
     code = F.regexp_extract(find, r"^(\+\d{1,3})(?=[ .(-])", 1)
     phone = F.concat(code, others.substr(F.length(code) + 1, F.length(others)))
