@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 2048  # a power of two
+# Bounds what is carried and sampled (16 keys a range). From 65 billion rows on, ranges grow.
+MAX_RANGES = 1 << 16
 _SAMPLES_PER_RANGE = 16
 
 
@@ -44,8 +45,10 @@ def _range_bounds(df: DataFrame, sort_columns: Sequence[str], rows_per_range: in
 
 
 def _bounds_up_to(bounds: str, key: Column) -> Column:
-    """How many of the sorted ``bounds`` are at most ``key``, by binary search."""
-    steps = F.array(*[F.lit(MAX_RANGES >> i) for i in range(MAX_RANGES.bit_length())])
+    """How many of the sorted ``bounds`` are at most ``key``, by binary search, in as many steps
+    as the number of bounds asks for."""
+    depth = F.ceil(F.log2(F.size(bounds) + 1)).cast("int")
+    steps = F.transform(F.sequence(F.lit(0), depth), lambda i: F.pow(F.lit(2), depth - i).cast("int"))
 
     def search(value: Column) -> Column:
         return F.aggregate(steps, F.lit(0), lambda low, step: low + F.when(

@@ -19,19 +19,19 @@ SETTINGS = {
 
 
 SHUFFLE_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def size_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def size_settings(input_bytes: int, cores: int, most_partitions: int | None = None) -> dict[str, str]:
     """Partition counts for a job that shuffles about ``input_bytes``.
 
     Spark's default of 200 partitions would make each one 500 GB for 100 TB. Partitions
     start small enough for a task's memory; adaptive execution joins those that turn out
-    small. There are at least two per core, and no more than the shuffle can track well.
+    small. There are at least two per core. ``most_partitions`` is for clusters whose driver can't
+    track so many: partitions are larger then, and need the memory for it.
     """
     wanted = max(-(-input_bytes // SHUFFLE_BYTES), 2 * cores)
     return {
-        "spark.sql.shuffle.partitions": str(min(wanted, MAX_SHUFFLE_PARTITIONS)),
+        "spark.sql.shuffle.partitions": str(min(wanted, most_partitions or wanted)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),
     }
 

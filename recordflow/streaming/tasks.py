@@ -33,13 +33,13 @@ def start_cancellations(lines: DataFrame, cancelled: ChangeTable, checkpoint: st
 
 def without_cancelled(cancelled: ChangeTable) -> Callable[[DataFrame], DataFrame]:
     """A filter that reads the cancelled tasks each time it is used."""
-    def keep(batch: DataFrame) -> DataFrame:
-        ids = cancelled.state()
-        return cancel_filter(batch, ids.select(
-            F.col("task_id").try_cast(batch.schema["task_id"].dataType).alias("task_id")).where(
-                F.col("task_id").isNotNull()))
+    return lambda batch: not_cancelled(batch, cancelled.state())
 
-    return keep
+
+def not_cancelled(batch: DataFrame, ids: DataFrame) -> DataFrame:
+    """Without the tasks of ``ids``, text; an id that no task of the batch can have is passed over."""
+    typed = F.col("task_id").try_cast(batch.schema["task_id"].dataType)
+    return cancel_filter(batch, ids.select(typed.alias("task_id")).where("task_id is not null"))
 
 
 def start_tasks(lines: DataFrame, files: Callable[[], DataFrame],

@@ -94,4 +94,5 @@ def test_partitions_follow_the_size_of_the_data():
 
     assert partitions(0, 8) == 16
     assert partitions(1 << 40, 8) == 4096
-    assert partitions(100 << 40, 4000) == 100_000
+    assert partitions(100 << 40, 4000) == 409_600
+    assert size_settings(100 << 40, 4000, 100_000)["spark.sql.shuffle.partitions"] == "100000"
