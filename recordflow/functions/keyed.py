@@ -8,6 +8,8 @@ third of all rows costs no more than any other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,3 +31,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row that comes last in ``order``, for each key."""
     return _one_per_key(df, keys, order, F.max_by)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """An equi join in which a null key meets a null key; the keys stay once.
+
+    A blank dataset id is read back from its partition as null, and must still be found.
+    """
+    other = right.select(*[
+        F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recordflow import schema
 from recordflow.functions import text
+from recordflow.functions.keyed import null_safe_join
 from recordflow.operators.project import step_result
 
 CONTINUE, STOP = "CONTINUE", "STOP"
@@ -90,7 +91,7 @@ def enrich(records: DataFrame, references: Column, entities: DataFrame,
     ``failure`` says of a record why it can't be enriched at all, null where it can.
     """
     folded = fold_references(lookup_references(record_references(records, references), entities))
-    joined = records.join(folded, KEY, "left").withColumns({
+    joined = null_safe_join(records, folded, KEY, "left").withColumns({
         "labels": F.coalesce("labels", F.array().cast("array<string>")),
         "reports": F.coalesce("reports", F.array().cast("array<string>")),
     })

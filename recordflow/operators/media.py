@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from recordflow import schema
 from recordflow.functions import text
+from recordflow.functions.keyed import null_safe_join
 from recordflow.operators.project import step_result
 
 KEY = ["dataset_id", "record_id"]
@@ -84,6 +85,6 @@ def enrich_media(records: DataFrame, links: Column, metadata: DataFrame, enriche
     folded = folded_links(looked_up_links(resource_links(records, links), metadata))
     empty = F.array().cast(
         "array<struct<place:int,resource:string,mime:string,bytes:bigint,extracted:boolean>>")
-    joined = records.join(folded, KEY, "left").withColumn(
+    joined = null_safe_join(records, folded, KEY, "left").withColumn(
         "resources", F.coalesce("resources", empty))
     return step_result(joined, execution_id, schema.MEDIA, enriched, failure)

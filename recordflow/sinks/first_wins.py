@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordflow.functions.keyed import first_per_key
+from recordflow.functions.keyed import first_per_key, null_safe_join
 from recordflow.schema import RECORD_KEY
 
 
@@ -19,12 +19,12 @@ def rows_to_insert(incoming: DataFrame, existing: DataFrame, order: Sequence[str
     come in again: mostly none or few, so that Spark can broadcast them and the rows
     themselves need no shuffle. ``unique`` says that no key is repeated in the batch,
     which saves the grouping of whole rows. One writer per execution: two writers cannot
-    see each other's rows.
+    see each other's rows. Null keys are equal to each other.
     """
     keys = list(keys)
     rows = incoming if unique else first_per_key(incoming, keys, order)
-    again = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi")
-    return rows.join(again, keys, "left_anti").select(*incoming.columns)
+    again = null_safe_join(existing.select(*keys), incoming.select(*keys), keys, "left_semi")
+    return null_safe_join(rows, again, keys, "left_anti").select(*incoming.columns)
 
 
 def insert_first_wins(incoming: DataFrame, existing: DataFrame, order: Sequence[str],
@@ -39,7 +39,7 @@ def insert_counts(incoming: DataFrame, existing: DataFrame,
     """Per execution: rows inserted and rows skipped because their key was there."""
     per_key = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     known = existing.select(*keys).distinct().withColumn("known", F.lit(1))
-    return per_key.join(known, list(keys), "left").groupBy(*by).agg(
+    return null_safe_join(per_key, known, list(keys), "left").groupBy(*by).agg(
         F.count_if(F.col("known").isNull()).alias("inserted"),
         F.sum(F.when(F.col("known").isNull(), F.col("copies") - 1)
               .otherwise(F.col("copies"))).alias("skipped"),

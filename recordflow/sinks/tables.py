@@ -92,6 +92,8 @@ class ResultTable:
         rows = (
             results.where(F.col("execution_id") == execution_id)
             .select(*schema.RESULT_COLUMNS)
+            # an empty partition name is read back as null: so it is compared as null
+            .withColumn("dataset_id", F.nullif("dataset_id", F.lit("")))
             .withColumn("outcome", F.when(F.col("exception").isNull(), RECORD).otherwise(ERROR))
         )
         fresh = rows_to_insert(

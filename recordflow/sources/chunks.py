@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordflow.functions.keyed import null_safe_join
 from recordflow.functions.prefix import ROWS_PER_RANGE, positions
 from recordflow.params import DEFAULT_CHUNK_SIZE
 
@@ -67,7 +68,7 @@ def resume_pending(source: DataFrame, done: DataFrame, errors: DataFrame) -> Dat
     """
     key = ["dataset_id", "record_id"]
     finished = done.select(*key).unionByName(errors.select(*key))
-    return source.join(finished, key, "left_anti")
+    return null_safe_join(source, finished, key, "left_anti")
 
 
 def resume_from_offset(source: DataFrame, write_count: DataFrame,

@@ -9,7 +9,8 @@ from conftest import DATA
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
+import __spark_entry__ as entry_point  # noqa: F401  registers the queries
+from recordflow.checks.registry import QUERIES
 from recordflow import schema
 from recordflow.functions import text
 from recordflow.operators import enrich, project
@@ -19,7 +20,7 @@ from recordflow.sinks.tables import ResultTable
 from recordflow.sources.store import scan_execution
 
 # These run whole chains or streams when they are called and give back a stored table.
-EAGER = {name for name in entry_point.queries() if name.startswith(("stream_", "workflow_"))}
+EAGER = {name for name in dict(QUERIES) if name.startswith(("stream_", "workflow_"))}
 
 
 def plan_of(frame) -> str:
@@ -35,9 +36,9 @@ def test_unpartitioned_window_would_be_found(spark):
     assert re.search(r"windowspecdefinition\([^,()]* (ASC|DESC)\b", plan_of(alone))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(dict(QUERIES)) - EAGER))
 def test_plan_of_query(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, DATA))
+    plan = plan_of(dict(QUERIES)[name](spark, DATA))
     assert not re.search("PythonUDF|MapInPandas|ArrowEval|BatchEvalPython|FlatMapGroups", plan)
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan)
     # A window without partition columns starts with its order or its frame.
@@ -47,7 +48,7 @@ def test_plan_of_query(spark, name):
 
 
 def test_counts_do_not_read_record_data(spark):
-    plan = plan_of(entry_point.queries()["count_records"](spark, DATA))
+    plan = plan_of(dict(QUERIES)["count_records"](spark, DATA))
     read = re.findall("ReadSchema: (.*)", plan.replace("\\n", "\n"))
     assert read and not any("text" in columns for columns in read)
 

@@ -112,3 +112,16 @@ def test_one_hot_record_is_inserted_once(spark):
         F.format_string("%05d", "id").alias("record_data"))
     none = copies.where("false")
     assert rows(rows_to_insert(copies, none, ["record_data"]), "record_data") == [("00000",)]
+
+
+def test_blank_datasets_are_stored_once(spark, folder):
+    from recordflow.sinks.tables import ResultTable
+
+    table = ResultTable(spark, folder)
+    results = spark.createDataFrame(
+        [("", "e", "S", "r1", "x", None), (None, "e", "S", "r2", "y", None), ("d", "e", "S", "r1", "z", None), ("", "e", "S", "r3", "", "bad")],
+        "dataset_id string, execution_id string, execution_name string, record_id string, record_data string, exception string")
+    for _ in range(3):
+        table.insert(results, "e")
+    assert rows(table.records("e"), "dataset_id", "record_id") == [("d", "r1"), (None, "r1"), (None, "r2")]
+    assert rows(table.errors("e"), "record_id", "exception") == [("r3", "bad")]
