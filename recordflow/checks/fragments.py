@@ -61,8 +61,9 @@ SELECT *, CASE WHEN NOT marked_as_deleted THEN 'http://repository.test/records/'
          || '/representations/' || new_representation_name || '/versions/' || new_version END
          AS new_resource_url
 FROM (SELECT m.*, p.* EXCLUDE (task_id), CASE WHEN NOT marked_as_deleted THEN
-        sha256(sent_micros || '|' || record_id) END AS new_version
-      FROM ({MESSAGE_PARTS}) m JOIN ({TASK_PARAMS}) p USING (task_id))"""
+        sha256(sent_micros || '|' || record_id) END AS new_version,
+        CASE WHEN provider_id IS NULL THEN 'no parameters for task ' || m.task_id END AS exception
+      FROM ({MESSAGE_PARTS}) m LEFT JOIN ({TASK_PARAMS}) p USING (task_id))"""
 
 ITEMS = """
 SELECT user_id AS task_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'STOP'

@@ -113,12 +113,11 @@ def _(tables):
 
 
 def written(tables):
-    """Messages of known tasks, written as new representations."""
+    """Messages, written as new representations; those of unknown tasks with an exception."""
     joined = harvest.task_params_join(
         messages.decode_messages(bindings.raw_messages(tables)), bindings.task_params(tables))
-    known = project.url_parts(joined.where(F.col("exception").isNull()))
     return publish.write_representation(
-        known.withColumn("resource_url", F.col("record_id")), "http://repository.test")
+        project.url_parts(joined).withColumn("resource_url", F.col("record_id")), "http://repository.test")
 
 
 @query("write_representation", f"""
@@ -129,15 +128,18 @@ def _(tables):
 
 @query("add_revision", f"""
 SELECT task_id, record_id AS resource, new_resource_url AS result_resource,
-       CASE WHEN marked_as_deleted THEN record_id ELSE new_resource_url END AS revision_resource,
-       revision_provider_id, revision_name, marked_as_deleted
+       CASE WHEN exception IS NULL THEN
+         CASE WHEN marked_as_deleted THEN record_id ELSE new_resource_url END END AS revision_resource,
+       coalesce(exception, '') AS info_text,
+       CASE WHEN exception IS NULL THEN 'SUCCESS' ELSE 'ERROR' END AS state, revision_provider_id, revision_name, marked_as_deleted
 FROM ({WRITTEN})""")
 def _(tables):
     return publish.add_revision(written(tables)).drop("revision_timestamp")
 
 
 @query("notification_rows", f"""
-SELECT task_id, record_id AS resource, new_resource_url AS result_resource, '' AS info_text
+SELECT task_id, record_id AS resource, new_resource_url AS result_resource,
+       coalesce(exception, '') AS info_text
 FROM ({WRITTEN})""")
 def _(tables):
     return project.notification_rows(publish.notifications(

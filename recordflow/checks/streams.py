@@ -42,6 +42,9 @@ def run_in_parts(rows: DataFrame, by: str, folder: str, start: Callable) -> None
         finish(start(landed_stream(rows.sparkSession, folder, rows.schema)))
 
 
+NEVER = 100 * 365 * 24 * 3600 * 1000
+
+
 @query("stream_task_stats", f"""
 SELECT task_id, count(CASE WHEN status = 'STOP' THEN 1 END) AS failed,
        count(CASE WHEN status <> 'STOP' THEN 1 END) AS succeeded
@@ -51,7 +54,8 @@ def _(tables):
     run_in_parts(
         bindings.notification_events(tables), "event_id", f"{work}/landed",
         lambda rows: statistics.start_statistics(
-            statistics.task_statistics(rows, F.col("status")), f"{work}/statistics",
+            # totals since the start: no state may expire meanwhile, however long a part takes
+            statistics.task_statistics(rows, F.col("status"), ttl_ms=NEVER), f"{work}/statistics",
             f"{work}/checkpoint"))
     return tables.spark.read.parquet(f"{work}/statistics").groupBy("task_id").agg(
         F.max("failed").alias("failed"), F.max("succeeded").alias("succeeded"))
@@ -111,7 +115,8 @@ def _(tables):
 @query("stream_cancelled_tasks", """
 WITH line AS (SELECT *, CAST(user_id AS VARCHAR) AS task_id FROM events
               WHERE event_type NOT IN ('error', 'view'))
-SELECT task_id, event_type AS task_name, 'file' || event_id AS file_url
+SELECT task_id, event_type AS task_name, 'file' || event_id AS file_url,
+       CAST(NULL AS VARCHAR) AS exception
 FROM line WHERE user_id NOT IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) > 70)""")
 def _(tables):
     work = new_work_folder(tables.spark, "stream-tasks")
@@ -129,8 +134,8 @@ def _(tables):
         spark.readStream.text(f"{work}/lines"), lambda: files,
         lambda rows: rows.withColumn("status", F.lit("CONTINUE")), cancelled, f"{work}/tasks",
         f"{work}/checkpoint-tasks"))
-    return spark.read.parquet(f"{work}/tasks").where("exception is null").select(
-        "task_id", "task_name", "file_url")
+    return spark.read.parquet(f"{work}/tasks").select(
+        "task_id", "task_name", "file_url", "exception")
 
 
 MESSAGE_RESULT = f"""

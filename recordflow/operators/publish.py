@@ -27,26 +27,30 @@ def write_representation(items: DataFrame, base_url: str) -> DataFrame:
             F.lit("/versions/"), F.col("new_version"))))
 
 
-def add_revision(written: DataFrame) -> DataFrame:
-    """One revision row per item: on the new resource, or on the old one as deleted."""
-    deleted = F.col("marked_as_deleted")
+def add_revision(written: DataFrame, *keep: str) -> DataFrame:
+    """One revision row per item: on the new resource, or on the old one as deleted.
+
+    An item with an ``exception`` gets neither; its text is the ``info_text`` of the row.
+    ``keep`` names columns of the items that are handed on.
+    """
+    deleted, failed = F.col("marked_as_deleted"), F.col("exception").isNotNull()
+    target = F.when(deleted, F.col("resource_url")).otherwise(F.col("new_resource_url"))
     return written.select(
-        "task_id",
+        *keep, "task_id",
         F.col("resource_url").alias("resource"),
-        F.when(~deleted, F.col("new_resource_url")).alias("result_resource"),
-        F.when(deleted, F.col("resource_url")).otherwise(F.col("new_resource_url"))
-        .alias("revision_resource"),
+        F.when(~failed & ~deleted, F.col("new_resource_url")).alias("result_resource"),
+        F.coalesce("exception", F.lit("")).alias("info_text"),
+        F.when(failed, "ERROR").otherwise("SUCCESS").alias("state"),
+        F.when(~failed, target).alias("revision_resource"),
         "revision_provider_id", "revision_name", "revision_timestamp",
         deleted.alias("marked_as_deleted"),
     )
 
 
-def notifications(revisions: DataFrame, job_name: str, info_text: Column | None = None,
-                  ) -> DataFrame:
+def notifications(revisions: DataFrame, job_name: str) -> DataFrame:
     """Revision rows as notifications."""
     return revisions.select(
-        "task_id", "resource", "result_resource",
-        (F.lit("") if info_text is None else info_text).alias("info_text"),
+        "task_id", "resource", "result_resource", "info_text",
         F.lit(job_name).alias("job_name"),
         "marked_as_deleted",
     )

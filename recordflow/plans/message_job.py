@@ -51,21 +51,11 @@ def process(messages: DataFrame, inputs: Inputs, *keep: str) -> DataFrame:
             deleted, F.col("file_content"), text.utf8_bytes(cleaned)),
     })
     written = publish.write_representation(normalized, inputs.base_url)
-    failed = F.col("exception").isNotNull()
-    target = F.when(deleted, F.col("resource_url")).otherwise(F.col("new_resource_url"))
-    return written.select(
-        *keep, "task_id",
-        F.col("resource_url").alias("resource"),
-        F.when(~failed & ~deleted, F.col("new_resource_url")).alias("result_resource"),
-        F.coalesce("exception", F.lit("")).alias("info_text"),
-        F.when(failed, "ERROR").otherwise("SUCCESS").alias("state"),
-        F.when(~failed, target).alias("revision_resource"),
-        "revision_provider_id", "revision_name", "revision_timestamp",
-        F.when(~failed & ~deleted, F.col("file_content")).alias("file_content"),
-        "output_mime_type",
-        F.lit(JOB_NAME).alias("job_name"),
-        deleted.alias("marked_as_deleted"),
-    )
+    revised = publish.add_revision(written, *keep, "file_content", "output_mime_type")
+    return revised.withColumns({
+        "file_content": F.when(F.col("result_resource").isNotNull(), F.col("file_content")),
+        "job_name": F.lit(JOB_NAME),
+    })
 
 
 def message_flags() -> dict:
