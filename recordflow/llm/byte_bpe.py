@@ -26,10 +26,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .transducer import Transducer, kept, ranked, stretches
 
 #: Code points of a text that are split into pieces at once.
 STRETCH = 1 << 20
+#: Rows of a batch that are worked on at once.
+FEW = 64
 
 
 def utf8_ranges() -> dict[int, tuple[int, int, int]]:
@@ -129,11 +132,14 @@ class Codec:
 
 
 def _each(texts: pa.Array, work, kind: pa.DataType) -> pa.Array:
-    """Without the cycle collector: the tables hold many tuples and no cycles."""
+    """A few rows at a time, so that Python objects of few rows live at once. Without the cycle
+    collector: the tables hold many tuples and no cycles."""
     was = gc.isenabled()
     gc.disable()
     try:
-        return pa.array([None if x is None else work(x) for x in (y.as_py() for y in texts)], kind)
+        parts = [pa.array([None if x is None else work(x) for x in texts.slice(i, FEW).to_pylist()], kind)
+                 for i in range(0, len(texts), FEW)]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
     finally:
         if was:
             gc.enable()
@@ -159,9 +165,10 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return decode.asNondeterministic()(ids)
 
 
-def round_trip(text: Column, path: str, pattern: str) -> Column:
-    """Packed ids of a text and the text that they decode to, as a struct ``ids, decoded``: both
-    ways in one pass over the rows and one set of tables."""
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "both") -> DataFrame:
+    """Adds packed ids of a text and the text that they decode to, as a struct ``ids, decoded``:
+    both ways in one pass over the rows and one set of tables."""
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("struct<ids: binary, decoded: string>")
     def both(texts: pa.Array) -> pa.Array:
@@ -169,15 +176,17 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
         ids = _each(texts, codec.encode, pa.binary())
         return pa.StructArray.from_arrays([ids, _each(ids, codec.decode, pa.string())], ["ids", "decoded"])
 
-    return both.asNondeterministic()(text)
+    return df.withColumn(out, both.asNondeterministic()(F.col(f"`{text}`")))
 
 
 def encode_texts(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds packed ids and, as ``n_<ids>``, their number."""
+    small_batches(df.sparkSession)
     out = df.withColumn(ids, encoded(F.col(f"`{text}`"), path, pattern))
     return out.withColumn(f"n_{ids}", (F.length(F.col(f"`{ids}`")) / 4).cast("long"))
 
 
 def decode_ids(df: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds the text of packed ids."""
+    small_batches(df.sparkSession)
     return df.withColumn(text, decoded(F.col(f"`{ids}`"), path, pattern))

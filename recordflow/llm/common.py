@@ -63,6 +63,14 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{_shared(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sends whole texts to Python ``rows`` at a time instead of Spark's default of 10,000, which
+    long texts would make a gigabyte. A session that has set its own number keeps it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder that :func:`scratch` named."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

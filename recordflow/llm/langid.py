@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_batches
 
 BUCKETS, PER_LANGUAGE, MOST_LANGUAGES, STRENGTH = 1 << 16, 400, 64, 5.0
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.S | re.I)
@@ -123,6 +123,7 @@ def _declared(page: Column) -> Column:
 def identify(pages: DataFrame, languages: list[str], logs: np.ndarray, *, page_id: str = "page_id", url: str = "url",
              page: str = "html", strength: float = STRENGTH) -> DataFrame:
     """``page_id, lang, probability, text_lang, declared, host``."""
+    small_batches(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(logs)
     seen = pages.select(
         F.col(f"`{page_id}`").alias("page_id"), _host(F.col(f"`{url}`")).alias("host"),

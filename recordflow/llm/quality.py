@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 SAMPLE, DIMENSIONS, NEIGHBOURS, THRESHOLD = 4000, 48, 7, 0.3
 _SHAPES = 2048  # buckets of word shapes
 _TERMS = _SHAPES + 3  # and: first among its neighbours, again, right after itself
@@ -49,7 +51,7 @@ def shape(word: str) -> int:
 
 class _Shapes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = out = shape(word)
         return out
@@ -111,6 +113,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text
         label: str = "quality", sample: int = SAMPLE, dimensions: int = DIMENSIONS,
         neighbours: int = NEIGHBOURS) -> Model:
     """Learns from at most ``sample`` labelled rows; that many are brought to the driver."""
+    small_batches(documents.sparkSession)
     usable = labels.select(F.col(f"`{doc_id}`").alias("labelled_id"), F.col(f"`{label}`").cast("double").alias("label")).where(
         F.col("labelled_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("labelled_id")))
     prior = usable.agg(F.avg("label")).first()[0]
@@ -160,6 +163,7 @@ def learn(rows: list[tuple[float, dict[int, int]]], prior: float, dimensions: in
 def scored(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text",
            threshold: float = THRESHOLD) -> DataFrame:
     """Adds ``held_out, score, predicted``."""
+    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

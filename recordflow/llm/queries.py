@@ -21,7 +21,7 @@ PATTERN = public_tokenizers.PATTERN
 @query("op3_byte_bpe")
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = docs.select("doc_id", byte_bpe.round_trip(F.col("text"), RANKS, PATTERN).alias("both"))
+    both = byte_bpe.round_trip(docs, RANKS, PATTERN)
     return both.select(
         "doc_id", (F.length("both.ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("both.ids", 256).alias("ids_sha256"), F.sha2("both.decoded", 256).alias("decoded_sha256"))

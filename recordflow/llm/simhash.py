@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import cut, free_name, row_hash
+from .common import cut, free_name, row_hash, small_batches
 from .components import components
 
 WIDTH, SEED, RADIUS, BLOCK = 3, 42, 3, 4096
@@ -176,6 +176,7 @@ def near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", *, wi
                 seed: int = SEED, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """One row per row of ``df``: ``doc_id, fp`` (signed long), ``component_id`` (smallest id
     reachable over links, its own included)."""
+    small_batches(df.sparkSession)
     docs = cut(df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                          fingerprint(F.col(f"`{text}`"), width, seed).alias("fp")))
     return _grouped(docs, radius, block).drop("root")
@@ -197,6 +198,7 @@ def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """One row of each component stays: the smallest id, null ids last; of several rows with it,
     the one whose columns hash lowest, once. All columns of ``df`` stay."""
     row, keep_id, keep_row = (free_name(df, x) for x in ("row_hash", "keep_id", "keep_row"))
+    small_batches(df.sparkSession)
     hashed = df.withColumn(row, row_hash(df))
     width, seed = options.get("width", WIDTH), options.get("seed", SEED)
     docs = cut(hashed.select(

@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .transducer import SURE, SURE_LAST, kept, listed
 
 #: Code points of a chunk.
@@ -129,6 +130,7 @@ def token_count(text: Column, path: str, pattern: str, size: int = CHUNK) -> Col
 def with_token_counts(df: DataFrame, path: str, pattern: str, *, text: str = "text", limit: int = 1024,
                       null_as_empty: bool = True) -> DataFrame:
     """Adds ``n_bytes`` (of UTF-8), ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens)."""
+    small_batches(df.sparkSession)
     whole = F.coalesce(F.col(f"`{text}`"), F.lit("")) if null_as_empty else F.col(f"`{text}`")
     out = df.withColumns({"n_bytes": F.octet_length(whole).cast("long"), "n_tokens": token_count(whole, path, pattern)})
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

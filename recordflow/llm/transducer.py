@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -109,6 +110,26 @@ class MergeRules:
         self._meets.clear()
 
 
+def _packed(last: int, guesses) -> bytes:
+    """A state in a few bytes: there may be hundreds of thousands."""
+    flat = array("i", [last])
+    for written, node in guesses:
+        flat.append(node)
+        flat.append(len(written))
+        flat.extend(written)
+    return flat.tobytes()
+
+
+def _unpacked(state: bytes) -> tuple[int, list[tuple[tuple[int, ...], int]]]:
+    flat = array("i", state).tolist()
+    guesses, at = [], 1
+    while at < len(flat):
+        end = at + 2 + flat[at + 1]
+        guesses.append((tuple(flat[at + 2 : end]), flat[at]))
+        at = end
+    return flat[0], guesses
+
+
 class Transducer:
     """Reads bytes of one piece, writes tokens. State 0 is the start of a piece."""
 
@@ -128,7 +149,7 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        start = (_OPEN, (((), 0),))
+        start = _packed(_OPEN, (((), 0),))
         self.states, self._number = [start], {start: 0}
         # (state, byte) -> next state and, above 32 bits, which of `writes` is written
         self.steps: dict[int, int] = {}
@@ -140,7 +161,7 @@ class Transducer:
         """The transition, which is kept."""
         key = state << 8 | byte
         if (known := self.steps.get(key)) is None:
-            state, out = self._determine(*self.states[state], byte)
+            state, out = self._determine(*_unpacked(self.states[state]), byte)
             number = self._write.setdefault(out, len(self.writes))
             if number == len(self.writes):
                 self.writes.append(out)
@@ -179,7 +200,7 @@ class Transducer:
             if shared and whole:  # every guess has a token of its own last: what stands before no longer counts
                 last = _OPEN
         alive.append((whole, 0))
-        state = (last, tuple(alive))
+        state = _packed(last, alive)
         number = self._number.get(state)
         if number is None:
             number = self._number[state] = len(self.states)
@@ -189,7 +210,8 @@ class Transducer:
     def rest(self, state: int) -> tuple[int, ...]:
         """What is written when the piece ends here: that of the guess that ends on a token."""
         if (known := self.rests.get(state)) is None:
-            known = self.rests[state] = next((w for w, n in self.states[state][1] if n == 0), ())
+            guesses = _unpacked(self.states[state])[1]
+            known = self.rests[state] = next((w for w, n in guesses if n == 0), ())
         return known
 
     def run(self, piece: bytes) -> list[int]:
@@ -237,7 +259,7 @@ class Transducer:
 class _Kept(dict):
     """What a function gives for each piece, kept up to a bound."""
 
-    def __init__(self, work, most: int = 300_000):
+    def __init__(self, work, most: int = 200_000):
         super().__init__()
         self.work, self.most = work, most
 
@@ -250,7 +272,7 @@ class _Kept(dict):
         return out
 
 
-def kept(work, most: int = 300_000) -> dict:
+def kept(work, most: int = 200_000) -> dict:
     return _Kept(work, most)
 
 
