@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import json
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -110,22 +109,21 @@ class MergeRules:
         self._meets.clear()
 
 
-def _packed(last: int, guesses) -> bytes:
-    """A state in a few bytes: there may be hundreds of thousands."""
-    flat = array("i", [last])
+def _packed(last: int, guesses) -> tuple[int, ...]:
+    """A state as one flat row of numbers: there may be hundreds of thousands."""
+    flat = [last]
     for written, node in guesses:
         flat.append(node)
         flat.append(len(written))
-        flat.extend(written)
-    return flat.tobytes()
+        flat += written
+    return tuple(flat)
 
 
-def _unpacked(state: bytes) -> tuple[int, list[tuple[tuple[int, ...], int]]]:
-    flat = array("i", state).tolist()
-    guesses, at = [], 1
-    while at < len(flat):
+def _unpacked(flat: tuple[int, ...]) -> tuple[int, list[tuple[tuple[int, ...], int]]]:
+    guesses, at, whole = [], 1, len(flat)
+    while at < whole:
         end = at + 2 + flat[at + 1]
-        guesses.append((tuple(flat[at + 2 : end]), flat[at]))
+        guesses.append((flat[at + 2 : end], flat[at]))
         at = end
     return flat[0], guesses
 
@@ -133,7 +131,7 @@ def _unpacked(state: bytes) -> tuple[int, list[tuple[tuple[int, ...], int]]]:
 class Transducer:
     """Reads bytes of one piece, writes tokens. State 0 is the start of a piece."""
 
-    def __init__(self, rules: MergeRules, most: int = 700_000):
+    def __init__(self, rules: MergeRules, most: int = 900_000):
         self.rules, self.most = rules, most
         child: dict[int, int] = {}
         ends: dict[int, int] = {0: _OPEN}
@@ -259,7 +257,7 @@ class Transducer:
 class _Kept(dict):
     """What a function gives for each piece, kept up to a bound."""
 
-    def __init__(self, work, most: int = 200_000):
+    def __init__(self, work, most: int = 300_000):
         super().__init__()
         self.work, self.most = work, most
 
@@ -272,7 +270,7 @@ class _Kept(dict):
         return out
 
 
-def kept(work, most: int = 200_000) -> dict:
+def kept(work, most: int = 300_000) -> dict:
     return _Kept(work, most)
 
 
