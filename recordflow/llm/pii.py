@@ -11,7 +11,10 @@ Surrogates are keyed: SHA-256 of key, type, plain form and round. The plain form
 letters and digits only where separators are free) is the same for all spellings of one entity, so they get one surrogate
 in each spelling's format, in all documents. A collision check keeps entities apart: of
 entities with one surrogate the first keeps it, nobody gets a surrogate that is itself found in
-the texts, and the others try again with the next round's hash until all have one.
+the texts, and the others try again with the next round's hash until all have one. Where the
+format has no room for all, surrogates grow: local parts from the second round on, digits and
+secrets from round ``GROWN_FROM``; addresses of four numbers move to the IPv6 documentation
+network. Each round has a larger space, so the rounds end whatever the number of entities.
 
 Columns and SQL functions only. Texts without a find go through unread by any join. For the
 others only ids and finds are exploded; finds are made distinct before surrogates are made, so
@@ -26,6 +29,7 @@ table gives no rows.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import cut, free_name
 
 KEY = "surrogates"
-MOST_ROUNDS = 50
+GROWN_FROM, MOST_ADDED = 8, 30
 
 # Titles before names, by gender.
 TITLES = {
@@ -149,16 +153,26 @@ def _surrogate(kind: Column, plain: Column, key: str, turn: int) -> Column:
     return _bound(stream, lambda s: _formed(kind, plain, s, turn))
 
 
+def _added(alphabet: str, plain: Column, stream: Column, n: int) -> Column:
+    """``n`` more characters, from bytes that no character of the plain form uses."""
+    return F.concat(F.lit(""), *[F.lit(alphabet).substr(
+        _digits_of(stream, F.length(plain) + i, len(alphabet)) + 1, F.lit(1)) for i in range(n)])
+
+
 def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
     hexes = plain.rlike("^[0-9a-f]*$")
-    digits = _bound(hexes, lambda h: _characters(plain, stream, h))
+    more = _added("0123456789", plain, stream, min(MOST_ADDED, 3 * max(0, turn - GROWN_FROM + 1)))
+    digits = F.concat(_bound(hexes, lambda h: _characters(plain, stream, h)), more)
     local, domain = F.substring_index(plain, "@", 1), _pick(("com", "net", "org"), _digits_of(stream, F.lit(40), 3))
-    email = F.concat(_characters(local, stream, F.lit(False)), F.lit("@example."), domain)
+    longer = _added("abcdefghijklmnopqrstuvwxyz", plain, stream, min(MOST_ADDED, 4 + 2 * turn) if turn else 0)
+    email = F.concat(_characters(local, stream, F.lit(False)), longer, F.lit("@example."), domain)
     octets = [(240 + _digits_of(stream, F.lit(0), 15)).cast("string"), *[
         _digits_of(stream, F.lit(i), 254).cast("string") for i in (1, 2, 3)]]
-    ip = F.when(plain.rlike(r"^\d+(\.\d+){3}$"), F.concat_ws(".", *octets)).otherwise(digits)
+    groups = [F.concat(F.get(stream, F.lit(i)), F.get(stream, F.lit(i + 1))) for i in range(4, 16, 2)]
+    four = F.concat_ws(".", *octets) if turn < GROWN_FROM else F.concat_ws(":", F.lit("2001:db8"), *groups)
+    ip = F.when(plain.rlike(r"^\d+(\.\d+){3}$"), four).otherwise(digits)
     off = F.concat(plain.substr(F.lit(1), F.lit(1)), _characters(
-        plain.substr(F.lit(2), F.length(plain) - 2), stream, F.lit(False), 1))
+        plain.substr(F.lit(2), F.length(plain) - 2), stream, F.lit(False), 1), more)
     check = F.pmod(_luhn(plain) - _luhn(F.concat(off, F.lit("0"))), F.lit(10))
     card = F.concat(off, check.cast("string"))
     gender = F.substring_index(plain, ":", 1)
@@ -197,7 +211,10 @@ def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
             new = F.get(known["new"], at)
             return F.when((kind != "secret") & ~c.rlike(r"\p{L}|\p{N}"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
-        return F.array_join(F.transform(_letters(find), one), "")
+        # a surrogate that has grown ends with what it has more
+        own = F.when(kind == "secret", F.length(find)).otherwise(F.size(known["places"]))
+        return F.concat(F.array_join(F.transform(_letters(find), one), ""), F.array_join(
+            F.slice(known["new"], own + 1, F.greatest(F.size(known["new"]) - own, F.lit(0))), ""))
 
     others = _bound(F.struct(_letters(surrogate).alias("new"), places.alias("places")), spelt)
     # phone numbers keep their country code
@@ -213,7 +230,7 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
     known = cut(known)
     left = entities = known.select("kind", "plain").distinct()
     done: list[DataFrame] = []
-    for turn in range(MOST_ROUNDS):
+    for turn in count():
         tried = left.withColumn("new", _surrogate(F.col("kind"), F.col("plain"), key, turn))
         first = tried.groupBy("kind", "new").agg(F.min("plain").alias("plain"))
         won = first.join(entities.withColumnRenamed("plain", "new"), ["kind", "new"], "left_anti")
@@ -224,8 +241,6 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
         left = cut(left.join(won, ["kind", "plain"], "left_anti"))
         if left.isEmpty():
             break
-    else:
-        raise ValueError("more entities of one type than surrogates")
     new = reduce(DataFrame.union, done)
     return known.join(new, ["kind", "plain"]).select(
         "find", "kind", _spelt(F.col("kind"), F.col("find"), F.col("new")).alias("surrogate"))

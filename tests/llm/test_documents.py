@@ -301,6 +301,14 @@ def test_surrogates_stay_apart_and_are_nobody_s(spark):
     assert not {r.surrogate for r in made} & set(finds)
 
 
+def test_surrogates_where_the_format_has_no_room(spark):
+    """Five thousand addresses for 78 surrogates of one letter."""
+    finds = [f"{'abcde'[i % 5]}@host{i}.org" for i in range(5000)]
+    made = pii.surrogates(spark.createDataFrame([(f,) for f in finds], "find string")).collect()
+    assert len(made) == len(finds) == len({r.surrogate for r in made})
+    assert all(re.fullmatch(r"[a-z]+@example\.(com|net|org)", r.surrogate) for r in made)
+
+
 def test_long_texts_take_time_by_length(spark):
     data = [(1, "x" * 300_000), (2, "1" * 200_000), (3, "a.b-c+d" * 40_000), (4, "word " * 100_000 + "a@b.org")]
     got = {r.doc_id: r.text for r in pii.replaced(spark.createDataFrame(data, "doc_id long, text string")).collect()}
