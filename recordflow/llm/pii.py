@@ -57,6 +57,9 @@ SYLLABLES = {
     "cyrillic": ("бар", "бел", "вол", "гор", "дан", "жар", "зор", "кал", "лан", "мор", "нел", "рад", "сол", "тар"),
 }
 
+# Country codes of one and two digits; all others have three.
+CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
 _END = r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLES = "|".join(t for ts in TITLES.values() for t in ts)
@@ -93,11 +96,19 @@ def kind_of(find: Column) -> Column:
 def _plain(kind: Column, find: Column) -> Column:
     """What all spellings of an entity have in common."""
     name = F.lower(F.regexp_replace(find, rf"^(?iu:{_TITLES})\.? ", ""))
+    # the country code of a number is part of it as written, and not drawn anew
+    number = F.regexp_replace(find, r"[^\p{N}+]", "")
+    number = F.regexp_replace(number, rf"^\+({CODES}|\d{{3}})(?=\d)", "+$1:")
     # the gender and script of a name are part of it, so that its surrogate's can follow
-    return F.when(kind == "person", F.concat(_gender(find), F.lit(":"), name)).when(
+    return F.when(kind == "person", F.concat(_gender(find), F.lit(":"), name)).when(kind == "phone", number).when(
         kind.isin("email", "secret") | ((kind == "ip") & find.contains(".")), F.lower(find)).otherwise(F.lower(F.regexp_replace(find, r"[^\p{L}\p{N}]", "")))
 
 
+def _written(kind: Column, plain: Column) -> Column:
+    """What of a plain form the texts show, title aside: a name without its gender."""
+    return F.when(kind == "person", F.substring_index(plain, ":", -1)).otherwise(plain)
+
+
 def _letters(text: Column) -> Column:
     return F.split(text, "(?s)(?<=.)(?=.)")
 
@@ -161,6 +172,8 @@ def _added(alphabet: str, plain: Column, stream: Column, n: int) -> Column:
 
 def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
     hexes = plain.rlike("^[0-9a-f]*$")
+    code = F.regexp_extract(plain, r"^\+\d+:", 0)
+    phone = _bound(plain.substr(F.length(code) + 1, F.length(plain)), lambda p: _characters(p, stream, F.lit(False)))
     more = _added("0123456789", plain, stream, min(MOST_ADDED, 3 * max(0, turn - GROWN_FROM + 1)))
     digits = F.concat(_bound(hexes, lambda h: _characters(plain, stream, h)), more)
     local, domain = F.substring_index(plain, "@", 1), _pick(("com", "net", "org"), _digits_of(stream, F.lit(40), 3))
@@ -189,7 +202,7 @@ def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
         name = F.when(parts > 1, F.concat_ws(" ", given, last)).otherwise(last)
         person = F.when(plain.rlike(r"\p{IsCyrillic}") == F.lit(script == "cyrillic"), F.concat_ws(":", gender, F.lower(name))).otherwise(person)
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(
-        kind == "person", person).otherwise(digits)
+        kind == "person", person).when(kind == "phone", F.concat(code, phone, more)).otherwise(digits)
 
 
 def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
@@ -216,11 +229,9 @@ def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
         return F.concat(F.array_join(F.transform(_letters(find), one), ""), F.array_join(
             F.slice(known["new"], own + 1, F.greatest(F.size(known["new"]) - own, F.lit(0))), ""))
 
-    others = _bound(F.struct(_letters(surrogate).alias("new"), places.alias("places")), spelt)
-    # phone numbers keep their country code
-    code = F.regexp_extract(find, r"^(\+\d{1,3})(?=[ .(-])", 1)
-    phone = F.concat(code, others.substr(F.length(code) + 1, F.length(others)))
-    return F.when(kind == "email", email).when(kind == "person", person).when(kind == "phone", phone).when(
+    drawn = F.when(kind == "phone", F.regexp_replace(surrogate, "[+:]", "")).otherwise(surrogate)
+    others = _bound(F.struct(_letters(drawn).alias("new"), places.alias("places")), spelt)
+    return F.when(kind == "email", email).when(kind == "person", person).when(
         kind == "ip", F.coalesce(ip, others)).otherwise(others)
 
 
@@ -228,20 +239,23 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
     """``find, kind, surrogate`` for a frame with the distinct column ``find``."""
     known = finds.withColumn("kind", kind_of(F.col("find"))).withColumn("plain", _plain(F.col("kind"), F.col("find")))
     known = cut(known)
-    left = entities = known.select("kind", "plain").distinct()
+    left = known.select("kind", "plain").distinct()
+    # surrogates are compared as the texts will show them, with one another and with what is there
+    taken = left.select("kind", _written(F.col("kind"), F.col("plain")).alias("shown")).distinct()
     done: list[DataFrame] = []
     for turn in count():
         tried = left.withColumn("new", _surrogate(F.col("kind"), F.col("plain"), key, turn))
-        first = tried.groupBy("kind", "new").agg(F.min("plain").alias("plain"))
-        won = first.join(entities.withColumnRenamed("plain", "new"), ["kind", "new"], "left_anti")
+        tried = tried.withColumn("shown", _written(F.col("kind"), F.col("new")))
+        first = tried.groupBy("kind", "shown").agg(F.min(F.struct("plain", "new")).alias("best"))
+        won = first.join(taken, ["kind", "shown"], "left_anti")
         if done:
-            won = won.join(reduce(DataFrame.union, done).select("kind", "new"), ["kind", "new"], "left_anti")
-        won = cut(won.select("kind", "plain", "new"))
+            won = won.join(reduce(DataFrame.union, done).select("kind", "shown"), ["kind", "shown"], "left_anti")
+        won = cut(won.select("kind", "best.plain", "best.new", "shown"))
         done.append(won)
         left = cut(left.join(won, ["kind", "plain"], "left_anti"))
         if left.isEmpty():
             break
-    new = reduce(DataFrame.union, done)
+    new = reduce(DataFrame.union, done).drop("shown")
     return known.join(new, ["kind", "plain"]).select(
         "find", "kind", _spelt(F.col("kind"), F.col("find"), F.col("new")).alias("surrogate"))
 

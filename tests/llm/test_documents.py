@@ -309,6 +309,20 @@ def test_surrogates_where_the_format_has_no_room(spark):
     assert all(re.fullmatch(r"[a-z]+@example\.(com|net|org)", r.surrogate) for r in made)
 
 
+def test_surrogates_stay_apart_as_they_are_written(spark, monkeypatch):
+    """Country codes are kept and genders not shown: what is left differs, in spaces nearly full."""
+    monkeypatch.setitem(pii.SYLLABLES, "latin", ("bar", "bel"))
+    finds = [f"+1 {i // 100:02d} {i % 100:02d}" for i in range(9000)]
+    finds += [f"{t}. Name{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200) for t in ("Mr", "Mrs", "Dr")]
+    finds += ["Mr. Barbarbarbar", "+4930 1234 5678", "+49 30 12345678", "+49 30 1234 5678"]
+    made = {r.find: r.surrogate for r in pii.surrogates(spark.createDataFrame([(f,) for f in finds], "find string")).collect()}
+    bare = [x.split(". ")[-1] for x in made.values()]
+    assert len(made) == len(finds) and len({x.replace(" ", "") for x in bare}) == len(finds) - 2
+    assert all(re.fullmatch(r"\+1 \d\d \d+", y) for x, y in made.items() if x.startswith("+1"))
+    assert all(y.startswith("+49") for x, y in made.items() if x.startswith("+49"))
+    assert not set(bare) & {x.split(". ")[-1] for x in finds}
+
+
 def test_long_texts_take_time_by_length(spark):
     data = [(1, "x" * 300_000), (2, "1" * 200_000), (3, "a.b-c+d" * 40_000), (4, "word " * 100_000 + "a@b.org")]
     got = {r.doc_id: r.text for r in pii.replaced(spark.createDataFrame(data, "doc_id long, text string")).collect()}
