@@ -2,7 +2,8 @@
 
 A text's terms are the shapes of its words (runs of capitals, small letters and digits, marks as
 they are) and, for each word, whether it stands for the first time among its neighbours,
-again, or right after itself. Term counts become shares, their square roots are weighted by
+again, or right after itself. Longer words count as their pieces of 64 characters, so texts
+without blanks are read whole, too. Term counts become shares, their square roots are weighted by
 inverse document frequency, and the leading singular directions of a sample of labelled texts
 turn them into short vectors of length 1.
 
@@ -39,13 +40,13 @@ from .common import small_batches
 SAMPLE, DIMENSIONS, NEIGHBOURS, THRESHOLD = 4000, 48, 7, 0.3
 _SHAPES = 2048  # buckets of word shapes
 _TERMS = _SHAPES + 3  # and: first among its neighbours, again, right after itself
-_AMONG, _BLOCK = 64, 256
+_AMONG, _BLOCK, _PIECE = 64, 256, 64
 _RUNS = re.compile(r"([a0A])\1+")
 
 
 def shape(word: str) -> int:
     """The bucket of a word's shape."""
-    letters = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    letters = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return crc32(_RUNS.sub(r"\1", letters).encode("utf-8", "replace")) % _SHAPES
 
 
@@ -63,6 +64,8 @@ _shapes = _Shapes()
 def term_counts(text: str | None) -> np.ndarray:
     """Counts of the ``_TERMS`` terms; whole texts."""
     words = (text or "").split()
+    if max(map(len, words), default=0) > _PIECE:
+        words = [w[i : i + _PIECE] for w in words for i in range(0, len(w), _PIECE)]
     out = np.zeros(_TERMS)
     if not words:
         return out

@@ -204,6 +204,15 @@ def test_classifier_on_odd_rows(spark):
     assert quality.scored(docs.where("false"), none).count() == 0
 
 
+def test_every_character_of_a_long_word_counts():
+    start = "x" * 64
+    for one, two in (("y" * 500, "$|" * 250), ("", "$" * 70), ("漢字" * 300, "漢。字!" * 150)):
+        assert (quality.term_counts(start + one) != quality.term_counts(start + two)).any()
+    assert quality.term_counts("a $" + start).sum() == 2 * 3
+    ends = [quality.term_counts("漢字" * 5000 + end) for end in ("", "$$$|!!" * 20)]
+    assert ends[1][: quality._SHAPES].sum() > ends[0][: quality._SHAPES].sum() == 157
+
+
 # languages
 
 
