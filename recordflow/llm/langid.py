@@ -3,8 +3,9 @@
     log P(language | page) = text likelihood + log P(declared | language) + log P(language | host)
 
 * **Text**: byte trigrams in ``BUCKETS`` hashed buckets, naive Bayes, learnt from at most
-  ``per_language`` labelled documents of each of at most ``MOST_LANGUAGES`` languages (parameters;
-  the most frequent ones). Overlapping trigrams are not independent: the sum is divided by 3.
+  ``per_language`` labelled documents (a parameter) of every language there is. The model holds the
+  buckets that a language uses, some thousands of 12 bytes each; the driver collects and broadcasts
+  them. Overlapping trigrams are not independent: the sum is divided by 3.
 * **Declared** language of the markup (``<html lang=...>``), main part only: how often texts of each
   language declare it, over all pages.
 * **Host** prior: shares of languages (by text) among a host's other pages, smoothed by
@@ -26,16 +27,15 @@ from __future__ import annotations
 import html as markup
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
 
-BUCKETS, PER_LANGUAGE, MOST_LANGUAGES, STRENGTH = 1 << 16, 400, 64, 5.0
+BUCKETS, PER_LANGUAGE, STRENGTH = 1 << 16, 400, 5.0
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
 
@@ -65,28 +65,51 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array([name.as_py()] * len(used)), pa.array(used.astype(np.int32)), pa.array(counts[used])], ["lang", "bucket", "n"])
 
 
+class Logs:
+    """Log probabilities (language x bucket): those of unused buckets, one per language, and what
+    used ones have more, sorted by bucket."""
+
+    def __init__(self, used: list[tuple[np.ndarray, np.ndarray]]):
+        totals = np.array([n.sum() + 0.5 * BUCKETS for _, n in used])
+        self.unused = np.log(0.5 / totals)
+        buckets = np.concatenate([np.empty(0, np.int32), *[b for b, _ in used]])
+        order = np.argsort(buckets, kind="stable")
+        self.begin = np.searchsorted(buckets[order], np.arange(BUCKETS + 1))
+        self.language = np.repeat(np.arange(len(used), dtype=np.int32), [len(b) for b, _ in used])[order]
+        self.more = np.concatenate([np.empty(0), *[np.log(n / 0.5 + 1) for _, n in used]])[order]
+
+    def __matmul__(self, counts: np.ndarray) -> np.ndarray:
+        """Log likelihoods of a vector of bucket counts."""
+        at = np.flatnonzero(counts)
+        sizes = self.begin[at + 1] - self.begin[at]
+        ends = np.cumsum(sizes)
+        places = np.arange(sizes.sum()) + np.repeat(self.begin[at] - ends + sizes, sizes)
+        return self.unused * counts.sum() + np.bincount(
+            self.language[places], self.more[places] * np.repeat(counts[at], sizes), minlength=len(self.unused))
+
+
 def fit(documents: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-        per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
+        per_language: int = PER_LANGUAGE) -> tuple[list[str], Logs]:
     """Languages in code-point order and log probabilities (language x bucket)."""
     labelled = documents.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").alias("id")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in counted)
-    if not languages:
-        return [], np.zeros((0, BUCKETS))
-    share = {r["lang"]: min(1.0, 2.0 * per_language / r["count"]) for r in counted}
+    found = sorted((r["lang"], r["count"]) for r in labelled.groupBy("lang").count().collect())
+    if not found:
+        return [], Logs([])
     # by hash of the id about twice as many as wanted, of these the first by hash
-    limit = F.lit(0.0)
-    for name, part in share.items():
-        limit = F.when(F.col("lang") == name, part).otherwise(limit)
-    some = labelled.withColumn("h", F.xxhash64("id")).where(F.pmod("h", F.lit(1_000_000)) < limit * 1_000_000)
-    sample = [some.where(F.col("lang") == name).orderBy("h", "id").limit(per_language) for name in languages]
-    counts = np.zeros((len(languages), BUCKETS))
-    for r in reduce(DataFrame.union, sample).select("lang", "text").mapInArrow(
-            _counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[languages.index(r["lang"]), r["bucket"]] = r["n"]
-    counts += 0.5
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True))
+    share = documents.sparkSession.createDataFrame(
+        [(name, min(1.0, 2.0 * per_language / n)) for name, n in found], "lang string, share double")
+    some = labelled.join(F.broadcast(share), "lang").withColumn("h", F.xxhash64("id")).where(
+        F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    sample = some.withColumn("place", place).where(F.col("place") <= per_language)
+    small_batches(documents.sparkSession)
+    counted = sample.select("lang", "text").mapInArrow(_counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+        F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("used"))
+    used = {r["lang"]: (np.array([x["bucket"] for x in r["used"]], np.int32), np.array([x["n"] for x in r["used"]], np.int64))
+            for r in counted.toLocalIterator()}
+    none = np.empty(0, np.int32), np.empty(0, np.int64)
+    return [name for name, _ in found], Logs([used.get(name, none) for name, _ in found])
 
 
 def text_evidence(page: Column, logs: object) -> Column:
@@ -96,18 +119,18 @@ def text_evidence(page: Column, logs: object) -> Column:
     def work(pages: pa.Array) -> pa.Array:
         out = []
         for x in pages:
-            counts = trigram_counts(visible_text(x.as_py() or ""))
-            used = np.flatnonzero(counts)
-            out.append((logs.value[:, used] @ counts[used] / 3).tolist())
+            out.append((logs.value @ trigram_counts(visible_text(x.as_py() or "")) / 3).tolist())
         return pa.array(out, pa.list_(pa.float64()))
 
     return work.asNondeterministic()(page)
 
 
 def softmax(logs: Column) -> Column:
-    weights = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda w: w / total)
+    def bound(value: Column, body) -> Column:  # put together once, not for each element
+        return F.transform(F.array(value), body)[0]
+
+    weights = bound(F.array_max(logs), lambda most: F.transform(logs, lambda x: F.exp(x - most)))
+    return bound(weights, lambda ws: bound(F.aggregate(ws, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(ws, lambda w: w / total)))
 
 
 def _host(url: Column) -> Column:
@@ -120,7 +143,7 @@ def _declared(page: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(page, F.lit("")), r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]{2,8})", 1))
 
 
-def identify(pages: DataFrame, languages: list[str], logs: np.ndarray, *, page_id: str = "page_id", url: str = "url",
+def identify(pages: DataFrame, languages: list[str], logs: Logs, *, page_id: str = "page_id", url: str = "url",
              page: str = "html", strength: float = STRENGTH) -> DataFrame:
     """``page_id, lang, probability, text_lang, declared, host``."""
     small_batches(pages.sparkSession)
@@ -135,38 +158,37 @@ def identify(pages: DataFrame, languages: list[str], logs: np.ndarray, *, page_i
     labels = seen.withColumns({
         "domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1), "p": softmax(F.col("logs"))})
     labels = cut(labels)
-    sums = [F.sum(F.get("p", F.lit(k))).alias(f"s{k}") for k in range(n)]
-    arrays = F.array(*[F.col(f"s{k}") for k in range(n)])
 
-    def level(rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.groupBy(*keys).agg(*sums, F.count(F.lit(1)).alias("rows")).select(*keys, arrays.alias("counts"), "rows")
+    def summed(rows: DataFrame, keys: list[str], values: str, weight: Column, name: str = "") -> DataFrame:
+        """Sums of arrays, place by place, of any length: one row per place before the shuffle."""
+        places = rows.select(*keys, weight.alias("w"), F.posexplode(values).alias("k", "v"))
+        sums = places.groupBy(*keys, "k").agg(F.sum("v").alias("v"), F.sum("w").alias("w"))
+        whole = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("s"), F.max("w").alias("w"))
+        return whole.select(*keys, F.transform("s", lambda x: x["v"]).alias(f"{name}counts"), F.col("w").alias(f"{name}rows"))
 
     def smoothed(counts: Column, rows: Column, above: Column) -> Column:
         return F.zip_with(counts, above, lambda c, a: (F.greatest(c, F.lit(0.0)) + strength * a) / (rows + strength))
 
-    hosts = labels.groupBy("host", "domain", "suffix").agg(*sums, F.count(F.lit(1)).alias("rows"))
-    hosts = hosts.select("host", "domain", "suffix", arrays.alias("counts"), "rows")
-    add = [F.sum(F.get("counts", F.lit(k))).alias(f"s{k}") for k in range(n)]
+    hosts = cut(summed(labels, ["host", "domain", "suffix"], "p", F.lit(1)))
 
     def above(keys: list[str], name: str) -> DataFrame:
-        return hosts.groupBy(*keys).agg(*add, F.sum("rows").alias(f"{name}_rows")).select(*keys, arrays.alias(f"{name}_counts"), f"{name}_rows")
+        return summed(hosts, keys, "counts", F.col("rows"), f"{name}_")
 
-    everything: Row = hosts.agg(*add, F.sum("rows").alias("rows")).first()
-    total = everything["rows"] or 0
-    general = F.array(*[F.lit((float(everything[f"s{k}"] or 0) + 1) / (total + n)) for k in range(n)])
+    everything: Row | None = summed(hosts, [], "counts", F.col("rows")).first()
+    sums, total = (everything["counts"], everything["rows"]) if everything and everything["counts"] else ([0.0] * n, 0)
+    general = F.lit([(x + 1) / (total + n) for x in sums])
     chain = hosts.join(above(["domain"], "domain"), "domain").join(above(["suffix"], "suffix"), "suffix").withColumn(
         "suffix_share", smoothed(F.col("suffix_counts"), F.col("suffix_rows"), general)).withColumn(
         "domain_share", smoothed(F.col("domain_counts"), F.col("domain_rows"), F.col("suffix_share")))
     priors = chain.select("host", F.col("counts").alias("host_counts"), F.col("rows").alias("host_rows"), "domain_share")
     # P(declared | language): a language's pages that declare it, over all its pages, smoothed
-    declares = level(labels, ["declared"]).select("declared", F.transform(F.col("counts"), lambda c, i: F.when(
-        F.col("declared") == "", 0.0).otherwise(F.log((c + 0.1) / (F.get(F.array(*[
-            F.lit(float(everything[f"s{k}"] or 0)) for k in range(n)]), i) + 1.0)))).alias("declared_logs"))
+    declares = summed(labels, ["declared"], "p", F.lit(1)).select("declared", F.transform(F.col("counts"), lambda c, i: F.when(
+        F.col("declared") == "", 0.0).otherwise(F.log((c + 0.1) / (F.get(F.lit(sums), i) + 1.0)))).alias("declared_logs"))
     joined = labels.join(priors, "host").join(declares, "declared")
     others = F.zip_with("host_counts", "p", lambda c, p: c - p)  # the page's own text is no prior of itself
     prior = smoothed(others, F.col("host_rows") - 1, F.col("domain_share"))
     fused = F.zip_with(F.zip_with("logs", prior, lambda a, b: a + F.log(b)), "declared_logs", lambda a, b: a + b)
-    names = F.array(*[F.lit(x) for x in languages])
+    names = F.lit(languages)
 
     def best(values: Column) -> Column:
         return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))

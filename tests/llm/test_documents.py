@@ -246,6 +246,22 @@ def test_languages(spark):
         assert r.probability == pytest.approx(1 / np.exp(fused - fused.max()).sum())
 
 
+def test_rare_languages_are_learnt(spark):
+    """Of 80 languages each has its own words; the last has the fewest documents."""
+    words = [f"{chr(97 + k % 26)}{chr(98 + k // 26)}{chr(99 + k % 19)}{chr(97 + k % 7)}" for k in range(80)]
+    docs = spark.createDataFrame([(100 * k + i, f"{words[k]} " * 9, f"l{k:02d}") for k in range(80) for i in range(3 - k // 79)],
+                                 "doc_id long, text string, lang string")
+    languages, logs = langid.fit(docs)
+    assert languages == [f"l{k:02d}" for k in range(80)]
+    dense = np.full((80, langid.BUCKETS), 0.5)
+    for k, n in enumerate([3] * 79 + [2]):
+        dense[k] += n * langid.trigram_counts(f"{words[k]} " * 9)
+    counts = langid.trigram_counts(" ".join(words))
+    assert logs @ counts == pytest.approx(np.log(dense / dense.sum(axis=1, keepdims=True)) @ counts)
+    pages = spark.createDataFrame([(k, f"http://h{k}.org/", f"<p>{words[k]} {words[k]} {words[k]}</p>" * 9) for k in range(80)], "page_id long, url string, html string")
+    assert {r.page_id: r.lang for r in langid.identify(pages, languages, logs).collect()} == {k: f"l{k:02d}" for k in range(80)}
+
+
 def test_evidence_beside_the_text_decides_empty_pages(spark):
     docs = spark.createDataFrame([(i, "der die das und nicht" if i % 2 else "the and of with not", "de" if i % 2 else "en") for i in range(20)],
                                  "doc_id long, text string, lang string")
