@@ -197,14 +197,25 @@ def _grouped(docs: DataFrame, radius: int, block: int) -> DataFrame:
 def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One row of each component stays: the smallest id, null ids last; of several rows with it,
     the one whose columns hash lowest, once. All columns of ``df`` stay."""
-    row, keep_id, keep_row = (free_name(df, x) for x in ("row_hash", "keep_id", "keep_row"))
     small_batches(df.sparkSession)
-    hashed = df.withColumn(row, row_hash(df))
+    hashed, row = with_row_hash(df)
     width, seed = options.get("width", WIDTH), options.get("seed", SEED)
     docs = cut(hashed.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{row}`").alias("row"),
         fingerprint(F.col(f"`{text}`"), width, seed).alias("fp")))
     grouped = _grouped(docs, options.get("radius", RADIUS), options.get("block", BLOCK))
+    return kept_rows(hashed, grouped, doc_id, row)
+
+
+def with_row_hash(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a hash of each row, and that column's name."""
+    row = free_name(df, "row_hash")
+    return df.withColumn(row, row_hash(df)), row
+
+
+def kept_rows(hashed: DataFrame, grouped: DataFrame, doc_id: str, row: str) -> DataFrame:
+    """The rows of ``hashed`` that stay: one of each ``root`` in ``grouped`` (``doc_id, row, root``)."""
+    keep_id, keep_row = free_name(hashed, "keep_id"), free_name(hashed, "keep_row")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     keep = grouped.groupBy("root").agg(best.alias("best"))
     keep = keep.select(F.col("best.doc_id").alias(keep_id), F.col("best.row").alias(keep_row))

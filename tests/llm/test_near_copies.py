@@ -10,7 +10,7 @@ import xxhash
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from recordflow.llm import embedding_dups, simhash
+from recordflow.llm import embedding_dups, near_texts, simhash
 from recordflow.llm.common import cut
 from recordflow.llm.components import components
 from recordflow.llm.queries import QUERIES
@@ -111,6 +111,42 @@ def test_edge_cases(spark):
     assert simhash.drop_near_copies(df.where("false")).count() == 0
 
 
+def jaccard_linked(texts):
+    """All pairs at 0.8 or more of five-word shingles."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        sets.append({" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    return [(i, j) for i, a in enumerate(sets) for j in range(i + 1, len(sets)) if len(a & sets[j]) >= 0.8 * len(a | sets[j])]
+
+
+def test_near_texts_against_brute_force(spark):
+    """Copies with every hundredth or fiftieth word replaced, chains of them, a crowd, and others
+    that are less alike."""
+    random = np.random.default_rng(6)
+    texts = []
+
+    def copy(text, n):
+        words = text.split()
+        for i in random.choice(len(words), n, replace=False):
+            words[i] = f"new{random.integers(1 << 40)}"
+        return " ".join(words)
+
+    for size, n in ((100, 1), (100, 2), (100, 5), (400, 4), (1000, 20), (30, 0), (3, 0)):
+        for _ in range(15):
+            base = " ".join(f"w{x}" for x in random.integers(0, 5000, size))
+            texts += [base, copy(base, n), copy(copy(base, n), n)]
+    texts += [copy(texts[0], int(random.integers(0, 7))) for _ in range(60)] + ["", "", "ONE two", "one TWO"]
+    labels = grouped(len(texts), jaccard_linked(texts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_texts.drop_near_texts(df)
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == sorted(set(labels))
+    odd = spark.createDataFrame([(1, None), (None, "a b"), (2, "A b"), (2, "a b"), (None, "x y")], "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in near_texts.drop_near_texts(odd).collect()) == ["1", "2", "None"]
+    assert near_texts.drop_near_texts(df.where("false")).count() == 0
+    assert near_texts.recall_at(0.8) > 0.9999
+
+
 def vectors_linked(vectors):
     unit = [None if v is None else np.array(v, float) / np.linalg.norm(v) for v in vectors]
     return [(i, j) for i, a in enumerate(unit) for j in range(i + 1, len(unit)) if a is not None and unit[j] is not None
