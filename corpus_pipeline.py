@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordflow.llm import byte_bpe, mixing, near_texts, pii, quality
+from recordflow.llm import byte_bpe, mixing, pii, quality, simhash
 from recordflow.llm.common import n_words, query, remove, scratch, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,8 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates: 0.8 or more of five-word shingles in common."""
-    return near_texts.drop_near_texts(docs).select(*COLUMNS)
+    """One document of each group of near-duplicates: fingerprints that differ in few bits."""
+    return simhash.drop_near_copies(docs, width=simhash.WIDTH, radius=simhash.RADIUS).select(*COLUMNS)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -34,19 +34,26 @@ def replace_private(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in training order, each as often as the mix takes it."""
+    """Documents in training order, each as often as the mix takes it. The order is that of the files written."""
     mixed = mixing.mix(docs, n_words(F.col("text")), mixing.order_key(F.col("doc_id"), F.col("text")))
     return mixing.training_order(mixed).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit integers, packed) and whether they decode to the text."""
+    """Token ids (little-endian unsigned 32-bit integers, packed) and whether they decode to the text.
+
+    ``part, place`` keep the training order: number of the file that a document was read from and
+    its row there. Reading deals the files out in any order, so rows are told apart by these alone.
+    """
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    whole = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    file = F.col("_metadata.file_name")
+    whole = docs.select(
+        "doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text"),
+        F.regexp_extract(file, r"^part-(\d+)", 1).cast("long").alias("part"), F.col("_metadata.row_index").alias("place"))
     both = byte_bpe.round_trip(whole, path, pattern)
     return both.select(
         "doc_id", "source", "lang", F.col("both.ids").alias("ids"), (F.length("both.ids") / 4).cast("long").alias("n_tokens"),
-        (F.col("both.decoded") == F.col("text")).alias("round_trip"))
+        (F.col("both.decoded") == F.col("text")).alias("round_trip"), "part", "place")
 
 
 STAGES = [
