@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, embedding_dups, fingerprints, langid, mixing, pii, quality, simhash, token_counts
+from . import byte_bpe, chat, embedding_dups, fill_middle, fingerprints, langid, mixing, pii, quality, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -141,3 +141,38 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     languages, logs = langid.fit(table(spark, folder, "documents"))
     return langid.identify(table(spark, folder, "pages"), languages, logs)
+
+
+FILL_SQL = """
+with units as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+         sha256('1:' || coalesce(doc_id :: varchar, '')) as digest
+  from documents),
+drawn as (
+  select *, len(units) :: bigint as n, list_transform([1, 9, 17, 25], lambda i: ('0x' || digest[i : i + 7]) :: bigint) as h from units),
+cut as (
+  select *, least(h[1] % (n + 1), h[2] % (n + 1)) as one, greatest(h[1] % (n + 1), h[2] % (n + 1)) as two,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90
+              then 'plain' when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn),
+parts as (
+  select *, coalesce(list_aggregate(units[1 : one], 'string_agg', ''), '') as prefix,
+         coalesce(list_aggregate(units[one + 1 : two], 'string_agg', ''), '') as middle,
+         coalesce(list_aggregate(units[two + 1 :], 'string_agg', ''), '') as suffix
+  from cut)
+select doc_id, n, form,
+       case when form <> 'plain' then length(prefix) :: bigint end as prefix_chars,
+       case when form <> 'plain' then length(middle) :: bigint end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+
+@query("op12_fill_middle", FILL_SQL)
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = fill_middle.transformed(table(spark, folder, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
