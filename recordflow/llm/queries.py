@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, embedding_dups, fill_middle, fingerprints, langid, mixing, pii, quality, simhash, token_counts
+from . import byte_bpe, chat, embedding_dups, fill_middle, fingerprints, langid, mixing, packing, pii, quality, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -176,3 +176,10 @@ def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.pieces(docs, LISTED, PATTERN).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(pieces, order=("doc_id", "piece", "ids_crc32"))
