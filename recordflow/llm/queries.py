@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, embedding_dups, fill_middle, fingerprints, langid, mixing, packing, pii, quality, simhash, token_counts
+from . import byte_bpe, chat, embedding_dups, fill_middle, fingerprints, langid, mixing, packing, pii, quality, repair, simhash, token_counts
 from .common import QUERIES, SQL, cut, n_words, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -183,3 +183,18 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     pieces = packing.pieces(docs, LISTED, PATTERN).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.packed(pieces, order=("doc_id", "piece", "ids_crc32"))
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found, after = repair.repaired(repair.damaged(rows))
+    digests = repair.digests(after, F.concat("role", F.lit(":"), "text"))
+    every = rows.select(F.col("conv_id").alias("id")).distinct()
+    out = every.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    out = out.join(digests, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    return out.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
