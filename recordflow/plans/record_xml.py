@@ -1,7 +1,7 @@
 """The XML form in which records pass from transformation to the index.
 
 Steps read the fields they know from the parsed record, and change the record in place: what a
-step does not know is carried on as it is written.
+step does not know is carried on as it is written, what stands between elements too.
 """
 
 from __future__ import annotations
@@ -9,67 +9,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordflow.functions import text
+from recordflow.functions import elements, text
 
 SINGLE = ("about", "datasetName", "country", "language", "title", "description", "mainThumbnail")
 MANY = ("link", "concept", "resource")
-ORDER = ("about", "datasetName", "country", "language", "title", "description", "link",
-         "concept", "resource", "mainThumbnail")
-FIELDS = ", ".join(f"{n} {'array<string>' if n in MANY else 'string'}" for n in ORDER)
+FIELDS = ", ".join(f"{name} string" for name in SINGLE)
 
 MALFORMED = "malformed record"
 
 
 def with_parsed(records: DataFrame) -> DataFrame:
-    """Adds ``xml``, the parsed record, once for all uses."""
-    return records.withColumn("xml", text.parse_xml(F.col("record_data"), FIELDS))
-
-
-def malformed() -> Column:
-    return F.when(F.col("xml.malformed").isNotNull(), F.lit(MALFORMED))
-
-
-# An element below the root, with all that is inside it.
-_ELEMENT = r"(?s)<([A-Za-z_][\w.:-]*)(?:\s[^<>]*)?(?:/>|>.*?</\1\s*>)"
-_BETWEEN = r"(?s)(?:\s|<!--.*?-->)+"
-_WHOLE = r"(?s)^(.*?<record(?:\s[^<>]*)?>)(.*)(</record\s*>\s*)$"
-
-
-def name_of(element: Column) -> Column:
-    return F.regexp_extract(element, r"^<([A-Za-z_][\w.:-]*)", 1)
+    """Adds ``scan`` (the record in parts) and ``xml`` (its fields by name), each once for all uses.
 
+    The parser says whether a record is well formed and reads single fields. Lists come from the parts,
+    because the parser copies a list for each item.
+    """
+    data = F.col("record_data")
+    scanned = records.withColumns({
+        "scan": elements.scanned(data),
+        "fields": text.parse_xml(data, FIELDS, {"ignoreNamespace": "true"})})
+    broken = F.col("fields.malformed").isNotNull() | F.col("scan").isNull()
 
-def value_of(element: Column) -> Column:
-    """What stands inside an element, as it is written; empty for an empty one."""
-    return F.regexp_extract(element, r"(?s)^<[^<>]*[^/<>]>(.*)</[^<>]*>$", 1)
+    def values(name: str) -> Column:
+        return F.when(~broken, F.transform(F.filter("scan.parts", lambda p: p["name"] == name), elements.value_of))
 
+    return scanned.withColumn("xml", F.struct(
+        *[F.col(f"fields.{name}") for name in SINGLE], *[values(name).alias(name) for name in MANY],
+        F.when(broken, MALFORMED).alias("malformed"))).drop("fields")
 
-def with_value(element: Column, value: Column) -> Column:
-    """The element with other content, its name and attributes kept."""
-    return F.concat(F.regexp_extract(element, r"^<[^<>]*>", 0), value,
-                    F.lit("</"), name_of(element), F.lit(">"))
 
+def malformed() -> Column:
+    return F.col("xml.malformed")
 
-def elements() -> Column:
-    """The record's elements as they are written, in order: known or not, with attributes,
-    repeats and what is inside."""
-    return F.regexp_extract_all(
-        F.regexp_extract("record_data", _WHOLE, 2), F.lit(_ELEMENT), F.lit(0))
 
+def name_of(part: Column) -> Column:
+    """The local name of an element; empty for what stands between two."""
+    return F.coalesce(part["name"], F.lit(""))
 
-def unreadable() -> Column:
-    """The malformed, and records with anything between their elements but blanks and comments.
 
-    Such a record could not be put together again without a loss.
-    """
-    left = F.regexp_replace(F.regexp_replace(
-        F.regexp_extract("record_data", _WHOLE, 2), _ELEMENT, ""), _BETWEEN, "")
-    whole = F.coalesce(F.col("record_data"), F.lit("")).rlike(_WHOLE)
-    return F.coalesce(malformed(), F.when(~whole | (left != ""), F.lit(MALFORMED)))
+def rebuilt(parts: Column) -> Column:
+    """The record in its own frame, of the given parts."""
+    return F.concat("scan.head", F.array_join(F.transform(parts, elements.written), ""), "scan.tail")
 
 
-def rebuilt(parts: Column, added: Column | None = None) -> Column:
-    """The record in its own frame, of the given elements and then ``added`` text."""
-    return F.concat(
-        F.regexp_extract("record_data", _WHOLE, 1), F.array_join(parts, ""),
-        F.lit("") if added is None else added, F.regexp_extract("record_data", _WHOLE, 3))
+def with_added(data: Column, tail: Column, added: Column) -> Column:
+    """A record, given what it ends with from its root's end tag on, with more elements before that."""
+    body = F.left(data, F.length(data) - F.length(tail))
+    # a root without anything in it has no end tag yet
+    empty = body.endswith("/>") & ~tail.startswith("</")
+    name = F.regexp_extract(body, r"<([^\s<>/]+)(?:\s[^<>]*)?/>$", 1)
+    return F.when(added == "", data).when(empty, F.concat(
+        F.left(body, F.length(body) - 2), F.lit(">"), added, F.lit("</"), name, F.lit(">"), tail)).otherwise(
+        F.concat(body, added, tail))

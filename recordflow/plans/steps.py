@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow import schema
-from recordflow.functions import text
+from recordflow.functions import elements, text
 from recordflow.operators import enrich, harvest, index, media, normalize, transform, validate
 from recordflow.operators.project import step_result
 from recordflow.params import PREVIEW, PUBLISH
@@ -35,9 +35,27 @@ def harvest_step(headers: DataFrame, content: DataFrame, dataset_id: Column,
     return Step(schema.HARVEST, run, shuffles=True)
 
 
-def external_validation(rules: Mapping[str, Column]) -> Step:
-    return Step(schema.VALIDATION_EXTERNAL, lambda records, execution_id: validate.validate(
-        records, schema.VALIDATION_EXTERNAL, rules, execution_id))
+@dataclass(frozen=True)
+class Schema:
+    """An XML schema sent to the executors (``SparkContext.addFile``), and the fields it knows."""
+
+    file: str
+    fields: str
+
+
+def external_validation(rules: Mapping[str, Column], ranks: Mapping[str, int] | None = None,
+                        schema_: Schema | None = None) -> Step:
+    """With ``ranks`` rules and schema see the record in canonical order (rules as ``checked_text``)."""
+    def run(records: DataFrame, execution_id: str) -> DataFrame:
+        return validate.validate_all(
+            records, schema.VALIDATION_EXTERNAL, rules, execution_id, _canonical(ranks),
+            schema_ and schema_.fields, schema_ and schema_.file)
+
+    return Step(schema.VALIDATION_EXTERNAL, run)
+
+
+def _canonical(ranks: Mapping[str, int] | None) -> Column | None:
+    return None if ranks is None else validate.canonical_elements(F.col("record_data"), ranks)
 
 
 def transformation(rules: Sequence[transform.Rule], **params: str | Column) -> Step:
@@ -45,52 +63,85 @@ def transformation(rules: Sequence[transform.Rule], **params: str | Column) -> S
         records, rules, execution_id=execution_id, **params))
 
 
-def internal_validation(rules: Mapping[str, Column]) -> Step:
-    """``rules`` see the parsed record as ``xml``."""
+def internal_validation(rules: Mapping[str, Column], ranks: Mapping[str, int] | None = None,
+                        schema_: Schema | None = None) -> Step:
+    """``rules`` see the parsed record as ``xml`` and, with ``ranks``, the record in canonical order
+    as ``checked_text``."""
     def run(records: DataFrame, execution_id: str) -> DataFrame:
+        parsed = record_xml.with_parsed(records)
+        seen = parsed if ranks is None else parsed.withColumn("checked_text", _canonical(ranks))
+        found = [validate.broken_rules(rules)] if rules else []
+        if schema_ is not None:
+            text_ = F.col("record_data" if ranks is None else "checked_text")
+            found.append(validate.schema_violation(text_, schema_.fields, schema_.file))
+        failure = F.nullif(F.concat_ws("; ", *found), F.lit("")) if found else F.lit(None).cast("string")
         return step_result(
-            record_xml.with_parsed(records), execution_id, schema.VALIDATION_INTERNAL,
-            F.col("record_data"),
-            F.coalesce(record_xml.malformed(), validate.broken_rules(rules)))
+            seen, execution_id, schema.VALIDATION_INTERNAL, F.col("record_data"),
+            F.coalesce(record_xml.malformed(), failure))
 
     return Step(schema.VALIDATION_INTERNAL, run)
 
 
-def normalized_elements() -> Column:
+def normalized_parts() -> Column:
     """Text values cleaned in place; elements left without content and repeated links dropped."""
-    def clean(element: Column) -> Column:
-        value = record_xml.value_of(element)
-        name = record_xml.name_of(element)
-        cleaned = F.when(name == "language", text.language_code(value)).when(
-            name.isin("title", "description", "link"), text.collapse_spaces(value))
-        return F.when(cleaned.isNotNull(), record_xml.with_value(element, cleaned)).otherwise(element)
-
-    cleaned = F.filter(
-        F.transform(record_xml.elements(), clean),
-        lambda e: ~text.is_blank(record_xml.value_of(e)) | e.rlike(r"^<[^<>]*=[^<>]*>"))
-    links = F.array_distinct(F.filter(cleaned, lambda e: record_xml.name_of(e) == "link"))
-    first = F.transform(links, lambda e: F.array_position(cleaned, e).cast("int") - 1)
-    return F.filter(cleaned, lambda e, i: (record_xml.name_of(e) != "link")
-                    | F.array_contains(first, i))
+    def clean(part: Column) -> Column:
+        name, value = part["name"], part["inner"]
+        plain = ~F.contains(value, F.lit("<"))  # elements inside and CDATA stay as they are
+        cleaned = F.when(plain & (name == "language"), text.language_code(value)).when(
+            plain & name.isin("title", "description", "link"), text.collapse_spaces(value)).otherwise(value)
+        return part.withField("inner", cleaned)
+
+    def has_content(part: Column) -> Column:
+        return part["name"].isNull() | ~text.is_blank(part["inner"]) | F.contains(part["open"], F.lit("="))
+
+    cleaned = F.filter(F.transform("scan.parts", clean), has_content)
+    return elements.let(cleaned, lambda parts: _first_of_equal(parts, "link"))
+
+
+def _first_of_equal(parts: Column, name: str) -> Column:
+    """The parts without repeats among the elements of one name."""
+    def firsts(same: Column) -> Column:
+        return F.filter(same, lambda x, i: (i == 0) | (F.get(same, i - 1)["written"] != x["written"]))
+
+    named = F.transform(
+        F.filter(parts, lambda p: record_xml.name_of(p) == name),
+        lambda p: F.struct(elements.written(p).alias("written"), p.alias("part")))
+    kept = F.transform(elements.let(F.array_sort(named), firsts), lambda x: x["part"])
+    others = F.filter(parts, lambda p: record_xml.name_of(p) != name)
+    return F.array_sort(F.concat(others, kept))  # by place
 
 
 def normalization() -> Step:
     def run(records: DataFrame, execution_id: str) -> DataFrame:
         return step_result(record_xml.with_parsed(records), execution_id, schema.NORMALIZATION,
-                           record_xml.rebuilt(normalized_elements()), record_xml.unreadable())
+                           record_xml.rebuilt(normalized_parts()), record_xml.malformed())
 
     return Step(schema.NORMALIZATION, run)
 
 
+def _open_records(records: DataFrame, without: Sequence[str] = ()) -> DataFrame:
+    """Records ready for more elements: ``record_data`` without those named, ``tail`` (what it ends with),
+    ``links`` and ``failure``. The parts stay behind, so what a join moves is one text."""
+    parsed = record_xml.with_parsed(records)
+    kept = F.filter("scan.parts", lambda p: ~record_xml.name_of(p).isin(*without)) if without else None
+    return parsed.select(
+        *[c for c in records.columns if c != "record_data"],
+        (F.col("record_data") if kept is None else record_xml.rebuilt(kept)).alias("record_data"),
+        F.col("scan.tail").alias("tail"), F.col("xml.link").alias("links"), record_xml.malformed().alias("failure"))
+
+
+def _with_added(added: Column) -> Column:
+    return record_xml.with_added(F.col("record_data"), F.col("tail"), added)
+
+
 def enrichment(entities: DataFrame, reference: Callable[[Column], Column],
                tolerate: bool = False) -> Step:
     """``reference`` turns a link of the record into a key of ``entities``."""
     def run(records: DataFrame, execution_id: str) -> DataFrame:
-        parsed = record_xml.with_parsed(records)
         return enrich.enrich(
-            parsed, F.transform("xml.link", reference), entities,
-            record_xml.rebuilt(record_xml.elements(), text.xml_elements("concept", F.col("labels"))),
-            execution_id, tolerate, record_xml.unreadable())
+            _open_records(records), F.transform("links", reference), entities,
+            _with_added(text.xml_elements("concept", F.col("labels"))),
+            execution_id, tolerate, F.col("failure"))
 
     return Step(schema.ENRICHMENT, run, shuffles=True)
 
@@ -101,13 +152,11 @@ def media_step(metadata: DataFrame) -> Step:
         facts = F.transform(good, lambda r: F.concat_ws(
             " ", r["resource"], r["mime"], r["bytes"].cast("string")))
         has_main = F.coalesce(F.get("resources", F.lit(0))["extracted"], F.lit(False))
-        kept = F.filter(record_xml.elements(), lambda e: ~record_xml.name_of(e).isin(
-            "resource", "mainThumbnail"))
         added = F.concat(text.xml_elements("resource", facts),
                          text.xml_element("mainThumbnail", has_main.cast("string")))
         return media.enrich_media(
-            record_xml.with_parsed(records), F.col("xml.link"), metadata,
-            record_xml.rebuilt(kept, added), execution_id, record_xml.unreadable())
+            _open_records(records, without=("resource", "mainThumbnail")), F.col("links"), metadata,
+            _with_added(added), execution_id, F.col("failure"))
 
     return Step(schema.MEDIA, run, shuffles=True)
 
@@ -122,7 +171,7 @@ def record_tier() -> Column:
 def indexing(target: str) -> Step:
     return Step(schema.INDEXING, lambda records, execution_id: index.index_step(
         record_xml.with_parsed(records), record_tier(), target, execution_id,
-        record_xml.unreadable()))
+        record_xml.malformed()))
 
 
 def index_both() -> tuple[Step, Step]:

@@ -199,15 +199,17 @@ def test_no_step_loses_or_fakes_a_record(spark):
     metadata = spark.createDataFrame([("u1", "image/png", 5)], "resource string, mime string, bytes long")
     for step in (steps.normalization(), steps.enrichment(entities, lambda link: link), steps.media_step(metadata), steps.indexing("PREVIEW")):
         got = run_on(spark, step, CUT_OFF, ODD, None, "", "no record", NESTED)
-        for key in ("0", "2", "3", "4", "5"):
+        for key in ("0", "2", "3", "4"):
             assert got[key].exception == record_xml.MALFORMED and got[key].record_data == "", (step.name, key)
+        assert got["5"].exception is None or step.name == schema.INDEXING
+        assert got["5"].exception or "<a><a>x</a></a>" in got["5"].record_data
         assert '<creator role="x"><name>N  N</name></creator>' in got["1"].record_data or got["1"].exception
 
 
 def test_records_are_changed_in_place(spark):
     normal = run_on(spark, steps.normalization(), ODD)["0"].record_data
-    assert normal == ('<?xml version="1.0"?>\n<record id="7"><about>a</about><title lang="en">One two</title><title>Three &amp; four</title>'
-                      '<creator role="x"><name>N  N</name></creator><language>en</language><flag on="1"/><link>u1</link><link>u2</link>'
+    assert normal == ('<?xml version="1.0"?>\n<record id="7">\n <about>a</about><title lang="en">One two</title><title>Three &amp; four</title>'
+                      '<creator role="x"><name>N  N</name></creator><language>en</language><flag on="1"/><!-- note --><link>u1</link><link>u2</link>'
                       '<mainThumbnail>old</mainThumbnail></record>\n')
     entities = spark.createDataFrame([("u1", "L & 1"), ("u2", "L2")], "reference string, label string")
     enriched = run_on(spark, steps.enrichment(entities, lambda link: link), normal)["0"].record_data
@@ -216,3 +218,33 @@ def test_records_are_changed_in_place(spark):
     media = run_on(spark, steps.media_step(metadata), enriched)["0"].record_data
     assert media == enriched.replace("<mainThumbnail>old</mainThumbnail>", "").replace(
         "</record>", "<resource>u1 image/png 5</resource><mainThumbnail>true</mainThumbnail></record>")
+
+
+NAMESPACED = ('<?xml version="1.0"?>\n<!-- from a library --><x:RDF xmlns:x="urn:x" xmlns:d="urn:d">\n  <d:title>A  b</d:title>\n'
+              '  <?keep <this> ?><d:note><d:note>1</d:note> &lt;</d:note><d:title><![CDATA[a  <b> ]]></d:title>text between\n'
+              '  <d:link>u1</d:link><link> u1 </link><d:link>u1</d:link></x:RDF><!-- end -->')
+
+
+def test_any_root_and_what_lies_inside_survive(spark):
+    normal = run_on(spark, steps.normalization(), NAMESPACED)["0"].record_data
+    assert normal == NAMESPACED.replace("A  b", "A b").replace("> u1 <", ">u1<").replace("<d:link>u1</d:link></x", "</x")
+    entities = spark.createDataFrame([("u1", "L1")], "reference string, label string")
+    enriched = run_on(spark, steps.enrichment(entities, lambda link: link), normal)["0"].record_data
+    assert enriched == normal.replace("</x:RDF>", "<concept>L1</concept><concept>L1</concept></x:RDF>")
+    metadata = spark.createDataFrame([("u1", "image/png", 5)], "resource string, mime string, bytes long")
+    for empty in ("<x:record a='/>'/><!-- e -->", "<x:record a='/>'></x:record><!-- e -->"):
+        media = run_on(spark, steps.media_step(metadata), empty)["0"].record_data
+        assert media == "<x:record a='/>'><mainThumbnail>false</mainThumbnail></x:record><!-- e -->"
+
+
+def test_one_hostile_record_does_not_stop_a_step(spark):
+    """Megabytes of blanks, comments, nested and open tags; a hundred thousand links."""
+    million = 1_000_000
+    hostile = ["<record>" + " " * 4 * million + "<title>q</title></record>", "<record>" + "<!---->" * 150_000 + "</record>",
+               "<a>" * 100_000 + "</a>" * 100_000, "<record>" + "<link>u</link>" * 100_000 + "</record>", "<!--" * 250_000, "<" * million,
+               '<a "' * 250_000, "<![" * 250_000, "<record a='" + "<>" * million + "'/>", "<record>" + "<a/>" * 100_000 + "</record>"]
+    got = run_on(spark, steps.normalization(), *hostile)
+    good = {k for k, r in got.items() if r.exception is None}
+    assert good == {"0", "1", "3", "9"}
+    assert got["0"].record_data == hostile[0] and got["1"].record_data == hostile[1]
+    assert got["3"].record_data == "<record><link>u</link></record>" and got["9"].record_data == "<record></record>"
