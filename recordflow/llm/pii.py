@@ -3,8 +3,8 @@
 One pattern finds e-mail addresses, secrets, account, card and social-security numbers, IP
 addresses, phone numbers and names after a title, outside of longer words. Each is replaced
 by a surrogate of its own type: letters by letters and digits by digits of the same script and
-case, separators and lengths kept; country codes, card networks and check sums (valid or not)
-kept; names by names of the title's gender and the name's script; addresses in reserved
+case, separators and lengths kept; country codes, card networks and check sums (valid or not, of
+cards and accounts) kept; names by names of the title's gender and the name's script; addresses in reserved
 domains and networks.
 
 Surrogates are keyed: SHA-256 of key, type, plain form and round. The plain form (lower case,
@@ -63,18 +63,20 @@ CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 _END = r"(?![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLES = "|".join(t for ts in TITLES.values() for t in ts)
+_NAME = r"(?:\p{Lu}['’])?+\p{Lu}\p{L}++(?:[-'’]\p{Lu}\p{L}++){0,2}+"
 # Each begins where no letter or digit stands before. The case of letters is free in titles only.
 PATTERNS = {
-    "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+    "email": r"(?<![._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": r"(?:[0-9A-Fa-f]{32,}+|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9]{20,}+)" + _END
               + r"|(?<=(?i:token|secret|password|passwd|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']{0,1})[A-Za-z0-9+/_-]{8,}+",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?" + _END,
-    "ip": rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}" + r"(?![\p{L}\p{N}]|\.\d)" + r"|(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}" + _END,
+    "ip": rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}" + r"(?![\p{L}\p{N}]|\.\d)" + r"|(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}" + _END
+          + r"|(?<!:)(?=[0-9A-Fa-f:]{0,39}\d)(?:(?:[0-9A-Fa-f]{1,4}:){1,6}|:):[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}(?![\p{L}\p{N}:])",
     "ssn": r"\d{3}-\d{2}-\d{4}" + _END,
     "phone": r"(?<!\+)(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}"
-             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})" + _END,
+             r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{2,4}[ /-]\d{5,8})" + _END,
     "card": r"(?<!\.)\d(?:[ -]?\d){12,18}" + _END,
-    "person": rf"(?iu:{_TITLES})\.? \p{{Lu}}\p{{L}}++(?: \p{{Lu}}\p{{L}}++)?",
+    "person": rf"(?iu:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}+",
 }
 # One look behind for all: inside a word, which is nearly everywhere, nothing else is tried.
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(PATTERNS.values()) + ")"
@@ -155,6 +157,26 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x) % 10
 
 
+def _mod_97(letters_and_digits: Column) -> Column:
+    """An account number modulo 97, letters counting from 10 on."""
+    values = F.transform(_letters(letters_and_digits), lambda c: F.when(
+        c.rlike(r"\d"), c.try_cast("int")).otherwise(F.ascii(c) - 87))
+    return F.aggregate(values, F.lit(0), lambda a, x: F.pmod(a * F.when(x > 9, 100).otherwise(10) + x, F.lit(97)))
+
+
+def _account(plain: Column, stream: Column, more: Column) -> Column:
+    """The country stays, the rest is drawn, and the check digits are as right or wrong as they were."""
+    country = plain.substr(1, 2)
+    body = F.concat(_characters(plain.substr(F.lit(5), F.length(plain)), stream, F.lit(False)), more)
+
+    def whole(body: Column) -> Column:
+        was = _mod_97(F.concat(plain.substr(F.lit(5), F.length(plain)), plain.substr(1, 4)))
+        check = F.pmod(was - _mod_97(F.concat(body, country, F.lit("00"))), F.lit(97))
+        return F.concat(country, F.lpad((check + F.when(check < 2, 97).otherwise(0)).cast("string"), 2, "0"), body)
+
+    return _bound(body, whole)
+
+
 def _surrogate(kind: Column, plain: Column, key: str, turn: int) -> Column:
     """The surrogate's plain form, from the keyed hash of this turn."""
     # a random byte for each character, at least 64 of them: blocks of 32
@@ -201,7 +223,8 @@ def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
                                     for i in range(2, 6 + min(turn, 8))]))
         name = F.when(parts > 1, F.concat_ws(" ", given, last)).otherwise(last)
         person = F.when(plain.rlike(r"\p{IsCyrillic}") == F.lit(script == "cyrillic"), F.concat_ws(":", gender, F.lower(name))).otherwise(person)
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(
+    account = _account(plain, stream, more)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", account).when(
         kind == "person", person).when(kind == "phone", F.concat(code, phone, more)).otherwise(digits)
 
 
