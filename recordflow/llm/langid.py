@@ -36,12 +36,27 @@ from pyspark.sql import functions as F
 from .common import cut, small_batches
 
 BUCKETS, PER_LANGUAGE, STRENGTH = 1 << 16, 400, 5.0
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<(?:!--|(script|style|template|noscript)\b)", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "template", "noscript")} | {"": re.compile("-->")}
 _TAG = re.compile(r"<[^>]*>")
 
 
 def visible_text(page: str) -> str:
-    return markup.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
+    """Without comments, hidden elements and tags. One scan forward: where the end of a kind is not
+    found, no later beginning of it has one, and all of them stay."""
+    parts, at, begin, endless = [], 0, 0, set()
+    while (found := _HIDDEN.search(page, at)) is not None:
+        kind = (found[1] or "").lower()
+        end = None if kind in endless else _ENDS[kind].search(page, found.end())
+        if end is None:
+            endless.add(kind)
+            at = found.end()
+            continue
+        parts += [page[begin : found.start()], " "]
+        at = begin = end.end()
+    shown = "".join([*parts, page[begin:]])
+    last = shown.rfind(">") + 1  # behind it, no tag is ever closed
+    return markup.unescape(_TAG.sub(" ", shown[:last]) + shown[last:])
 
 
 def trigram_counts(text: str) -> np.ndarray:
