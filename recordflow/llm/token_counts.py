@@ -20,7 +20,7 @@ count the same. Other columns stay; columns of the output's names are replaced.
 from __future__ import annotations
 
 import gc
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import regex
@@ -36,11 +36,20 @@ CHUNK = 1 << 16
 
 @dataclass
 class StateMap:
-    """``count`` None: no sure place inside, all of the chunk is ``head``."""
+    """``count`` None: no sure place inside, all of the chunk is the head. Open stretches are kept as the
+    chunks' own texts, which are joined when they are counted and never before."""
 
-    head: str
+    heads: list[str]
     count: int | None = None
-    tail: str = ""
+    tails: list[str] = field(default_factory=list)
+
+    @property
+    def head(self) -> str:
+        return "".join(self.heads)
+
+    @property
+    def tail(self) -> str:
+        return "".join(self.tails)
 
 
 class Counter:
@@ -67,28 +76,25 @@ class Counter:
 
     def state_map(self, chunk: str) -> StateMap:
         if (first := SURE.search(chunk)) is None:
-            return StateMap(chunk)
+            return StateMap([chunk])
         a, b = first.start(), SURE_LAST.search(chunk).start()
-        return StateMap(chunk[:a], self.between(chunk[a:b]), chunk[b:])
+        return StateMap([chunk[:a]], self.between(chunk[a:b]), [chunk[b:]])
 
     def compose(self, one: StateMap, two: StateMap) -> StateMap:
+        left = one.heads if one.count is None else one.tails
+        sure = SURE.search(left[-1][-1:] + two.heads[0][:1]) is not None  # the border itself may be a sure place
         if one.count is None and two.count is None:
-            joint = self.state_map(one.head + two.head)  # the border itself may be a sure place
-            return joint
+            return StateMap(one.heads, 0, two.heads) if sure else StateMap(one.heads + two.heads)
         if one.count is None:
-            left = self.state_map(one.head + two.head)
-            if left.count is None:
-                return StateMap(left.head, two.count, two.tail)
-            return StateMap(left.head, left.count + self.between(left.tail) + two.count, two.tail)
+            if sure:
+                return StateMap(one.heads, self.between(two.head) + two.count, two.tails)
+            return StateMap(one.heads + two.heads, two.count, two.tails)
         if two.count is None:
-            return StateMap(one.head, one.count + (right := self._tail(one.tail + two.head))[0], right[1])
-        return StateMap(one.head, one.count + self.between(one.tail + two.head) + two.count, two.tail)
-
-    def _tail(self, text: str) -> tuple[int, str]:
-        """Of text after a sure place: tokens up to the last sure place, and the rest."""
-        last = SURE_LAST.search(text)
-        at = last.start() if last else 0
-        return (self.between(text[:at]) if at else 0), text[at:]
+            if sure:
+                return StateMap(one.heads, one.count + self.between(one.tail), two.heads)
+            return StateMap(one.heads, one.count, one.tails + two.heads)
+        met = self.between(one.tail) + self.between(two.head) if sure else self.between(one.tail + two.head)
+        return StateMap(one.heads, one.count + met + two.count, two.tails)
 
     def scan(self, maps: list[StateMap]) -> list[StateMap]:
         """Prefix scan: the maps of the first chunk, the first two, and so on. Neighbours are
@@ -105,7 +111,9 @@ class Counter:
         if len(text) <= size:
             return self.between(text)
         maps = [self.state_map(text[i : i + size]) for i in range(0, len(text), size)]
-        whole = self.scan(maps)[-1]
+        while len(maps) > 1:  # of the scan, only its last prefix: pairs, pairs of pairs, and so on
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        whole = maps[0]
         # a text begins and ends at a sure place
         return self.between(whole.head) + (whole.count or 0) + (self.between(whole.tail) if whole.tail else 0)
 
