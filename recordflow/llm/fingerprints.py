@@ -7,8 +7,9 @@ The fingerprint is ``root:section(paragraphs)...~phrases``, with the first 8 dig
 inner nodes. Where two roots differ, the nodes below tell which branches do
 (:func:`changed_paragraphs`). Phrases are runs of words that end where a word ends in a vowel or
 in anything but a-z, so an edit moves no other phrase's borders; the ``KEPT`` smallest of their
-hashes are a sample of the leaves that is drawn alike from every text, and give the likeness
-of two texts whatever their lengths (:func:`likeness`).
+hashes are a sample of the leaves that is drawn alike from every text (:func:`likeness`). Two texts
+are as like as their trees prove by equal paragraphs, or as the sample says if that is more; only
+equal roots are wholly alike (:func:`near`).
 
 Columns and SQL functions only. :func:`with_next` sets each row beside the next in descending
 order of id by one shuffle: rows are dealt to ranges of the sort order, the first row of a range
@@ -73,6 +74,24 @@ def likeness(one: Column, two: Column) -> Column:
     return (2.0 * common) / (F.size(sample) + common)
 
 
+def marks(text: Column) -> Column:
+    """The different paragraphs as numbers: a hash above 20 bits, below it the length (at most 2^20)."""
+    return F.array_distinct(F.transform(F.split(text, _PARAGRAPHS, -1), lambda p: F.shiftleft(
+        F.xxhash64(p), 20).bitwiseOR(F.least(F.length(p), F.lit((1 << 20) - 1)).cast("bigint"))))
+
+
+def near(equal: Column, one: Column, two: Column, marks_one: Column, marks_two: Column) -> Column:
+    """Likeness of two texts from their trees and samples: 1 if the roots are ``equal``. Else, the larger of
+    what the trees prove (the share of equal paragraphs, by length) and what the sample of phrases says, and
+    always below 1 by one character in all."""
+    def size(some: Column) -> Column:
+        return F.aggregate(some, F.lit(0).cast("bigint"), lambda a, x: a + x.bitwiseAND((1 << 20) - 1))
+
+    whole = size(marks_one) + size(marks_two)
+    tree = F.when(whole > 0, 2.0 * size(F.array_intersect(marks_one, marks_two)) / whole).otherwise(0.0)
+    return F.when(equal, 1.0).otherwise(F.least(F.greatest(tree, likeness(one, two)), 1.0 - 1.0 / (whole + 1)))
+
+
 def sample_of(fingerprint: Column) -> Column:
     """:func:`phrases` read back from a fingerprint, for fingerprints that were stored."""
     digits = F.substring_index(fingerprint, "~", -1)
@@ -167,11 +186,15 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
                       F.col("next").substr(F.lit(1), half))
     both = beside.withColumn("edited", edited)
+    texts = F.array("text", "edited", "next")
     sampled = both.select(
-        "doc_id", "text", "edited", F.transform(F.array("text", "edited", "next"), phrases).alias("kept"))
+        "doc_id", "text", "edited", (F.col("text") == F.col("edited")).alias("unedited"), (F.col("text") == F.col("next")).alias("same"),
+        F.transform(texts, phrases).alias("kept"), F.transform(texts, marks).alias("marks"))
     own, other, after = (F.col("kept")[i] for i in range(3))
+    own_marks, other_marks, after_marks = (F.col("marks")[i] for i in range(3))
     return sampled.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("text"), own).alias("fingerprint"),
         fingerprint(F.col("edited"), other).alias("edited_fingerprint"),
-        likeness(own, other).alias("near_edited"), likeness(own, after).alias("near_next"))
+        near(F.col("unedited"), own, other, own_marks, other_marks).alias("near_edited"),
+        near(F.col("same"), own, after, own_marks, after_marks).alias("near_next"))
