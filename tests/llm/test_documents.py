@@ -354,6 +354,59 @@ def test_long_texts_take_time_by_length(spark):
     assert got[1] == data[0][1] and got[3] == data[2][1] and "a@b.org" not in got[4]
 
 
+def iban_rest(account):
+    moved = account[4:] + account[:4]
+    return int("".join(str(int(c, 36)) for c in moved)) % 97
+
+
+def test_kinds_of_finds(spark):
+    finds = {"2001:db8::1": "ip", "fe80::1:2": "ip", "::1": "ip", "0171 1234567": "phone", "030/12345678": "phone", "Mr. O'Brien": "person",
+             "Mrs. Anna Smith-Jones": "person", "Dr. Martin Luther King": "person", "DE89370400440532013000": "iban", "GB82 WEST 1234 5698 7654 32": "iban"}
+    clean = ["std::vector", "a::b", "12:30:45", "page 0171", "Dr. who", "3::", "x@y"]
+    df = spark.createDataFrame([(f"see {f}.",) for f in finds] + [(f"see {c}.",) for c in clean], "text string")
+    got = {r.text: list(r.f) for r in df.select("text", pii.found(F.col("text")).alias("f")).collect()}
+    assert got == {f"see {f}.": [f] for f in finds} | {f"see {c}.": [] for c in clean}
+    made = {r.find: r for r in pii.surrogates(spark.createDataFrame([(f,) for f in finds], "find string")).collect()}
+    for find, kind in finds.items():
+        new = made[find].surrogate
+        assert made[find].kind == kind and new != find
+        if kind == "iban":
+            plain, was = new.replace(" ", ""), find.replace(" ", "")
+            assert plain[:2] == was[:2] and iban_rest(plain) == iban_rest(was) == 1 and [c == " " for c in new] == [c == " " for c in find]
+    wrong = "DE00370400440532013000"
+    new = pii.surrogates(spark.createDataFrame([(wrong,)], "find string")).first().surrogate
+    assert iban_rest(new) == iban_rest(wrong) != 1
+
+
+def test_no_text_ends_a_task_or_holds_it(spark):
+    """A megabyte of each, which patterns might read again and again or by recursion."""
+    million = 1_000_000
+    data = ["x@" + "a." * (million // 2), "1" * million, "+1 " * (million // 3), "a@" * (million // 2), "1:" * (million // 2), "::" * (million // 2),
+            "Mr. " + "A-" * (million // 2), "DE12 " * (million // 5), "0171 " * (million // 5), "O'" * (million // 2), "x@" + "a." * 2000 + " com"]
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.n for r in df.select("doc_id", F.size(pii.found(F.col("text"))).alias("n")).collect()}.keys() == set(range(len(data)))
+    whole = pii.replaced(df.where("doc_id in (0, 10)")).collect()
+    assert all("@example." in r.text for r in whole)
+
+
+def test_hostile_markup_is_read_in_one_scan():
+    for part in ("<script>", "<!--", "<", "</script", "<!-- -->", "<style></style>"):
+        assert isinstance(langid.visible_text(part * (1_000_000 // len(part))), str)
+    assert langid.visible_text("a<!-- x --><SCRIPT>y</script ><p>b<style>c") == "a   b c"
+
+
+def test_unlike_texts_are_never_wholly_alike(spark):
+    words = " ".join(f"w{i % 977}x{i}" for i in range(60_000))
+    lines = "\n".join(f"line {i} of the text" for i in range(3000))
+    pairs = [(words, words.replace("x30000 ", "other ")), (words, " ".join(reversed(words.split()))), (lines, lines.replace("line 77 ", "row 77 ")),
+             (lines, "\n".join(reversed(lines.split("\n")))), (lines, lines), ("", ""), ("a", "")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r.x for r in df.select(fingerprints.near(
+        F.col("a") == F.col("b"), *[fingerprints.phrases(F.col(c)) for c in "ab"], *[fingerprints.marks(F.col(c)) for c in "ab"]).alias("x")).collect()]
+    assert all(0.9 < x < 1 for x in got[:4]) and got[4] == got[5] == 1 and got[6] < 1
+    assert got[2] == pytest.approx(1 - 1 / 3000, abs=1e-3)
+
+
 # chats
 
 

@@ -140,3 +140,10 @@ def test_frames_with_nulls_repeats_and_clashing_names(spark):
 def test_path_is_a_parameter():
     assert Codec.of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), PATTERN).decode(
         Codec.of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), PATTERN).encode("été 日本 x")) == "été 日本 x"
+
+
+def test_a_long_text_without_blanks_takes_little_memory():
+    import resource
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert COUNTER.count("x1" * 2_000_000) == len(TOKENIZER.encode("x1" * 1000, add_special_tokens=False).ids) * 2000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
