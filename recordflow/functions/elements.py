@@ -76,7 +76,7 @@ def local_name(tag: Column) -> Column:
 
 
 def scanned(record: Column) -> Column:
-    """``head`` (up to the root's start tag), ``parts``, ``tail`` (from its end tag on); null for text that
+    """``head`` (up to the root's start tag), ``root`` (its name as written), ``parts``, ``tail`` (from its end tag on); null for text that
     has not just one root. Each part has its ``place``, ``open`` (start tag, or all that stands between two
     elements), ``inner``, ``close``, and the element's local ``name``, null between elements.
 
@@ -110,7 +110,8 @@ def scanned(record: Column) -> Column:
             ~t.startswith("<") & t.rlike(r"[^ \t\r\n\x{FEFF}]") | t.startswith("<![CDATA["))), lambda x: x)
         sound = one & (F.array_min(depths) >= 0) & (F.get(depths, F.size(depths) - 1) == 0) & ~text
         return F.when(sound, F.struct(
-            _joined(tokens, F.lit(0), root).alias("head"), F.transform(at["begins"], part).alias("parts"),
+            _joined(tokens, F.lit(0), root).alias("head"),
+            F.regexp_extract(F.get(tokens, root), r"^<([^\s/<>]*)", 1).alias("root"), F.transform(at["begins"], part).alias("parts"),
             F.when(root == end, _joined(tokens, end + 1, F.size(tokens) - 1)).otherwise(
                 _joined(tokens, end, F.size(tokens) - 1)).alias("tail")))
 

@@ -52,12 +52,12 @@ def rebuilt(parts: Column) -> Column:
     return F.concat("scan.head", F.array_join(F.transform(parts, elements.written), ""), "scan.tail")
 
 
-def with_added(data: Column, tail: Column, added: Column) -> Column:
-    """A record, given what it ends with from its root's end tag on, with more elements before that."""
+def with_added(data: Column, root: Column, tail: Column, added: Column) -> Column:
+    """A record, given its root's name and what it ends with from the root's end tag on, with more
+    elements before that."""
     body = F.left(data, F.length(data) - F.length(tail))
     # a root without anything in it has no end tag yet
     empty = body.endswith("/>") & ~tail.startswith("</")
-    name = F.regexp_extract(body, r"<([^\s<>/]+)(?:\s[^<>]*)?/>$", 1)
     return F.when(added == "", data).when(empty, F.concat(
-        F.left(body, F.length(body) - 2), F.lit(">"), added, F.lit("</"), name, F.lit(">"), tail)).otherwise(
+        F.left(body, F.length(body) - 2), F.lit(">"), added, F.lit("</"), root, F.lit(">"), tail)).otherwise(
         F.concat(body, added, tail))

@@ -120,18 +120,18 @@ def normalization() -> Step:
 
 
 def _open_records(records: DataFrame, without: Sequence[str] = ()) -> DataFrame:
-    """Records ready for more elements: ``record_data`` without those named, ``tail`` (what it ends with),
-    ``links`` and ``failure``. The parts stay behind, so what a join moves is one text."""
+    """Records ready for more elements: ``record_data`` without those named, ``root`` (its name),
+    ``tail`` (what it ends with), ``links`` and ``failure``. The parts stay behind, so what a join moves is one text."""
     parsed = record_xml.with_parsed(records)
     kept = F.filter("scan.parts", lambda p: ~record_xml.name_of(p).isin(*without)) if without else None
     return parsed.select(
         *[c for c in records.columns if c != "record_data"],
         (F.col("record_data") if kept is None else record_xml.rebuilt(kept)).alias("record_data"),
-        F.col("scan.tail").alias("tail"), F.col("xml.link").alias("links"), record_xml.malformed().alias("failure"))
+        F.col("scan.root").alias("root"), F.col("scan.tail").alias("tail"), F.col("xml.link").alias("links"), record_xml.malformed().alias("failure"))
 
 
 def _with_added(added: Column) -> Column:
-    return record_xml.with_added(F.col("record_data"), F.col("tail"), added)
+    return record_xml.with_added(F.col("record_data"), F.col("root"), F.col("tail"), added)
 
 
 def enrichment(entities: DataFrame, reference: Callable[[Column], Column],
