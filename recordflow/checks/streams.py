@@ -19,12 +19,15 @@ from recordflow.checks.rules import external_rules
 from recordflow.checks.store import RANGE
 from recordflow.operators import validate
 from recordflow.plans import bindings, message_job
+from recordflow.operators.project import step_result
 from recordflow.plans.steps import Step
 from recordflow.session import new_work_folder
 from recordflow.sinks.tables import ProgressLog, ResultTable
 from recordflow.sources.messages import decode_messages
+from recordflow.functions.prefix import positions
 from recordflow.streaming import notifications, records, statistics, tasks
-from recordflow.streaming.settings import finish, landed_stream
+from recordflow.streaming.admission import admission_log, admitted
+from recordflow.streaming.settings import finish, landed_stream, start
 
 
 def land_in_parts(rows: DataFrame, by: str, folder: str) -> Sequence[Callable[[], None]]:
@@ -192,3 +195,73 @@ def _(tables):
         f"{work}/notifications", f"{work}/checkpoint", rows_per_range=RANGE))
     return tables.spark.read.parquet(f"{work}/notifications").select(
         *MESSAGE_COLUMNS, "resource_num").withColumn("file_content", F.hex("file_content"))
+
+
+@query("stream_null_task", f"""
+SELECT *, {PROCESSED} AS resource_num
+FROM (SELECT task_id, event_id, {_sums(RUNNING)} FROM (SELECT * REPLACE (CASE WHEN event_id % 3 > 0 THEN task_id % 7 END AS task_id) FROM ({FLAGS})))""")
+def _(tables):
+    """Every third row belongs to no task; its counters go on from batch to batch like any other's."""
+    work = new_work_folder(tables.spark, "stream-null-task")
+    counters = notifications.counter_state(tables.spark, f"{work}/counters")
+    rows = bindings.notification_events(tables).withColumn(
+        "task_id", F.when(F.col("event_id") % 3 > 0, F.col("task_id") % 7))
+    run_in_parts(
+        rows, "event_id", f"{work}/landed",
+        lambda landed: notifications.start_notifications(
+            landed, counter_flags(), ["ts", "event_id"], counters, f"{work}/notifications",
+            f"{work}/checkpoint", rows_per_range=RANGE))
+    return tables.spark.read.parquet(f"{work}/notifications").select(
+        "task_id", "event_id", *notifications.COUNTERS, "resource_num")
+
+
+@query("stream_insert_repeats", """
+WITH again AS (SELECT doc_id % 400 AS record_id, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY 1)
+SELECT 'stored' AS what, count(*) AS n FROM again UNION ALL SELECT 'repeated', sum(n) - count(*) FROM again
+UNION ALL SELECT 'firsts', sum(first) FROM again""")
+def _(tables):
+    """Keys that come again in later batches are counted and not stored; what came first stays."""
+    work = new_work_folder(tables.spark, "stream-repeats")
+    results, progress = ResultTable(tables.spark, work), ProgressLog(tables.spark, f"{work}/progress")
+    step = Step(schema.MEDIA, lambda rows, execution_id: step_result(
+        rows, execution_id, schema.MEDIA, F.col("record_data")))
+    rows = tables.documents.select(
+        F.lit("d").alias("dataset_id"), (F.col("doc_id") % 400).cast("string").alias("record_id"),
+        F.col("doc_id").cast("string").alias("record_data"), "doc_id")
+    # the first 400 ids hold every key once, the next ones again, the third part many times
+    for part in ("doc_id < 400", "doc_id >= 400 and doc_id < 800", "doc_id >= 800"):
+        rows.where(part).write.mode("append").parquet(f"{work}/landed")
+        finish(records.start_step(
+            landed_stream(tables.spark, f"{work}/landed", rows.schema), step, "E1", results, progress, 3, f"{work}/checkpoint"))
+    first = results.records("E1").select(F.col("record_data").cast("bigint").alias("first"))
+    return bindings.union(
+        first.agg(F.count("*").alias("n")).select(F.lit("stored").alias("what"), "n"),
+        progress.repeats().select(F.lit("repeated").alias("what"), F.col("repeated").alias("n")),
+        first.agg(F.sum("first").alias("n")).select(F.lit("firsts").alias("what"), "n"))
+
+
+@query("stream_admission", """
+SELECT 'batches' AS what, CASE WHEN count(*) = 0 THEN 0 ELSE ceil(ceil(count(*) / 200) / 2) :: bigint END AS n FROM events
+UNION ALL SELECT 'rows', count(*) FROM events
+UNION ALL SELECT 'batches over the limit', 0""")
+def _(tables):
+    """Rows are landed 200 a file, a micro-batch may hold 400 at most; what waits is read by later ones."""
+    work = new_work_folder(tables.spark, "stream-admission")
+    ordered = tables.events.select("event_id", "user_id").withColumn("of", F.lit(0))
+    placed = positions(ordered, ["of"], ["event_id"], rows_per_range=RANGE).withColumn(
+        "part", F.floor((F.col("position") - 1) / 200))
+    # one file a part: what lands is cut to the size that admission counts by
+    placed.repartition("part").sortWithinPartitions("part").select("event_id", "user_id", "part").write.partitionBy("part").parquet(f"{work}/landed")
+    schema_ = "event_id bigint, user_id bigint, part bigint"
+    rows = admitted(tables.spark, f"{work}/landed", schema_, rows=400, rows_per_file=200)
+    log = admission_log(tables.spark, f"{work}/admitted")
+
+    def write(batch, batch_id):
+        log.add(batch_id, batch, limit=400)
+
+    finish(start(rows.writeStream.foreachBatch(write), f"{work}/checkpoint"))
+    state = log.state()
+    return bindings.union(
+        state.agg(F.count("*").alias("n")).select(F.lit("batches").alias("what"), "n"),
+        state.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).select(F.lit("rows").alias("what"), "n"),
+        state.agg(F.count_if(F.col("rows") > F.col("most")).alias("n")).select(F.lit("batches over the limit").alias("what"), "n"))

@@ -16,8 +16,7 @@ from recordflow.functions import text
 from recordflow.operators import harvest, normalize, project, publish
 from recordflow.operators.progress import counter_flags
 from recordflow.sinks.tables import ChangeTable
-from recordflow.streaming.notifications import write_batch
-from recordflow.streaming.settings import start
+from recordflow.streaming.notifications import start_notifications
 
 JOB_NAME = "normalization"
 
@@ -68,12 +67,10 @@ def start_messages(messages: DataFrame, inputs: Inputs, order: list[str],
                    ) -> StreamingQuery:
     """Runs the job over a stream; ``order`` columns tell the messages of a batch apart.
 
-    Results with their numbers go to ``folder``, one sub-folder per micro-batch.
+    Results with their numbers go to ``folder``, one sub-folder per micro-batch. Messages are
+    processed once for their results and once, without content, for the counters' state.
     """
     limits = {} if rows_per_range is None else {"rows_per_range": rows_per_range}
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(process(batch, inputs, *order), batch_id, message_flags(), order,
-                    counters, folder, **limits)
-
-    return start(messages.writeStream.foreachBatch(write), checkpoint, JOB_NAME, interval)
+    return start_notifications(
+        process(messages, inputs, *order), message_flags(), order, counters, folder, checkpoint,
+        interval, name=JOB_NAME, **limits)

@@ -15,16 +15,14 @@ def rows_to_insert(incoming: DataFrame, existing: DataFrame, order: Sequence[str
                    keys: Sequence[str] = RECORD_KEY, unique: bool = False) -> DataFrame:
     """Incoming rows whose key is new; of repeats in the batch, the first in ``order``.
 
-    Only the key columns of ``existing`` are read. They are first cut down to those that
-    come in again: mostly none or few, so that Spark can broadcast them and the rows
-    themselves need no shuffle. ``unique`` says that no key is repeated in the batch,
-    which saves the grouping of whole rows. One writer per execution: two writers cannot
-    see each other's rows. Null keys are equal to each other.
+    Only the key columns of ``existing`` are read, and ``incoming`` is computed once. Where
+    nothing is stored yet the join falls away at planning. ``unique`` says that no key is
+    repeated in the batch, which saves the grouping of whole rows. One writer per execution:
+    two writers cannot see each other's rows. Null keys are equal to each other.
     """
     keys = list(keys)
     rows = incoming if unique else first_per_key(incoming, keys, order)
-    again = null_safe_join(existing.select(*keys), incoming.select(*keys), keys, "left_semi")
-    return null_safe_join(rows, again, keys, "left_anti").select(*incoming.columns)
+    return null_safe_join(rows, existing.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def insert_first_wins(incoming: DataFrame, existing: DataFrame, order: Sequence[str],

@@ -48,10 +48,12 @@ class ResultTable:
 
     COLUMNS = T.StructType([*schema.STEP_RESULT.fields, T.StructField("outcome", T.StringType())])
     PARTITIONS = ["execution_id", "dataset_id", "outcome"]
+    BATCHES = T.StructType([*COLUMNS.fields, T.StructField("batch_id", T.LongType())])
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/results"
+        self.batches = f"{root.rstrip('/')}/results_by_batch"
 
     def _rows(self, execution_id: str | None = None, dataset_id: str | None = None) -> DataFrame:
         """All rows, or those of one execution; then only its folder is listed."""
@@ -64,7 +66,12 @@ class ResultTable:
                 folder = f"{folder}/{name}={value}"
             else:
                 exact = False
-        return _read_or_empty(self.spark, folder, self.COLUMNS, basePath=self.path).where(where)
+        rows = _read_or_empty(self.spark, folder, self.COLUMNS, basePath=self.path).where(where)
+        by_batch = self.batches
+        if execution_id is not None and _PLAIN.fullmatch(execution_id):
+            by_batch = f"{by_batch}/execution_id={execution_id}"
+        streamed = _read_or_empty(self.spark, by_batch, self.BATCHES, basePath=self.batches).where(where)
+        return rows.unionByName(streamed.drop("batch_id"))
 
     def records(self, execution_id: str | None = None,
                 dataset_id: str | None = None) -> DataFrame:
@@ -89,13 +96,7 @@ class ResultTable:
         do not give many small files; results that still lie as they were read from this
         table need no such shuffle. ``unique`` says that no key is repeated in ``results``.
         """
-        rows = (
-            results.where(F.col("execution_id") == execution_id)
-            .select(*schema.RESULT_COLUMNS)
-            # an empty partition name is read back as null: so it is compared as null
-            .withColumn("dataset_id", F.nullif("dataset_id", F.lit("")))
-            .withColumn("outcome", F.when(F.col("exception").isNull(), RECORD).otherwise(ERROR))
-        )
+        rows = self._parted(results, execution_id)
         fresh = rows_to_insert(
             rows, self._rows(execution_id), ["execution_name", "record_data", "exception"],
             [*schema.RECORD_KEY, "outcome"], unique)
@@ -103,6 +104,26 @@ class ResultTable:
             fresh = fresh.hint("rebalance", *self.PARTITIONS)
         fresh.write.mode("append").partitionBy(*self.PARTITIONS).parquet(self.path)
 
+    @staticmethod
+    def _parted(results: DataFrame, execution_id: str) -> DataFrame:
+        return (
+            results.where(F.col("execution_id") == execution_id)
+            .select(*schema.RESULT_COLUMNS)
+            # an empty partition name is read back as null: so it is compared as null
+            .withColumn("dataset_id", F.nullif("dataset_id", F.lit("")))
+            .withColumn("outcome", F.when(F.col("exception").isNull(), RECORD).otherwise(ERROR))
+        )
+
+    def insert_batch(self, results: DataFrame, execution_id: str, batch_id: int) -> None:
+        """Adds the step results of one micro-batch of a stream, whose state keeps keys apart.
+
+        Nothing that is stored is read. A batch written again replaces what it wrote.
+        """
+        rows = self._parted(results, execution_id).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        parts = ["execution_id", "batch_id", "dataset_id", "outcome"]
+        rows.hint("rebalance", *self.PARTITIONS).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(self.batches)
+
 
 class ProgressLog:
     """One small file per commit; the state of a task is a sum over its commits.
@@ -112,6 +133,7 @@ class ProgressLog:
 
     COLUMNS = T.StructType([
         T.StructField("written", T.LongType()),
+        T.StructField("repeated", T.LongType()),
         T.StructField("task_id", T.LongType()),
         T.StructField("commit_id", T.LongType()),
     ])
@@ -119,9 +141,10 @@ class ProgressLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _write(self, task_id: int, commit_id: int, written: int) -> None:
-        self.spark.range(1).select(F.lit(written).cast("bigint").alias("written")).coalesce(
-            1).write.mode("overwrite").parquet(
+    def _write(self, task_id: int, commit_id: int, written: int, repeated: int = 0) -> None:
+        self.spark.range(1).select(
+            F.lit(written).cast("bigint").alias("written"),
+            F.lit(repeated).cast("bigint").alias("repeated")).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/task_id={task_id}/commit_id={commit_id}")
 
     def _task(self, task_id: int) -> DataFrame:
@@ -146,9 +169,14 @@ class ProgressLog:
         self._write(task_id, 0, 0)
         return task_id
 
-    def add(self, task_id: int, commit_id: int, written: int) -> None:
-        """Adds a commit, numbered from 1."""
-        self._write(task_id, commit_id, written)
+    def add(self, task_id: int, commit_id: int, written: int, repeated: int = 0) -> None:
+        """Adds a commit, numbered from 1: rows stored, and rows left out because their key was there."""
+        self._write(task_id, commit_id, written, repeated)
+
+    def repeats(self) -> DataFrame:
+        """(task_id, repeated): how many rows of each task came again and were not stored."""
+        return _read_or_empty(self.spark, self.path, self.COLUMNS).groupBy("task_id").agg(
+            F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"))
 
     def set_written(self, task_id: int, total: int) -> None:
         """Adds the commit that brings the task to ``total`` rows."""
