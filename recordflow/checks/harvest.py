@@ -16,8 +16,10 @@ from recordflow.checks.fragments import (
 from recordflow.checks.registry import query
 from recordflow.functions import text
 from recordflow.operators import harvest, progress, project, publish, route
-from recordflow.plans import bindings
+from recordflow.plans import bindings, harvest_job
+from recordflow.plans.workflow import Workflow
 from recordflow.session import new_work_folder
+from recordflow.sinks.representations import Representations, Revisions
 from recordflow.sources import landed, messages
 
 CONTENT = """
@@ -137,6 +139,32 @@ def _(tables):
     return publish.add_revision(written(tables)).drop("revision_timestamp")
 
 
+@query("representations_written_twice", f"""
+SELECT cloud_id, new_representation_name AS representation_name, new_version AS version, any_value(record_id) AS content, count(DISTINCT record_id) AS n
+FROM ({WRITTEN}) WHERE new_version IS NOT NULL GROUP BY 1, 2, 3""")
+def _(tables):
+    """Two batches that overlap, the second one written again: each version is stored once."""
+    table = Representations(tables.spark, new_work_folder(tables.spark, "representations"))
+    items = written(tables).withColumn("file_content", F.encode("record_id", "UTF-8"))
+    for batch_id, rows in enumerate((items.where("task_id % 2 = 0"), items)):
+        table.write(rows, batch_id)
+    table.write(items, 1)
+    return table.state().select(
+        "cloud_id", "representation_name", "version", F.decode("file_content", "UTF-8").alias("content"), F.lit(1).cast("bigint").alias("n"))
+
+
+@query("revision_log", f"""
+SELECT CASE WHEN marked_as_deleted THEN record_id ELSE new_resource_url END AS resource, revision_provider_id AS provider_id,
+       revision_name AS name, marked_as_deleted AS deleted, task_id % 2 AS batch_id
+FROM ({WRITTEN}) WHERE exception IS NULL""")
+def _(tables):
+    log = Revisions(tables.spark, new_work_folder(tables.spark, "revisions"))
+    revised = publish.add_revision(written(tables))
+    for batch_id in (0, 1, 1):
+        log.write(revised.where(F.col("task_id") % 2 == batch_id), batch_id)
+    return log.rows().drop("timestamp")
+
+
 @query("notification_rows", f"""
 SELECT task_id, record_id AS resource, new_resource_url AS result_resource,
        coalesce(exception, '') AS info_text
@@ -289,3 +317,98 @@ def _(tables):
     return bindings.labelled(tables).select("doc_id", project.keep_deleted(
         F.col("toxic") == 1, F.col("text"), text.collapse_spaces(F.col("text")),
     ).alias("file_content"))
+
+
+@query("header_set", """
+SELECT printf('doc:%08d', doc_id) AS identifier, [lang, source || ':' || lang] AS sets
+FROM documents WHERE source = 'src3'""")
+def _(tables):
+    """Of pages that name two sets a header, those of a set, by the set above theirs."""
+    folder = new_work_folder(tables.spark, "header-pages")
+    tables.documents.select(
+        F.format_string("doc:%08d", "doc_id").alias("identifier"), F.lit("2024-01-02T03:04:05Z").alias("datestamp"),
+        F.array("lang", F.concat_ws(":", "source", "lang")).alias("setSpec")).write.xml(
+        folder, rowTag="header", rootTag="ListIdentifiers")
+    return landed.read_headers(tables.spark, folder, "src3").select("identifier", "sets")
+
+
+METADATA = """'<x:RDF xmlns:x="urn:x" a="1 &lt; 2">' || {0} || '<record><metadata>&#233; &amp;amp;</metadata></record><![CDATA[<' || lang || '>]]></x:RDF>'"""
+
+
+@query("landed_metadata_xml", f"""
+SELECT printf('doc:%08d', doc_id) AS identifier, doc_id % 7 = 0 AS deleted,
+       CASE WHEN doc_id % 7 > 0 THEN {METADATA.format("replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')")} END AS content
+FROM documents WHERE lang = 'de'""")
+def _(tables):
+    """Metadata comes out of the pages as it was written: entities, CDATA, namespaces, elements in
+    elements that are called like those of the page."""
+    folder = new_work_folder(tables.spark, "metadata-pages")
+    metadata = F.concat(*[F.expr(part) for part in METADATA.split(" || {0} || ")[:1]], text.xml_escape(F.col("text")),
+                        F.expr(METADATA.split(" || {0} || ")[1]))
+    record = F.concat(
+        F.lit("<record><header"), F.when(F.col("doc_id") % 7 == 0, " status='deleted'").otherwise(""), F.lit("><identifier>"),
+        F.format_string("doc:%08d", "doc_id"), F.lit("</identifier><datestamp>2024-01-02T03:04:05Z</datestamp><setSpec>"), F.col("lang"),
+        F.lit("</setSpec></header>"), F.when(F.col("doc_id") % 7 > 0, F.concat(F.lit("<metadata>\n "), metadata, F.lit("\n</metadata>"))).otherwise(""),
+        F.lit("<about>none</about></record>"))
+    # a page of ten records, as a provider would send it
+    pages = tables.documents.select(record.alias("record"), F.floor(F.col("doc_id") / 10).alias("page")).groupBy("page").agg(
+        F.concat(F.lit("<?xml version='1.0'?><OAI-PMH xmlns='urn:oai'><responseDate>now</responseDate><ListRecords>"),
+                 F.array_join(F.collect_list("record"), "\n"),
+                 F.lit("<resumptionToken>more</resumptionToken></ListRecords></OAI-PMH>")).alias("value"), F.first("page").alias("of"))
+    pages.select("value", "of").write.partitionBy("of").text(folder)
+    return landed.read_records(tables.spark, folder, "de").select("identifier", "deleted", "content")
+
+
+@query("harvest_collisions", f"""
+WITH named AS (
+  SELECT *, '/' || source || '/' || lang || '_' || (n_chars // 100) AS wanted, 'x' || doc_id AS external_id FROM ({LABELLED})),
+first AS (SELECT *, min(external_id) OVER (PARTITION BY source, wanted) = external_id AS mine FROM named)
+SELECT source AS dataset_id, CASE WHEN mine THEN wanted ELSE '/externalIdentifier/' || external_id END AS record_id,
+       CASE WHEN mine THEN text ELSE '' END AS record_data, CASE WHEN NOT mine THEN 'id is taken: ' || wanted END AS exception
+FROM first""")
+def _(tables):
+    """Records that come to one final id: the first gets it, the others are errors. None is lost."""
+    return harvest.assign_unique_ids(_to_assign(tables), F.col("source"), F.col("length_id"), "E0").select(
+        "dataset_id", "record_id", "record_data", "exception")
+
+
+class _Stopped(Exception):
+    pass
+
+
+@query("workflow_harvest_resume", f"""
+SELECT '/d/' || doc_id AS record_id, h.identifier, CASE WHEN lang = 'es' THEN 'no record for ' || h.identifier END AS exception,
+       (SELECT count(*) FROM documents) AS emitted_count, (SELECT max(identifier) FROM ({HEADERS})) AS last_identifier
+FROM ({HEADERS}) h JOIN documents ON h.identifier = printf('doc:%08d', doc_id) WHERE NOT deleted""")
+def _(tables):
+    """A listing that grows, harvested in three runs; the second one ends between its data and its state."""
+    workflow = Workflow(tables.spark, new_work_folder(tables.spark, "harvest"))
+    headers, content = bindings.headers(tables), bindings.document_content(tables)
+    local_id = F.regexp_extract("external_id", "doc:0*(\\d+)$", 1)
+    limits = tables.documents.agg(F.percentile_approx("doc_id", [0.33, 0.66])).first()[0]
+
+    def run(last_id, commit=None):
+        listed = headers if last_id is None else headers.where(
+            F.col("identifier") <= F.format_string("doc:%08d", F.lit(last_id)))
+        return harvest_job.harvest_dataset(workflow, listed, content, "d", local_id, "E0", commit=commit)
+
+    run(limits[0])
+    try:
+        run(limits[1], commit=_stop)
+    except _Stopped:
+        pass
+    run(None)
+    state = harvest_job.iteration_states(workflow).state().select(
+        F.col("execution_id").alias("of"), F.col("emitted_count").cast("bigint").alias("emitted_count"), "last_identifier")
+    none = F.lit(None).cast("string")
+    listed = headers.select("identifier", F.regexp_extract("identifier", "0*(\\d+)$", 1).alias("n"))
+    stored = bindings.union(
+        workflow.results.records("E0").select("execution_id", "record_id", none.alias("exception")),
+        workflow.results.errors("E0").select("execution_id", "record_id", "exception"))
+    by_id = stored.withColumn("n", F.regexp_extract("record_id", "0*(\\d+)$", 1)).join(listed, "n")
+    return by_id.join(state, F.col("execution_id") == F.col("of")).select(
+        F.concat(F.lit("/d/"), "n").alias("record_id"), "identifier", "exception", "emitted_count", "last_identifier")
+
+
+def _stop(*_):
+    raise _Stopped

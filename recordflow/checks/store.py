@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow import schema
 from recordflow.checks.fragments import DOCUMENT_RECORDS, HEADERS, LABELLED, TURN_RECORDS, VALIDATED
@@ -12,6 +13,7 @@ from recordflow.operators import progress, route
 from recordflow.plans import bindings
 from recordflow.session import new_work_folder
 from recordflow.sinks import first_wins, upsert
+from recordflow.sinks.bucketed import MergeTable
 from recordflow.sinks.tables import ChangeTable, ResultTable
 from recordflow.sources import chunks, landed, store
 
@@ -230,6 +232,53 @@ def _(tables):
                          nulls=upsert.IGNORE_NULLS)
 
 
+RESULT_ROW = T.StructType([
+    T.StructField("task_id", T.LongType()), T.StructField("resource", T.LongType()),
+    T.StructField("result_resource", T.LongType()), T.StructField("info_text", T.StringType())])
+
+
+def _result_rows(tables):
+    """Result rows in three writes, by event: each names one of the columns, or none."""
+    kind, event = F.col("event_type"), F.col("event_id")
+    return tables.events.select(
+        F.col("user_id").alias("task_id"), F.when(kind == "purchase", event).alias("resource"),
+        F.when(kind == "click", event).alias("result_resource"), F.when(kind == "error", F.col("props")).alias("info_text"),
+        "event_id", (event % 3).alias("turn"))
+
+
+def _merged(tables, nulls):
+    table = MergeTable(tables.spark, new_work_folder(tables.spark, "result-rows"), RESULT_ROW, ["task_id"])
+    rows = _result_rows(tables)
+    # one row a task and write: that of its last event; the last write comes again
+    for version in (0, 1, 2, 2):
+        latest = rows.where(F.col("turn") == version).groupBy("task_id").agg(
+            F.max_by(F.struct("resource", "result_resource", "info_text"), "event_id").alias("r"))
+        table.merge(latest.select("task_id", "r.*"), version, nulls)
+    return table.state()
+
+
+WRITES = """
+WITH one AS (SELECT user_id AS task_id, event_id % 3 AS turn, max(event_id) AS event_id FROM events GROUP BY 1, 2),
+row AS (SELECT one.*, CASE WHEN event_type = 'purchase' THEN event_id END AS resource,
+               CASE WHEN event_type = 'click' THEN event_id END AS result_resource,
+               CASE WHEN event_type = 'error' THEN props END AS info_text FROM one JOIN events USING (event_id))"""
+
+
+@query("merge_save_nulls", f"""{WRITES}
+SELECT task_id, arg_max_null(resource, turn) AS resource, arg_max_null(result_resource, turn) AS result_resource,
+       arg_max_null(info_text, turn) AS info_text FROM row GROUP BY 1""")
+def _(tables):
+    return _merged(tables, upsert.SAVE_NULLS)
+
+
+@query("merge_ignore_nulls", f"""{WRITES}
+SELECT task_id, arg_max(resource, turn) FILTER (resource IS NOT NULL) AS resource,
+       arg_max(result_resource, turn) FILTER (result_resource IS NOT NULL) AS result_resource,
+       arg_max(info_text, turn) FILTER (info_text IS NOT NULL) AS info_text FROM row GROUP BY 1""")
+def _(tables):
+    return _merged(tables, upsert.IGNORE_NULLS)
+
+
 @query("iteration_state", """
 SELECT source AS dataset_id, 'E0' AS execution_id, CAST(count(*) AS INTEGER) AS emitted_count,
        printf('doc:%08d', max(doc_id)) AS last_identifier

@@ -22,6 +22,7 @@ from recordflow.plans import bindings, message_job
 from recordflow.operators.project import step_result
 from recordflow.plans.steps import Step
 from recordflow.session import new_work_folder
+from recordflow.sinks.representations import Representations, Revisions
 from recordflow.sinks.tables import ProgressLog, ResultTable
 from recordflow.sources.messages import decode_messages
 from recordflow.functions.prefix import positions
@@ -265,3 +266,26 @@ def _(tables):
         state.agg(F.count("*").alias("n")).select(F.lit("batches").alias("what"), "n"),
         state.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).select(F.lit("rows").alias("what"), "n"),
         state.agg(F.count_if(F.col("rows") > F.col("most")).alias("n")).select(F.lit("batches over the limit").alias("what"), "n"))
+
+
+@query("stream_representations", f"""
+SELECT regexp_extract(resource, '/records/([^/?#]+)', 1) AS cloud_id, result_resource AS url, file_content
+FROM ({MESSAGE_RESULT}) WHERE result_resource IS NOT NULL
+UNION ALL SELECT 'deleted ' || marked_as_deleted, revision_resource, NULL FROM ({MESSAGE_RESULT}) WHERE revision_resource IS NOT NULL""")
+def _(tables):
+    """The job's representations and revisions as tables, after a stream in three parts."""
+    work = new_work_folder(tables.spark, "stream-representations")
+    raw = bindings.raw_messages(tables).select("event_id", "value")
+    inputs = _message_inputs(tables, decode_messages(raw))
+    counters = notifications.counter_state(tables.spark, f"{work}/counters")
+    files, revisions = Representations(tables.spark, work), Revisions(tables.spark, work)
+    run_in_parts(raw, "event_id", f"{work}/landed", lambda rows: message_job.start_messages(
+        decode_messages(rows, "event_id"), inputs, ["event_id"], counters, f"{work}/notifications",
+        f"{work}/checkpoint", rows_per_range=RANGE, representations=files, revisions=revisions))
+    url = F.concat(F.lit("http://repository.test/records/"), "cloud_id", F.lit("/representations/"), "representation_name",
+                   F.lit("/versions/"), "version")
+    return bindings.union(
+        files.state().select("cloud_id", url.alias("url"), F.hex("file_content").alias("file_content")),
+        revisions.rows().select(
+            F.concat(F.lit("deleted "), F.col("deleted").cast("string")).alias("cloud_id"), F.col("resource").alias("url"),
+            F.lit(None).cast("string").alias("file_content")))

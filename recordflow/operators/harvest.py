@@ -60,6 +60,35 @@ def assign_id(harvested: DataFrame, dataset_id: Column, local_id: Column, execut
     )
 
 
+def assign_unique_ids(harvested: DataFrame, dataset_id: Column, local_id: Column, execution_id: str,
+                      execution_name: str = schema.HARVEST) -> DataFrame:
+    """:func:`assign_id` with each final id given once: of several records that come to one id, the one
+    with the least external id gets it, the others become errors under their external ids.
+
+    A record that is listed twice is no collision. As many rows come out as went in. Only ids that
+    several records share travel to the rows.
+    """
+    named = harvested.withColumn("_assigned", final_id(dataset_id, local_id)).withColumn("_dataset", dataset_id)
+    shared = named.where(F.col("exception").isNull() & F.col("_assigned").isNotNull()).groupBy(
+        F.col("_dataset").alias("_d"), F.col("_assigned").alias("_id")).agg(
+        F.min("external_id").alias("_first"), F.max("external_id").alias("_last")).where("_first <> _last")
+    met = named.join(
+        shared, F.col("_dataset").eqNullSafe(F.col("_d")) & F.col("_assigned").eqNullSafe(F.col("_id")), "left")
+    lost = F.col("exception").isNull() & F.col("_first").isNotNull() & ~F.col("external_id").eqNullSafe(F.col("_first"))
+    failure = F.coalesce(
+        F.col("exception"), F.when(F.col("_assigned").isNull(), F.lit("record has no local id")),
+        F.when(lost, F.concat(F.lit("id is taken: "), F.col("_assigned"))))
+    return met.select(
+        F.col("_dataset").alias("dataset_id"),
+        F.lit(execution_id).alias("execution_id"),
+        F.lit(execution_name).alias("execution_name"),
+        F.when(F.col("exception").isNotNull(), error_identity(F.col("external_id"))).otherwise(error_identity(
+            F.col("external_id"), F.when(~lost, F.col("_assigned")), harvested=True)).alias("record_id"),
+        F.when(failure.isNull(), F.col("content")).otherwise(F.lit("")).alias("record_data"),
+        failure.alias("exception"),
+    )
+
+
 def id_collisions(assigned: DataFrame) -> DataFrame:
     """Final ids that several records of one execution ended up with."""
     return (

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from recordflow.functions import text
 from recordflow.operators import harvest, normalize, project, publish
 from recordflow.operators.progress import counter_flags
+from recordflow.sinks.representations import Representations, Revisions
 from recordflow.sinks.tables import ChangeTable
 from recordflow.streaming.notifications import start_notifications
 
@@ -50,7 +51,8 @@ def process(messages: DataFrame, inputs: Inputs, *keep: str) -> DataFrame:
             deleted, F.col("file_content"), text.utf8_bytes(cleaned)),
     })
     written = publish.write_representation(normalized, inputs.base_url)
-    revised = publish.add_revision(written, *keep, "file_content", "output_mime_type")
+    revised = publish.add_revision(
+        written, *keep, "file_content", "output_mime_type", "cloud_id", "new_representation_name", "new_version")
     return revised.withColumns({
         "file_content": F.when(F.col("result_resource").isNotNull(), F.col("file_content")),
         "job_name": F.lit(JOB_NAME),
@@ -64,13 +66,22 @@ def message_flags() -> dict:
 def start_messages(messages: DataFrame, inputs: Inputs, order: list[str],
                    counters: ChangeTable, folder: str, checkpoint: str,
                    interval: str | None = None, rows_per_range: int | None = None,
+                   representations: Representations | None = None, revisions: Revisions | None = None,
                    ) -> StreamingQuery:
     """Runs the job over a stream; ``order`` columns tell the messages of a batch apart.
 
     Results with their numbers go to ``folder``, one sub-folder per micro-batch. Messages are
     processed once for their results and once, without content, for the counters' state.
+    ``representations`` and ``revisions`` take up what a batch made, before its notifications.
     """
     limits = {} if rows_per_range is None else {"rows_per_range": rows_per_range}
+
+    def store(rows: DataFrame, batch_id: int) -> None:
+        if representations is not None:
+            representations.write(rows.where("result_resource is not null"), batch_id)
+        if revisions is not None:
+            revisions.write(rows, batch_id)
+
     return start_notifications(
         process(messages, inputs, *order), message_flags(), order, counters, folder, checkpoint,
-        interval, name=JOB_NAME, **limits)
+        interval, name=JOB_NAME, first=store, **limits)

@@ -27,10 +27,10 @@ class Step:
 
 def harvest_step(headers: DataFrame, content: DataFrame, dataset_id: Column,
                  local_id: Column) -> Step:
-    """Listing → live headers → content → final id. Has no source records."""
+    """Listing → live headers → content → final id, each id once. Has no source records."""
     def run(_: DataFrame | None, execution_id: str) -> DataFrame:
         fetched = harvest.harvest_content(harvest.not_deleted(headers), content)
-        return harvest.assign_id(fetched, dataset_id, local_id, execution_id)
+        return harvest.assign_unique_ids(fetched, dataset_id, local_id, execution_id)
 
     return Step(schema.HARVEST, run, shuffles=True)
 

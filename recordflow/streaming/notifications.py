@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,17 +76,19 @@ def start_notifications(rows: DataFrame, flags: dict[str, Column], order: Sequen
                         counters: ChangeTable, folder: str, checkpoint: str,
                         interval: str | None = None,
                         rows_per_range: int = ROWS_PER_RANGE,
-                        name: str = "notifications") -> StreamingQuery:
+                        name: str = "notifications",
+                        first: Callable[[DataFrame, int], None] = lambda rows, batch_id: None) -> StreamingQuery:
     """Numbers the rows of a stream within their tasks and writes them with the counters.
 
     What a task had before a batch is its state less the batch's own sums, so nothing written
     earlier is read or listed, and a batch run again starts from the same state. ``counters`` is
-    written for readers only.
+    written for readers only. ``first`` sees each batch's rows before they are written here.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # the state is asked once, however often the batch is read
         try:
             own = batch.where("not is_total").select(*rows.columns)
+            first(own, batch_id)
             after = batch.where("is_total").select(
                 "task_id", *[F.col(f"total_{n}").alias(n) for n in COUNTERS])
             sums = counter_totals(own, flags).drop("processed")
