@@ -46,7 +46,7 @@ TASK_INFO = _row(("task_id", _L), ("commit_count", _L), ("write_count", _L))
 ITERATION_STATE = _row(
     ("dataset_id", _S), ("execution_id", _S), ("emitted_count", _I), ("last_identifier", _S),
 )
-HEADER = _row(("identifier", _S), ("deleted", _B), ("datestamp", _TS))
+HEADER = _row(("identifier", _S), ("deleted", _B), ("datestamp", _TS), ("sets", T.ArrayType(_S)))
 HARVESTED = _row(("external_id", _S), ("timestamp", _TS), ("content", T.BinaryType()))
 NOTIFICATION = _row(
     ("task_id", _L), ("resource", _S), ("result_resource", _S), ("info_text", _S),

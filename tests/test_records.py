@@ -308,3 +308,49 @@ def test_bad_bytes_and_ids_stop_nothing(spark):
     stored = spark.createDataFrame([(d, "e", f"r{i}") for d in "ab" for i in range(6)], "dataset_id string, execution_id string, record_id string")
     plan = chunk_plan(stored.where("dataset_id = 'a'"), 2).where("chunk_id = 1")
     assert rows(read_chunks(stored, plan), "dataset_id", "record_id") == [("a", "r2"), ("a", "r3")]
+
+
+def test_a_page_that_is_no_listing_fails_the_harvest(spark, folder):
+    from pathlib import Path
+
+    from recordflow.sources import landed
+    good = '<ListRecords><record><header status = "deleted"><identifier>a&amp;b&#33;</identifier><setSpec>s:t</setSpec></header></record><error/></ListRecords>'
+    Path(folder, "1.xml").write_text(good)
+    Path(folder, "2.xml").write_text('<OAI-PMH><error code="noRecordsMatch">none</error></OAI-PMH>')
+    got = landed.read_records(spark, folder, "s").collect()
+    assert [(r.identifier, r.deleted, r.datestamp, r.sets, r.content) for r in got] == [("a&b!", True, None, ["s:t"], None)]
+    assert landed.read_records(spark, folder, "t").count() == 0
+    Path(folder, "3.xml").write_text("<html><p>gateway time-out</html>")
+    with pytest.raises(Exception, match="page is no listing"):
+        landed.read_records(spark, folder).collect()
+
+
+def test_harvests_go_on_after_the_last_header(spark, folder):
+    from recordflow.plans import harvest_job
+    from recordflow.plans.workflow import Workflow
+    workflow = Workflow(spark, folder)
+    content = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "identifier string, content string")
+    headers = "identifier string, deleted boolean, datestamp timestamp"
+    listing = [("a", False, None), ("b", True, None), ("c", False, None), ("d", False, None)]
+
+    def run(n):
+        listed = spark.createDataFrame(listing[:n], headers)
+        harvest_job.harvest_dataset(workflow, listed, content, "d", F.col("external_id"), "E0", order=["identifier"])
+        return harvest_job.last_state(harvest_job.iteration_states(workflow), "d", "E0")
+
+    assert run(0) == (0, None) and run(2) == (2, "b") and run(2) == (2, "b") and run(4) == (4, "d")
+    assert rows(workflow.results.records("E0"), "record_id", "record_data") == [("/d/a", "A"), ("/d/c", "C")]
+    assert rows(workflow.results.errors("E0"), "record_id") == [("/oaiIdentifier/d",)]
+    lost = spark.createDataFrame(listing[:1], headers)
+    with pytest.raises(Exception, match="last identifier not in the listing"):
+        harvest_job.harvest_dataset(workflow, lost, content, "d", F.col("external_id"), "E0", order=["identifier"])
+
+
+def test_no_record_is_lost_to_another_of_its_id(spark):
+    from recordflow.operators import harvest
+    data = [("x2", "1", "two", None), ("x1", "1", "one", None), ("x1", "1", "one", None), ("x3", " ", "three", None), ("x4", "1", "", "failed"), (None, "2", "nobody", None)]
+    frame = spark.createDataFrame(data, "external_id string, local string, content string, exception string")
+    got = harvest.assign_unique_ids(frame, F.lit("d"), F.col("local"), "E0")
+    assert sorted((r.record_id, r.record_data, r.exception or "") for r in got.collect()) == sorted([
+        ("/externalIdentifier/x2", "", "id is taken: /d/1"), ("/d/1", "one", ""), ("/d/1", "one", ""),
+        ("/externalIdentifier/x3", "", "record has no local id"), ("/oaiIdentifier/x4", "", "failed"), ("/d/2", "nobody", "")])

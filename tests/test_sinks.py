@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from recordflow import schema
 from recordflow.sinks import upsert
+from recordflow.sinks.bucketed import AppendTable, MergeTable
 from recordflow.sinks.first_wins import insert_counts, rows_to_insert
 from recordflow.sinks.tables import ChangeTable, ResultTable
 from recordflow.sources.chunks import headers_after, resume_pending
@@ -125,3 +128,46 @@ def test_blank_datasets_are_stored_once(spark, folder):
         table.insert(results, "e")
     assert rows(table.records("e"), "dataset_id", "record_id") == [("d", "r1"), (None, "r1"), (None, "r2")]
     assert rows(table.errors("e"), "record_id", "exception") == [("r3", "bad")]
+
+
+VALUES = "key string, a int, b string"
+
+
+def test_a_merge_rewrites_the_buckets_it_touches(spark, folder):
+    table = MergeTable(spark, folder, spark.createDataFrame([], VALUES).schema, ["key"], buckets=8)
+    table.merge(spark.createDataFrame([(str(i), i, "old") for i in range(100)] + [(None, 0, "none")], VALUES), 0)
+    change = spark.createDataFrame([("7", None, "new"), (None, 1, None), ("x", 5, "first"), ("x", 6, "second")], VALUES)
+    touched = {r[0] for r in change.select(table._bucket().alias("b")).distinct().collect()}
+    for _ in range(2):  # a version written again starts from what was there before it
+        table.merge(change, 1)
+        assert {p.name for p in Path(folder, "version=1").glob("bucket=*")} == {f"bucket={b}" for b in touched}
+        state = {r.key: (r.a, r.b) for r in table.state().collect()}
+        assert len(state) == 102 and state["7"] == (None, "new") and state[None] == (1, None) and state["x"] == (5, "first")
+        assert state["8"] == (8, "old")
+    table.merge(change, 2, upsert.IGNORE_NULLS)
+    assert {r.key: (r.a, r.b) for r in table.state().collect()}[None] == (1, None)
+    table.merge(spark.createDataFrame([("7", 70, None), (None, None, "late")], VALUES), 3, upsert.IGNORE_NULLS)
+    state = {r.key: (r.a, r.b) for r in table.state().collect()}
+    assert state["7"] == (70, "new") and state[None] == (1, "late")
+    assert table.state(before=1).count() == 101
+    table.merge(change.where("false"), 4)
+    assert table.state().count() == 102
+
+
+def test_a_merge_reads_only_its_buckets(spark, folder):
+    table = MergeTable(spark, folder, spark.createDataFrame([], VALUES).schema, ["key"], buckets=8)
+    table.merge(spark.createDataFrame([(str(i), i, "old") for i in range(100)], VALUES), 0)
+    plan = table.state(1, [3])._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    read = {f.split("bucket=")[1].split("/")[0] for f in table.state(1, [3]).inputFiles()}
+    assert len({r.key for r in table.state(1, [3]).collect()}) < 100 and "3" in read
+
+
+def test_first_rows_stay_and_are_never_written_again(spark, folder):
+    table = AppendTable(spark, folder, spark.createDataFrame([], VALUES).schema, ["key"], buckets=4)
+    table.insert(spark.createDataFrame([("1", 1, "a"), ("1", 2, "b"), (None, 3, "c")], VALUES), 0)
+    files = {p: p.stat().st_mtime_ns for p in Path(folder).rglob("*.parquet")}
+    for _ in range(2):
+        table.insert(spark.createDataFrame([("1", 9, "z"), (None, 9, "z"), ("2", 4, "d")], VALUES), 1)
+    assert set(rows(table.state())) == {("1", 1, "a"), ("2", 4, "d"), (None, 3, "c")}
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
