@@ -116,3 +116,36 @@ def _(tables):
         F.lit("d").alias("dataset_id"), F.col("doc_id").cast("string").alias("record_id"),
         F.concat(F.lit("<record>"), some, F.lit("<title> "), F.col("doc_id").cast("string"), F.lit(" </title></record>")).alias("record_data"))
     return steps.normalization().run(records, "E1").select("record_id", "record_data", "exception")
+
+
+# A free-text date of every document, in a form by its id, and the range of years it stands for.
+DATE_FORMS = """
+SELECT doc_id, CASE doc_id % 14
+  WHEN 0 THEN y :: varchar WHEN 1 THEN 'ca. ' || y WHEN 2 THEN '[' || y || '?]' WHEN 3 THEN y || '-' || (y + 5) WHEN 4 THEN 'between ' || y || ' and ' || (y + 7)
+  WHEN 5 THEN '12.05.' || y WHEN 6 THEN y || '-05-12' WHEN 7 THEN (y // 10) || '0s' WHEN 8 THEN (c + 1) || 'th  century' WHEN 9 THEN 'second half of the ' || (c + 1) || 'th century'
+  WHEN 10 THEN 'before ' || y WHEN 11 THEN 'after ' || y WHEN 12 THEN c || '..' ELSE 'room ' || y || ' of ' || lang END AS written,
+ CASE doc_id % 14
+  WHEN 0 THEN y :: varchar WHEN 1 THEN y || '~' WHEN 2 THEN y || '~' WHEN 3 THEN y || '/' || (y + 5) WHEN 4 THEN y || '/' || (y + 7)
+  WHEN 5 THEN y :: varchar WHEN 6 THEN y :: varchar WHEN 7 THEN (y // 10) || '0/' || (y // 10) || '9' WHEN 8 THEN c || '01/' || (c + 1) || '00' WHEN 9 THEN c || '51/' || (c + 1) || '00'
+  WHEN 10 THEN '../' || y WHEN 11 THEN y || '/..' WHEN 12 THEN c || '00/' || c || '99' ELSE 'room ' || y || ' of ' || lang END AS range
+FROM (SELECT doc_id, lang, 1100 + doc_id % 850 AS y, (1100 + doc_id % 850) // 100 AS c FROM documents)"""
+
+
+@query("normalize_date_ranges", f"""
+SELECT doc_id :: varchar AS record_id, '<record><date>' || range || '</date><language>xx</language><issued when="1">' || range || '</issued></record>' AS record_data
+FROM ({DATE_FORMS})""")
+def _(tables):
+    """Dates become ranges in the normalization step, by a table of codes and names of its own."""
+    y, c, form = "1100 + doc_id % 850", "(1100 + doc_id % 850) div 100", F.col("doc_id") % 14
+    texts = [
+        f"string({y})", f"'ca. ' || ({y})", f"'[' || ({y}) || '?]'", f"({y}) || '-' || ({y} + 5)", f"'between ' || ({y}) || ' and ' || ({y} + 7)",
+        f"'12.05.' || ({y})", f"({y}) || '-05-12'", f"(({y}) div 10) || '0s'", f"({c} + 1) || 'th  century'", f"'second half of the ' || ({c} + 1) || 'th century'",
+        f"'before ' || ({y})", f"'after ' || ({y})", f"({c}) || '..'"]
+    written = F.expr(f"'room ' || ({y}) || ' of ' || lang")
+    for i, value in enumerate(texts):
+        written = F.when(form == i, F.expr(value)).otherwise(written)
+    records = tables.documents.select(
+        F.lit("d").alias("dataset_id"), F.col("doc_id").cast("string").alias("record_id"), F.concat(
+            F.lit("<record><date> "), written, F.lit(" </date><language>unknown</language><issued when=\"1\">"), written,
+            F.lit("</issued></record>")).alias("record_data"))
+    return steps.normalization(languages={"unknown": "xx"}).run(records, "E1").select("record_id", "record_data")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -61,9 +61,9 @@ def year_of(value: Column) -> Column:
     return F.nullif(F.regexp_extract(value, YEAR, 1), F.lit("")).cast("int")
 
 
-def language_code(value: Column) -> Column:
-    """Two-letter code for a two- or three-letter one; unknown codes stay."""
-    pairs = [F.lit(part) for pair in LANGUAGE_CODES.items() for part in pair]
+def language_code(value: Column, codes: Mapping[str, str] | None = None) -> Column:
+    """Two-letter code for a two- or three-letter one; unknown codes stay. ``codes`` is another table."""
+    pairs = [F.lit(part) for pair in (codes or LANGUAGE_CODES).items() for part in pair]
     code = F.lower(F.trim(value))
     return F.coalesce(F.try_element_at(F.create_map(*pairs), code), code)
 

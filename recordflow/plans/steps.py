@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordflow import schema
-from recordflow.functions import elements, text
+from recordflow.functions import dates, elements, text
 from recordflow.operators import enrich, harvest, index, media, normalize, transform, validate
 from recordflow.operators.project import step_result
 from recordflow.params import PREVIEW, PUBLISH
@@ -82,12 +82,20 @@ def internal_validation(rules: Mapping[str, Column], ranks: Mapping[str, int] |
     return Step(schema.VALIDATION_INTERNAL, run)
 
 
-def normalized_parts() -> Column:
-    """Text values cleaned in place; elements left without content and repeated links dropped."""
+#: Elements whose text is a date.
+DATES = ("date", "created", "issued", "temporal")
+
+
+def normalized_parts(languages: Mapping[str, str] | None = None, date_names: Sequence[str] = DATES) -> Column:
+    """Text values cleaned in place; elements left without content and repeated links dropped.
+
+    A date that can be read becomes its range of years; others stay as text.
+    """
     def clean(part: Column) -> Column:
         name, value = part["name"], part["inner"]
         plain = ~F.contains(value, F.lit("<"))  # elements inside and CDATA stay as they are
-        cleaned = F.when(plain & (name == "language"), text.language_code(value)).when(
+        cleaned = F.when(plain & (name == "language"), text.language_code(value, languages)).when(
+            plain & name.isin(*date_names), _date(value)).when(
             plain & name.isin("title", "description", "link"), text.collapse_spaces(value)).otherwise(value)
         return part.withField("inner", cleaned)
 
@@ -98,6 +106,12 @@ def normalized_parts() -> Column:
     return elements.let(cleaned, lambda parts: _first_of_equal(parts, "link"))
 
 
+def _date(value: Column) -> Column:
+    return F.coalesce(
+        elements.let(dates.year_range(value), lambda years: F.when(years.isNotNull(), dates.written_range(years))),
+        text.collapse_spaces(value))
+
+
 def _first_of_equal(parts: Column, name: str) -> Column:
     """The parts without repeats among the elements of one name."""
     def firsts(same: Column) -> Column:
@@ -111,10 +125,13 @@ def _first_of_equal(parts: Column, name: str) -> Column:
     return F.array_sort(F.concat(others, kept))  # by place
 
 
-def normalization() -> Step:
+def normalization(languages: Mapping[str, str] | None = None, date_names: Sequence[str] = DATES) -> Step:
+    """``languages`` maps codes to codes (:data:`.text.LANGUAGE_CODES` by default), ``date_names`` are
+    the elements that hold dates."""
     def run(records: DataFrame, execution_id: str) -> DataFrame:
+        parts = normalized_parts(languages, date_names)
         return step_result(record_xml.with_parsed(records), execution_id, schema.NORMALIZATION,
-                           record_xml.rebuilt(normalized_parts()), record_xml.malformed())
+                           record_xml.rebuilt(parts), record_xml.malformed())
 
     return Step(schema.NORMALIZATION, run)
 
