@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,23 +19,24 @@ def scan_execution(records: DataFrame, execution_id: str,
     return rows.select(*schema.RECORD_COLUMNS)
 
 
-def read_database_records(spark: SparkSession, url: str, table: str, dataset_id: str,
-                          execution_id: str, id_ranges: list[tuple[str, str]],
-                          **options: str) -> DataFrame:
-    """Records of one execution from a relational store, one task per range of record ids.
+def range_predicates(dataset_id: str, execution_id: str, id_ranges: Sequence[tuple[str, str]]) -> list[str]:
+    """SQL conditions, one per range of record ids of one execution.
 
-    Ranges take in their first id and leave out their last. The driver's jar must be on
-    the class path.
+    A range takes in its first and its last id, as a chunk of :func:`.chunks.chunk_plan` does.
     """
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    execution = (f"dataset_id = {quoted(dataset_id)} "
-                 f"and execution_id = {quoted(execution_id)}")
-    predicates = [
-        f"{execution} and record_id >= {quoted(first)} and record_id < {quoted(last)}"
-        for first, last in id_ranges
-    ]
+    execution = f"dataset_id = {quoted(dataset_id)} and execution_id = {quoted(execution_id)}"
+    return [f"{execution} and record_id >= {quoted(first)} and record_id <= {quoted(last)}" for first, last in id_ranges]
+
+
+def read_database_records(spark: SparkSession, url: str, table: str, dataset_id: str,
+                          execution_id: str, id_ranges: Sequence[tuple[str, str]],
+                          **options: str) -> DataFrame:
+    """Records of one execution from a relational store, one task per range of record ids
+    (:func:`range_predicates`). The driver's jar must be on the class path."""
+    predicates = range_predicates(dataset_id, execution_id, id_ranges)
     return spark.read.jdbc(url, table, predicates=predicates, properties=options).select(
         *schema.RECORD_COLUMNS)
 

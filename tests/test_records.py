@@ -354,3 +354,21 @@ def test_no_record_is_lost_to_another_of_its_id(spark):
     assert sorted((r.record_id, r.record_data, r.exception or "") for r in got.collect()) == sorted([
         ("/externalIdentifier/x2", "", "id is taken: /d/1"), ("/d/1", "one", ""), ("/d/1", "one", ""),
         ("/externalIdentifier/x3", "", "record has no local id"), ("/oaiIdentifier/x4", "", "failed"), ("/d/2", "nobody", "")])
+
+
+def test_ranges_of_a_chunk_plan_read_each_record_once(spark):
+    """The conditions a database would be asked with, on the chunks of a plan; ids with quotes too."""
+    import duckdb
+
+    from recordflow.sources import chunks
+    ids = [f"r{i}" for i in range(25)] + ["it's", "''"]
+    data = [("d", "e", "S", i, "x") for i in ids] + [("d'", "e", "S", "r1", "other"), ("d", "f", "S", "r1", "other")]
+    records = spark.createDataFrame(data, schema.EXECUTION_RECORD)
+    plan = chunks.chunk_plan(records, 4).where("dataset_id = 'd' and execution_id = 'e'").orderBy("chunk_id").collect()
+    conditions = store.range_predicates("d", "e", [(r.first_id, r.last_id) for r in plan])
+    database = duckdb.connect()
+    database.execute("create table records (dataset_id varchar, execution_id varchar, execution_name varchar, record_id varchar, record_data varchar)")
+    database.executemany("insert into records values (?, ?, ?, ?, ?)", data)
+    read = [r[0] for c in conditions for r in database.execute(f"select record_id from records where {c}").fetchall()]
+    assert len(plan) == 7 and sorted(read) == sorted(ids)
+    assert store.range_predicates("d'", "e", [("a", "b")])[0].startswith("dataset_id = 'd''' and")
