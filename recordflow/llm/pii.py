@@ -9,7 +9,8 @@ domains and networks.
 
 Surrogates are keyed: SHA-256 of key, type, plain form and round. The plain form (lower case,
 letters and digits only where separators are free) is the same for all spellings of one entity, so they get one surrogate
-in each spelling's format, in all documents. A collision check keeps entities apart: of
+in each spelling's format, in all documents. Names are entities part by part: a surname has one
+surrogate after any title, a first name one for its gender. A collision check keeps entities apart: of
 entities with one surrogate the first keeps it, nobody gets a surrogate that is itself found in
 the texts, and the others try again with the next round's hash until all have one. Where the
 format has no room for all, surrogates grow: local parts from the second round on, digits and
@@ -101,14 +102,31 @@ def _plain(kind: Column, find: Column) -> Column:
     # the country code of a number is part of it as written, and not drawn anew
     number = F.regexp_replace(find, r"[^\p{N}+]", "")
     number = F.regexp_replace(number, rf"^\+({CODES}|\d{{3}})(?=\d)", "+$1:")
-    # the gender and script of a name are part of it, so that its surrogate's can follow
     return F.when(kind == "person", F.concat(_gender(find), F.lit(":"), name)).when(kind == "phone", number).when(
         kind.isin("email", "secret") | ((kind == "ip") & find.contains(".")), F.lower(find)).otherwise(F.lower(F.regexp_replace(find, r"[^\p{L}\p{N}]", "")))
 
 
 def _written(kind: Column, plain: Column) -> Column:
-    """What of a plain form the texts show, title aside: a name without its gender."""
-    return F.when(kind == "person", F.substring_index(plain, ":", -1)).otherwise(plain)
+    """What of a plain form the texts show: a first name without its gender."""
+    return F.when(kind == "given", F.substring_index(plain, ":", -1)).otherwise(plain)
+
+
+def _name_parts(known: DataFrame) -> DataFrame:
+    """``find, place, kind, plain`` of the names of persons: the last is a surname, which is the same
+    after any title, those before it are first names with the gender that a title gives them. After a
+    title for any gender, a first name has the gender that it has elsewhere, if that is one."""
+    name, gender = F.substring_index("plain", ":", -1), F.substring_index("plain", ":", 1)
+    parts = known.where("kind = 'person'").select(
+        "find", gender.alias("gender"), F.split(name, " ").alias("names")).select(
+        "find", "gender", F.size("names").alias("n"), F.posexplode("names").alias("place", "name"))
+    told = parts.where("place < n - 1 and gender <> 'any'").groupBy(F.col("name").alias("told_name")).agg(
+        F.min("gender").alias("told"), F.max("gender").alias("other")).where("told = other").drop("other")
+    met = parts.join(told, F.col("name") == F.col("told_name"), "left")
+    known_gender = F.coalesce(F.when(F.col("gender") != "any", F.col("gender")), "told", F.lit("any"))
+    surname = F.col("place") == F.col("n") - 1
+    return met.select(
+        "find", "place", F.when(surname, "surname").otherwise("given").alias("kind"),
+        F.when(surname, F.col("name")).otherwise(F.concat_ws(":", known_gender, "name")).alias("plain"))
 
 
 def _letters(text: Column) -> Column:
@@ -211,21 +229,22 @@ def _formed(kind: Column, plain: Column, stream: Column, turn: int) -> Column:
     check = F.pmod(_luhn(plain) - _luhn(F.concat(off, F.lit("0"))), F.lit(10))
     card = F.concat(off, check.cast("string"))
     gender = F.substring_index(plain, ":", 1)
-    parts = F.size(F.split(plain, " "))
-    person = F.lit(None).cast("string")
+    given = surname = F.lit(None).cast("string")
     for script in ("latin", "cyrillic"):
         def first(g: str, names=FIRST[script]) -> Column:
             return _pick(names[g], _digits_of(stream, F.lit(1), len(names[g])))
 
-        given = F.when(gender == "male", first("male")).when(gender == "female", first("female")).otherwise(
+        def syllables(begin: int, end: int, some=SYLLABLES[script]) -> Column:
+            return F.concat(F.lit(""), *[_pick(some, _digits_of(stream, F.lit(i), len(some))) for i in range(begin, end)])
+
+        mine = plain.rlike(r"\p{IsCyrillic}") == F.lit(script == "cyrillic")
+        drawn = F.when(gender == "male", first("male")).when(gender == "female", first("female")).otherwise(
             F.when(_digits_of(stream, F.lit(0), 2) == 0, first("male")).otherwise(first("female")))
-        last = F.initcap(F.concat(*[_pick(SYLLABLES[script], _digits_of(stream, F.lit(i), len(SYLLABLES[script])))
-                                    for i in range(2, 6 + min(turn, 8))]))
-        name = F.when(parts > 1, F.concat_ws(" ", given, last)).otherwise(last)
-        person = F.when(plain.rlike(r"\p{IsCyrillic}") == F.lit(script == "cyrillic"), F.concat_ws(":", gender, F.lower(name))).otherwise(person)
+        given = F.when(mine, F.concat_ws(":", gender, F.lower(F.concat(drawn, syllables(2, 2 + min(turn, 12)))))).otherwise(given)
+        surname = F.when(mine, syllables(2, 6 + min(turn, 8))).otherwise(surname)
     account = _account(plain, stream, more)
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", account).when(
-        kind == "person", person).when(kind == "phone", F.concat(code, phone, more)).otherwise(digits)
+        kind == "given", given).when(kind == "surname", surname).when(kind == "phone", F.concat(code, phone, more)).otherwise(digits)
 
 
 def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
@@ -234,7 +253,7 @@ def _spelt(kind: Column, find: Column, surrogate: Column) -> Column:
     email = F.when(upper, F.upper(surrogate)).otherwise(surrogate)
     title = F.regexp_extract(find, rf"^((?iu:{_TITLES})\.? )", 1)
     bare = F.regexp_replace(find, rf"^(?iu:{_TITLES})\.? ", "")
-    name = F.initcap(F.substring_index(surrogate, ":", -1))
+    name = F.initcap(surrogate)
     person = F.concat(title, F.when(F.upper(bare) == bare, F.upper(name)).otherwise(name))
     ip = F.when(find.contains("."), surrogate)
     # secrets are spelt in one way; of the others, which are short, separators are passed over
@@ -262,7 +281,8 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
     """``find, kind, surrogate`` for a frame with the distinct column ``find``."""
     known = finds.withColumn("kind", kind_of(F.col("find"))).withColumn("plain", _plain(F.col("kind"), F.col("find")))
     known = cut(known)
-    left = known.select("kind", "plain").distinct()
+    names = cut(_name_parts(known))
+    left = known.where("kind <> 'person'").select("kind", "plain").union(names.select("kind", "plain")).distinct()
     # surrogates are compared as the texts will show them, with one another and with what is there
     taken = left.select("kind", _written(F.col("kind"), F.col("plain")).alias("shown")).distinct()
     done: list[DataFrame] = []
@@ -278,8 +298,13 @@ def surrogates(finds: DataFrame, key: str = KEY) -> DataFrame:
         left = cut(left.join(won, ["kind", "plain"], "left_anti"))
         if left.isEmpty():
             break
-    new = reduce(DataFrame.union, done).drop("shown")
-    return known.join(new, ["kind", "plain"]).select(
+    new = reduce(DataFrame.union, done)
+    # a find has as many names as the pattern lets it have
+    persons = names.join(new, ["kind", "plain"]).groupBy("find").agg(
+        F.array_sort(F.collect_list(F.struct("place", "shown"))).alias("names")).select(
+        "find", F.lit("person").alias("kind"), F.array_join(F.col("names.shown"), " ").alias("new"))
+    others = known.where("kind <> 'person'").join(new, ["kind", "plain"]).select("find", "kind", "new")
+    return others.union(persons).select(
         "find", "kind", _spelt(F.col("kind"), F.col("find"), F.col("new")).alias("surrogate"))
 
 
