@@ -137,7 +137,7 @@ class Workflow:
         table = self.serving(target)
         good = self.results.records(execution_id).select("record_id", "dataset_id", "record_data")
         dated = index.with_timestamps(
-            good, table.state(before=version), record_date, preserve_timestamps)
+            good, table.state(before=version, columns=["updated"]), record_date, preserve_timestamps)
         refused = self.results.errors(execution_id).select("record_id", "dataset_id")
         none = {"record_data": F.lit(None).cast("string"),
                 "updated": F.lit(None).cast("timestamp")}

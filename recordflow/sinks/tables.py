@@ -224,27 +224,30 @@ class ChangeTable:
             bases = bases.where(F.col("upto") < before)
         return bases.agg(F.max("upto")).first()[0]
 
-    def state(self, before: int | None = None, base_before: int | None = None) -> DataFrame:
+    def state(self, before: int | None = None, base_before: int | None = None,
+              columns: Sequence[str] | None = None) -> DataFrame:
         """The latest row of each key, removed keys left out.
 
         ``before`` leaves out that version and later ones, which is how a repeated
         batch sees the state it saw the first time. ``base_before`` starts from an
-        older base.
+        older base. With ``columns`` only those are read, and the keys.
         """
-        changes = _read_or_empty(self.spark, f"{self.path}/changes", self.columns)
+        names = self.names if columns is None else [n for n in self.names if n in columns or n in self.keys]
+        changes = _read_or_empty(self.spark, f"{self.path}/changes", self.columns).select(
+            *names, "removed", "version")
         if before is not None:
             changes = changes.where(F.col("version") < before)
         upto = self._base_version(before if base_before is None else base_before)
         if upto is not None:
             changes = changes.where(F.col("version") > upto)
         latest = latest_per_key(changes, self.keys, ["version"])
-        there = latest.where(~F.col("removed")).select(*self.names)
+        there = latest.where(~F.col("removed")).select(*names)
         if upto is None:
             return there
         # The base is not grouped: only rows that changed since are taken out of it.
-        base = self._bases().where(F.col("upto") == upto).select(*self.names)
+        base = self._bases().where(F.col("upto") == upto).select(*names)
         return base.join(latest.select(*self.keys), self.keys, "left_anti").select(
-            *self.names).unionByName(there)
+            *names).unionByName(there)
 
     def compact(self, upto: int) -> None:
         """Folds all versions up to ``upto`` into a new base; a repeat replaces it."""

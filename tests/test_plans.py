@@ -146,3 +146,17 @@ def test_costly_references_are_computed_once_per_use(spark):
     links = text.parse_xml(F.col("record_data"), "link array<string>")["link"]
     plan = physical(enrich.record_references(frame, links))
     assert plan.count("from_xml") == 1
+
+
+def test_dates_are_served_without_reading_texts(spark, folder):
+    from recordflow.plans.workflow import SERVING
+    from recordflow.sinks.tables import ChangeTable
+    table = ChangeTable(spark, folder, SERVING, ["record_id"])
+    rows = spark.createDataFrame([("r1", "d", "<record/>", None)], SERVING)
+    table.write(rows, 0)
+    table.compact(0)
+    table.write(rows, 1)
+    state = table.state(columns=["updated"])
+    read = re.findall("ReadSchema: (.*)", state._jdf.queryExecution().executedPlan().toString().replace("\\n", "\n"))
+    assert state.columns == ["record_id", "updated"] and state.count() == 1
+    assert read and not any("record_data" in columns for columns in read)
