@@ -3,6 +3,11 @@
 ``STAGES`` are (name, function): each function takes (spark, docs, folder of the tables) and
 returns a DataFrame; it is written as Parquet and read again as the next one's docs. All but the
 last return the columns of ``documents``.
+
+Defined cases: a null text is an empty one to every stage, and has no ids at the end. Null and repeated
+ids are rows like any other; of equal rows one stays, as near-duplicates. A null source is a source.
+Columns beyond those of ``documents`` are dropped. Without labels no document is rejected; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
