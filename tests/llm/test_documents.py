@@ -511,3 +511,33 @@ def test_each_stage_by_its_own_input(spark, folder):
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == LIBRARY.encode_ordinary(texts[r.doc_id]) and r.round_trip
     whole = corpus_pipeline.run(spark, DATA)
     assert rows(whole, "doc_id", "n_tokens") == sorted(((r.doc_id, r.n_tokens) for r in frames[4]), key=repr)
+
+
+def test_pipeline_of_odd_rows(spark, folder):
+    texts = [None, "", "  ", "mail a.b@example.org now " * 20, "word " * 60_000, "日本語のテキスト" * 500, "<|endoftext|> é"]
+    data = [(i if i % 5 else None, t, "en", ["a", None, "b"][i % 3], len(t or "")) for i, t in enumerate(texts * 4)]
+    data += [(100 + i, f"text number {i} of its own kind, with words {i * 7} and {i * 13}", "en", "a", 1) for i in range(40)]
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("part", F.lit("x")).withColumn("ids", F.lit(1))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(100 + i, int(i % 2), 0) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    got = corpus_pipeline.run(spark, folder)
+    assert {"doc_id", "ids", "n_tokens", "round_trip", "part", "place"} <= set(got.columns)
+    got = got.collect()
+    assert got and all(r.round_trip for r in got) and len({(r.part, r.place) for r in got}) == len(got)
+    texts_ = {bytes(r.ids) for r in got}
+    assert b"" in texts_ or not any(r.n_tokens == 0 for r in got)
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/empty/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/empty/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{folder}/empty").count() == 0
+
+
+def test_training_order_is_kept(spark):
+    """The last stage's order by file and row is that of the mix."""
+    got = corpus_pipeline.run(spark, DATA).orderBy("part", "place").select("doc_id", "source").collect()
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, DATA)
+    mixed = corpus_pipeline.mix_sources(spark, docs, DATA).select("doc_id", "source").collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in mixed]
+
