@@ -15,17 +15,11 @@ from recordflow.operators import enrich, harvest, index, media, progress, route,
 from recordflow.plans import record_xml
 from recordflow.sources import landed, messages, store
 
-SAMPLE = """<?xml version="1.0" encoding="UTF-8"?>
-<r:RDF xmlns:r="urn:r" xmlns:s="urn:s">
-   <s:Object r:about="/d1/item_1"/>
-   <s:Aggregation><s:shownBy r:resource="http://media.test/1"/><s:other/></s:Aggregation>
-   <s:Proxy>
-      <s:date>1910 (Herstellung)</s:date>
-      <s:title xml:lang="ger">"Auf  der Hofjagd"</s:title>
-      <s:subject r:resource="http://entity.test/1"/>
-      <s:subject r:resource="http://entity.test/2"/>
-   </s:Proxy>
-</r:RDF>"""
+# An invented weather log in two namespaces.
+SAMPLE = """<w:log xmlns:w="urn:weather" xmlns:p="urn:place">
+  <p:station p:code="/hill/7" w:high="411"/>
+  <w:entry><w:when>spring of 1874, in the morning</w:when><w:note w:tongue="fra">vent  du nord</w:note><w:seen w:what="rain"/><w:seen w:what="hail"/><w:seen w:what="fog"/></w:entry>
+</w:log>"""
 
 
 def records(spark, *items):
@@ -45,17 +39,16 @@ def test_malformed_xml_beside_good_xml(spark):
 
 
 def test_values_of_a_namespaced_record(spark):
-    fields = ("Object struct<_about: string>, Proxy struct<date: string, "
-              "title: struct<_VALUE: string, _lang: string>, "
-              "subject: array<struct<_resource: string>>>")
+    fields = ("station struct<_code: string, _high: int>, entry struct<when: string, "
+              "note: struct<_VALUE: string, _tongue: string>, seen: array<struct<_what: string>>>")
     frame = records(spark, ("1", SAMPLE))
     plain = F.regexp_replace("record_data", "(</?|\\s)[a-z]+:(?=[A-Za-z]+)", "$1")
     xml = text.parse_xml(plain, fields)
     out = frame.select(
-        xml["Object"]["_about"], text.year_of(xml["Proxy"]["date"]),
-        text.language_code(xml["Proxy"]["title"]["_lang"]),
-        F.size(xml["Proxy"]["subject"]), xml["malformed"])
-    assert [tuple(r) for r in out.collect()] == [("/d1/item_1", 1910, "de", 2, None)]
+        xml["station"]["_code"], xml["station"]["_high"], text.year_of(xml["entry"]["when"]),
+        text.language_code(xml["entry"]["note"]["_tongue"]),
+        F.size(xml["entry"]["seen"]), xml["malformed"])
+    assert [tuple(r) for r in out.collect()] == [("/hill/7", 411, 1874, "fr", 3, None)]
 
 
 def test_xsd_invalid_record(spark):
