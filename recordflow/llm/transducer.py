@@ -131,7 +131,7 @@ def _unpacked(flat: tuple[int, ...]) -> tuple[int, list[tuple[tuple[int, ...], i
 class Transducer:
     """Reads bytes of one piece, writes tokens. State 0 is the start of a piece."""
 
-    def __init__(self, rules: MergeRules, most: int = 900_000):
+    def __init__(self, rules: MergeRules, most: int = 500_000):
         self.rules, self.most = rules, most
         child: dict[int, int] = {}
         ends: dict[int, int] = {0: _OPEN}
