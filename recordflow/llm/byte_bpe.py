@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, take_over
 from .transducer import Transducer, kept, ranked, stretches
 
 #: Code points of a text that are split into pieces at once.
@@ -101,10 +101,16 @@ class Codec:
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Codec:
+        take_over("byte_bpe", cls._forget)
         if (path, pattern) not in cls._made:
             cls._made[path, pattern] = cls(ranked(path), pattern)
         return cls._made[path, pattern]
 
+    @classmethod
+    def _forget(cls) -> None:
+        cls._made.clear()
+        ranked.cache_clear()
+
     def _packed(self, piece: str) -> bytes:
         spelt = piece.encode("utf-8", "replace")
         token = self.machine.rules.tokens.get(spelt)  # a piece that is a token is that token

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, take_over
 
 SAMPLE, DIMENSIONS, NEIGHBOURS, THRESHOLD = 4000, 48, 7, 0.3
 _SHAPES = 2048  # buckets of word shapes
@@ -61,6 +61,10 @@ class _Shapes(dict):
 _shapes = _Shapes()
 
 
+def _forget() -> None:
+    _shapes.clear()
+
+
 def term_counts(text: str | None) -> np.ndarray:
     """Counts of the ``_TERMS`` terms; whole texts."""
     words = (text or "").split()
@@ -135,6 +139,7 @@ def counted(text: Column) -> Column:
 
     @F.arrow_udf("struct<term: array<int>, n: array<int>>")
     def count(texts: pa.Array) -> pa.Array:
+        take_over("quality", _forget)
         out = []
         for x in texts:
             counts = term_counts(x.as_py())
@@ -171,6 +176,7 @@ def scored(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        take_over("quality", _forget)
         parts = [np.empty(0)]
         for i in range(0, len(texts), _BLOCK):
             counts = np.array([term_counts(x.as_py()) for x in texts[i : i + _BLOCK]])

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import cut, free_name, row_hash, small_batches
+from .common import cut, free_name, row_hash, small_batches, take_over
 from .components import components
 
 WIDTH, SEED, RADIUS, BLOCK = 3, 42, 3, 4096
@@ -63,6 +63,7 @@ def fingerprint(text: Column, width: int = WIDTH, seed: int = SEED) -> Column:
 
     @F.arrow_udf("long")
     def work(texts: pa.Array) -> pa.Array:
+        take_over("simhash")
         values = [fingerprint_of(x.as_py() or "", width, seed) for x in texts]
         return pa.array(np.array(values, np.uint64).view(np.int64))
 
@@ -150,6 +151,7 @@ def links(fps: DataFrame, fp: str = "fp", radius: int = RADIUS, block: int = BLO
     dealt = grouped.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two", "fp")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("simhash")
         kept_groups, kept_fps = np.empty((0, 3), np.int64), np.empty(0, np.uint64)
 
         def out(groups, values):

@@ -147,3 +147,16 @@ def test_a_long_text_without_blanks_takes_little_memory():
     before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     assert COUNTER.count("x1" * 2_000_000) == len(TOKENIZER.encode("x1" * 1000, add_special_tokens=False).ids) * 2000
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+
+
+def test_a_worker_keeps_the_tables_of_one_operator_at_a_time():
+    from recordflow.llm import common
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    first = byte_bpe.Codec.of(path, pattern)
+    ids = first.encode("some text, some more")
+    assert byte_bpe.Codec.of(path, pattern) is first
+    common.take_over("another")
+    assert not byte_bpe.Codec._made and "byte_bpe" not in common._KEPT
+    again = byte_bpe.Codec.of(path, pattern)
+    assert again is not first and again.encode("some text, some more") == ids
