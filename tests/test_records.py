@@ -365,3 +365,18 @@ def test_ranges_of_a_chunk_plan_read_each_record_once(spark):
     read = [r[0] for c in conditions for r in database.execute(f"select record_id from records where {c}").fetchall()]
     assert len(plan) == 7 and sorted(read) == sorted(ids)
     assert store.range_predicates("d'", "e", [("a", "b")])[0].startswith("dataset_id = 'd''' and")
+
+
+def test_what_stands_between_elements_is_one_part(spark):
+    from recordflow.functions import elements
+    data = spark.createDataFrame(
+        [(0, "<!--c--><r> <!--<a>--> t<?p?><![CDATA[<x>]]><a k='>'>one</a ><b/>\n<a>u<a>v</a></a></r>\n"), (1, "<r>t</r>"),
+         (2, "<a>t</a><b>t</b>"), (3, "<a>t</a><b/>"), (4, "<![CDATA[x]]><a/>"), (5, "<r>" + "<b>" * 5000), (6, "<a></b>x</a>")],
+        "i int, d string")
+    got = {r.i: r.s for r in data.select("i", elements.scanned(F.col("d")).alias("s")).collect()}
+    assert [(p.name, p.open, p.inner, p.close) for p in got[0].parts] == [
+        (None, " <!--<a>--> t<?p?><![CDATA[<x>]]>", "", ""), ("a", "<a k='>'>", "one", "</a >"), ("b", "<b/>", "", ""),
+        (None, "\n", "", ""), ("a", "<a>", "u<a>v</a>", "</a>")]
+    assert (got[0].head, got[0].root, got[0].tail) == ("<!--c--><r>", "r", "</r>\n")
+    assert [tuple(p) for p in got[1].parts] == [(0, None, "t", "", "")]
+    assert [got[i] for i in range(2, 7)] == [None] * 5
