@@ -30,14 +30,16 @@ def in_set(sets: Column, set_spec: str) -> Column:
     return F.exists(sets, lambda s: (s == set_spec) | s.startswith(F.lit(f"{set_spec}:")))
 
 
-def read_records(spark: SparkSession, pages: str, set_spec: str | None = None) -> DataFrame:
+def read_records(spark: SparkSession, pages: str, set_spec: str | None = None, packed: bool = False) -> DataFrame:
     """Records of all landed pages: identifier, deleted, datestamp, sets, and the metadata part as it
     is written, with its entities, CDATA and namespaces.
 
     A page is one row, as large as its provider made it. A page that is no XML fails the harvest: its
-    records would be missing without a word.
+    records would be missing without a word. A file is a page, or, if they are ``packed``
+    (:func:`pack_pages`), a row of a Parquet file is one: many small pages are no small files then.
     """
-    page = spark.read.text(pages, wholetext=True).select(
+    landed_pages = spark.read.schema("value string").parquet(pages) if packed else spark.read.text(pages, wholetext=True)
+    page = landed_pages.select(
         F.col("_metadata.file_path").alias("page"), elements.scanned(F.col("value")).alias("scan"))
     page = page.withColumn("scan", F.when(F.col("scan").isNull(), F.raise_error(
         F.concat(F.lit("page is no listing: "), F.col("page")))).otherwise(F.col("scan")))
@@ -58,6 +60,11 @@ def read_records(spark: SparkSession, pages: str, set_spec: str | None = None) -
     return found if set_spec is None else found.where(in_set(F.col("sets"), set_spec))
 
 
+def pack_pages(pages: DataFrame, folder: str) -> None:
+    """Lands pages (``value``) as rows of Parquet files, as many files as ``pages`` has partitions."""
+    pages.select("value").write.parquet(folder)
+
+
 def _named(parts: Column, name: str) -> Column:
     """The first element of a name."""
     return F.get(F.filter(parts, lambda p: p["name"] == name), F.lit(0))

@@ -380,3 +380,20 @@ def test_what_stands_between_elements_is_one_part(spark):
     assert (got[0].head, got[0].root, got[0].tail) == ("<!--c--><r>", "r", "</r>\n")
     assert [tuple(p) for p in got[1].parts] == [(0, None, "t", "", "")]
     assert [got[i] for i in range(2, 7)] == [None] * 5
+
+
+def test_packed_pages_give_the_records_of_page_files(spark, folder):
+    from pathlib import Path
+
+    from recordflow.sources import landed
+    pages = [f"<ListRecords><record><header><identifier>{i}</identifier></header><metadata> <m>&lt;{i}\x1e\n</m></metadata></record></ListRecords>" for i in range(40)]
+    Path(folder, "files").mkdir()
+    for i, page in enumerate(pages):
+        Path(folder, "files", f"{i}.xml").write_text(page)
+    landed.pack_pages(spark.createDataFrame([(p,) for p in pages], "value string").coalesce(1), f"{folder}/packed")
+    assert len(list(Path(folder, "packed").glob("*.parquet"))) == 1
+    read = rows(landed.read_records(spark, f"{folder}/packed", packed=True))
+    assert len(read) == 40 and read == rows(landed.read_records(spark, f"{folder}/files"))
+    landed.pack_pages(spark.createDataFrame([("no listing",)], "value string"), f"{folder}/bad")
+    with pytest.raises(Exception, match="page is no listing"):
+        landed.read_records(spark, f"{folder}/bad", packed=True).collect()
