@@ -1,15 +1,14 @@
 """An XML record cut into the elements below its root, as they are written.
 
-A record is split into tokens: start and end tags, elements with text only, and all that stands between
-tags (comments, processing instructions, CDATA sections, text). Runs of start tags, of end tags and of
-tokens that leave the depth as it is are counted at once; running sums over the runs give the depth at
-each one's begin, and with it the tokens at which children of the root begin and end. Elements may nest in
+A record is split into tokens: tags, and all that stands between two tags (comments, processing
+instructions, CDATA sections, text). Running sums of +1 for a start tag and -1 for an end tag give the depth at every token, and with it the tokens at
+which children of the root begin and end. Nothing is matched across tags, so elements may nest in
 elements of their own name, and marks inside comments or CDATA are no marks. All parts joined give the
 record back, byte for byte.
 
-Work grows with the record's length: patterns are possessive, what is done for each token is done by
-patterns over the whole record, and sums run in short blocks (an array that grows item by item would be
-copied each time).
+Work grows with the record's length: patterns are possessive, and sums run in short blocks (an array that
+grows item by item would be copied each time). A record whose start and end tags differ in number is none
+before any sums.
 """
 
 from __future__ import annotations
@@ -24,31 +23,28 @@ _COMMENT = r"<!--.*?(?:-->|\z)"
 _CDATA = r"<!\[CDATA\[.*?(?:\]\]>|\z)"
 _INSTRUCTION = r"<\?.*?(?:\?>|\z)"
 _DOCTYPE = r"<!DOCTYPE[^\[<>]*+(?:\[.*?(?:\]\s*+>|\z)|>)"
-_DECLARATION = r"""<!(?!\[CDATA\[)[^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>"""
 _TAG = r"""<[^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>"""
+_DECLARATION = _TAG.replace("<", r"<!(?!\[CDATA\[)", 1)
 _TEXT = r"[^<]++"
 _MARKS = f"{_COMMENT}|{_INSTRUCTION}|{_DOCTYPE}|{_DECLARATION}"
-_BETWEEN = f"(?:{_COMMENT}|{_CDATA}|{_INSTRUCTION}|{_DOCTYPE}|{_DECLARATION}|{_TEXT})++"
-# an element with nothing but text in it: its end tag has its start tag's name
-_LEAF = r"""<(?<leaf>[^\s/<>!?"']++)(?=[\s>])[^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+(?<!/)>[^<]*+</\k<leaf>\s*+>"""
-
-#: A token; its groups catch something in an end tag, an empty or a start tag, or (last) an element with text only.
-_CLOSE, _EMPTY, _OPEN = _TAG.replace("<", "(</)", 1), _TAG[:-1] + "(?<=/)(>)", _TAG.replace("<", "(<)", 1)
-PLAIN = f"(?s){_BETWEEN}|{_CLOSE}|{_EMPTY}|{_OPEN}"
-TOKEN = f"(?s){_BETWEEN}|{_CLOSE}|{_EMPTY}|{_LEAF}|{_OPEN}"
-#: What stands for each token: "<;" for a start tag, "</;" for an end tag, else a mark without "<".
-_PLAIN_MARK, _TOKEN_MARK = "$1$2$3;", "$1$2$4;"
-_RUN = r"(?:<;)++|(?:</;)++|(?:>?;)++"
-_ONE_LEAF = f"(?s)\\A(?:{_BETWEEN})?+{_LEAF}(?:{_BETWEEN})?+\\z"
+TOKEN = f"(?s)(?:{_TEXT}|{_COMMENT}|{_CDATA}|{_INSTRUCTION}|{_DOCTYPE}|{_DECLARATION})++|{_TAG}"
 
 #: Items of an array that are summed one after the other, and how often blocks are made of blocks.
 _BLOCK, _LEVELS = 32, 3
 
+_OTHER, _OPEN, _EMPTY, _CLOSE = 0, 1, 2, 3
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often it is named."""
     return F.transform(F.array(value), use)[0]
 
 
+def _kind(token: Column) -> Column:
+    tag = token.startswith("<") & ~token.startswith("<!") & ~token.startswith("<?")
+    return F.when(~tag, _OTHER).when(token.startswith("</"), _CLOSE).when(token.endswith("/>"), _EMPTY).otherwise(_OPEN)
+
+
 def running_sums(values: Column, levels: int = _LEVELS) -> Column:
     """Sums of an integer array up to and including each item."""
 
@@ -73,11 +69,8 @@ def running_sums(values: Column, levels: int = _LEVELS) -> Column:
 
 def _joined(tokens: Column, first: Column, last: Column) -> Column:
     """The text of some tokens; empty where ``last`` is before ``first``."""
-    return F.when(last < first, "").otherwise(F.array_join(F.slice(tokens, first + 1, last - first + 1), ""))
-
-
-def _is_element(token: Column) -> Column:
-    return token.startswith("<") & ~token.startswith("<!") & ~token.startswith("<?")
+    return F.when(last < first, "").otherwise(
+        F.array_join(F.slice(tokens, first + 1, F.greatest(last - first + 1, F.lit(0))), ""))
 
 
 def local_name(tag: Column) -> Column:
@@ -92,81 +85,49 @@ def scanned(record: Column) -> Column:
 
     Whether names and attributes are well formed is the parser's business (:func:`.text.parse_xml`).
     """
-    def cut(tokens: Column, runs: Column) -> Column:
-        """``runs``: what they are of (1 start tags, -1 end tags, 0), tokens in them, tokens before them, depth before them."""
-        def places(of: Callable[[Column], Column]) -> Column:
-            return F.flatten(F.transform(runs, of))
-
-        def some(test: Column, first: Column, last: Column) -> Column:
-            return F.when(test, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
-
-        def one(run: Column, at: Column) -> Column:
-            """The token ``at`` places into the run, if the run goes that far."""
-            return some((at >= 0) & (at < run["n"]), run["first"] + at, run["first"] + at)
-
-        def level(run: Column, depth: int) -> Column:
-            return some(run["depth"] == depth, run["first"], run["first"] + run["n"] - 1)
-
-        nothing = F.array().cast("array<int>")
-        begins = places(lambda r: F.when(r["step"] == 0, level(r, 1)).when(r["step"] == 1, one(r, 1 - r["depth"])).otherwise(nothing))
-        ends = places(lambda r: F.when(r["step"] == 0, level(r, 1)).when(r["step"] == -1, one(r, r["depth"] - 2)).otherwise(nothing))
-        # an element with text only counts twice, as its two tags would: beside it there is no other root
-        roots = places(lambda r: F.when(r["step"] == 0, F.flatten(F.transform(
-            F.filter(level(r, 0), lambda i: _is_element(F.get(tokens, i))),
-            lambda i: F.when(F.get(tokens, i).endswith("/>"), F.array(i)).otherwise(F.array(i, i))))).when(
-            r["step"] == 1, one(r, -r["depth"])).otherwise(one(r, r["depth"] - 1)))
-        # the least depth is that at the end of a run, and all of it is at the end of the last one
-        after = F.transform(runs, lambda r: r["depth"] + r["step"] * r["n"])
-        return let(F.struct(begins.alias("begins"), ends.alias("ends"), roots.alias("roots"), after.alias("after")), lambda at: parts(tokens, at))
-
-    def parts(tokens: Column, at: Column) -> Column:
+    def cut(tokens: Column, kinds: Column, depths: Column) -> Column:
+        def places(test: Callable[[Column, Column, Column], Column]) -> Column:
+            """Tokens that pass ``test(kind, depth before, depth after)``."""
+            found = F.transform(kinds, lambda kind, i: F.when(
+                test(kind, F.coalesce(F.get(depths, i - 1), F.lit(0)), F.get(depths, i)), i))
+            return F.array_compact(found)
+
+        begins = places(lambda kind, before, _: (before == 1) & (kind != _CLOSE))
+        ends = places(lambda kind, before, after: (after == 1) & ((before == 2) | (before == 1)))
+        roots = places(lambda kind, before, after: (before == 0) & (kind != _OTHER) | (before == 1) & (after == 0))
+        return let(F.struct(begins.alias("begins"), ends.alias("ends"), roots.alias("roots")), lambda at: parts(tokens, kinds, depths, at))
+
+    def parts(tokens: Column, kinds: Column, depths: Column, at: Column) -> Column:
         def part(first: Column, place: Column) -> Column:
             last = F.get(at["ends"], place)
             opening, many = F.get(tokens, first), last > first
-            element = _is_element(opening)
-            # one token that is an element: an empty one, or a start tag, text and an end tag
-            leaf = element & ~many & ~opening.endswith("/>")
-            tag = F.when(leaf, F.regexp_extract(opening, f"(?s)^{_TAG}", 0)).otherwise(opening)
-            end = F.when(leaf, F.concat(F.lit("</"), F.substring_index(opening, "</", -1))).when(many, F.get(tokens, last)).otherwise("")
-            return let(F.struct(tag.alias("open"), end.alias("close")), lambda x: F.struct(
-                place.alias("place"), F.when(element, local_name(x["open"])).alias("name"), x["open"].alias("open"),
-                F.when(leaf, F.substr(opening, F.length(x["open"]) + 1, F.length(opening) - F.length(x["open"]) - F.length(x["close"]))).when(
-                    many, _joined(tokens, first + 1, last - 1)).otherwise("").alias("inner"),
-                x["close"].alias("close")))
+            return F.struct(
+                place.alias("place"), F.when(F.get(kinds, first) != _OTHER, local_name(opening)).alias("name"), opening.alias("open"),
+                F.when(many, _joined(tokens, first + 1, last - 1)).otherwise("").alias("inner"),
+                F.when(many, F.get(tokens, last)).otherwise("").alias("close"))
 
         root, end = F.get(at["roots"], F.lit(0)), F.get(at["roots"], F.size(at["roots"]) - 1)
         # a root is one empty element, or a start tag and an end tag; comments may stand around it, text may not
-        one = F.when(F.get(tokens, root).endswith("/>"), F.size(at["roots"]) == 1).otherwise(F.size(at["roots"]) == 2)
+        one = F.when(F.get(kinds, root) == _EMPTY, F.size(at["roots"]) == 1).otherwise(F.size(at["roots"]) == 2)
         around = F.concat(_joined(tokens, F.lit(0), root - 1), _joined(tokens, end + 1, F.size(tokens) - 1))
         text = F.regexp_replace(around, f"(?s){_MARKS}", "").rlike(r"[^ \t\r\n\x{FEFF}]")
-        sound = one & (F.array_min(at["after"]) >= 0) & (F.get(at["after"], F.size(at["after"]) - 1) == 0) & ~text
+        sound = one & (F.array_min(depths) >= 0) & (F.get(depths, F.size(depths) - 1) == 0) & ~text
         return F.when(sound, F.struct(
             _joined(tokens, F.lit(0), root).alias("head"),
             F.regexp_extract(F.get(tokens, root), r"^<([^\s/<>]*)", 1).alias("root"), F.transform(at["begins"], part).alias("parts"),
             F.when(root == end, _joined(tokens, end + 1, F.size(tokens) - 1)).otherwise(
                 _joined(tokens, end, F.size(tokens) - 1)).alias("tail")))
 
-    def of_runs(tokens: Column, runs: Column) -> Column:
-        counted = F.transform(runs, lambda run: F.struct(
-            F.when(run.startswith("</"), -1).when(run.startswith("<"), 1).otherwise(0).alias("step"),
-            (F.length(run) - F.length(F.replace(run, F.lit(";"), F.lit("")))).alias("n")))
-
-        def placed(c: Column) -> Column:
-            firsts = running_sums(F.transform(c, lambda r: r["n"]))
-            depths = running_sums(F.transform(c, lambda r: r["step"] * r["n"]))
-            return let(F.struct(firsts.alias("firsts"), depths.alias("depths")), lambda sums: F.transform(c, lambda r, i: F.struct(
-                r["step"].alias("step"), r["n"].alias("n"), (F.get(sums["firsts"], i) - r["n"]).alias("first"),
-                (F.get(sums["depths"], i) - r["step"] * r["n"]).alias("depth"))))
-
-        return let(counted, lambda c: let(placed(c), lambda placed_: cut(tokens, placed_)))
-
-    # a root with text only is taken apart, other elements with text only need not be
-    tokens = F.when(record.rlike(_ONE_LEAF), F.struct(
-        F.regexp_extract_all(record, F.lit(PLAIN), F.lit(0)).alias("tokens"), F.regexp_replace(record, PLAIN, _PLAIN_MARK).alias("marks"))).otherwise(F.struct(
-        F.regexp_extract_all(record, F.lit(TOKEN), F.lit(0)).alias("tokens"), F.regexp_replace(record, TOKEN, _TOKEN_MARK).alias("marks")))
-    return F.when(F.length(record) > 0, let(tokens, lambda t: F.when(
-        F.octet_length(F.array_join(t["tokens"], "")) == F.octet_length(record),
-        of_runs(t["tokens"], F.regexp_extract_all(t["marks"], F.lit(_RUN), F.lit(0))))))
+    def of_tokens(tokens: Column) -> Column:
+        def of_kinds(kinds: Column) -> Column:
+            steps = F.transform(kinds, lambda k: F.when(k == _OPEN, 1).when(k == _CLOSE, -1).otherwise(0))
+            return let(steps, lambda s: F.when(F.aggregate(s, F.lit(0), lambda x, y: x + y) == 0, let(
+                running_sums(s), lambda depths: cut(tokens, kinds, depths))))
+
+        return F.when(F.octet_length(F.array_join(tokens, "")) == F.octet_length(record), let(F.transform(tokens, _kind), of_kinds))
+
+    tokens = F.regexp_extract_all(record, F.lit(TOKEN), F.lit(0))
+    return F.when(F.length(record) > 0, let(tokens, of_tokens))
 
 
 def written(part: Column) -> Column:
