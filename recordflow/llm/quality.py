@@ -79,6 +79,12 @@ def term_counts(text: str | None) -> np.ndarray:
     return out
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows as vectors of length 1; zero stays zero."""
+    size = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return vectors / np.where(size > 0, size, 1)
+
+
 @dataclass
 class Model:
     """``weights`` per term, ``axes`` (terms x dimensions), the sample's ``vectors`` and ``labels``."""
@@ -94,9 +100,7 @@ class Model:
         """Rows of term counts as vectors of length 1 (or 0)."""
         total = counts[:, :_SHAPES].sum(axis=1, keepdims=True)
         shares = np.sqrt(counts / np.maximum(total, 1)) * self.weights
-        vectors = shares @ self.axes
-        size = np.linalg.norm(vectors, axis=1, keepdims=True)
-        return vectors / np.where(size > 0, size, 1)
+        return _unit(shares @ self.axes)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
@@ -151,20 +155,27 @@ def counted(text: Column) -> Column:
 
 
 def learn(rows: list[tuple[float, dict[int, int]]], prior: float, dimensions: int, neighbours: int) -> Model:
-    """Latent semantic analysis of a sample: weights, axes by singular value, vectors."""
-    counts = np.zeros((len(rows), _TERMS))
+    """Latent semantic analysis of a sample: weights, axes by singular value, vectors.
+
+    Only terms that the sample holds have a column: the driver needs a table of rows by used terms, twice.
+    """
+    used = np.array(sorted(set().union(*(terms for _, terms in rows))), np.int64)
+    counts = np.zeros((len(rows), len(used)))
     for i, (_, terms) in enumerate(rows):
-        counts[i, list(terms)] = list(terms.values())
-    weights = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1
-    model = Model(weights, np.eye(_TERMS), np.empty((0, 0)), np.array([r[0] for r in rows]), prior, neighbours)
+        counts[i, np.searchsorted(used, list(terms))] = list(terms.values())
+    holders = np.zeros(_TERMS)
+    holders[used] = np.count_nonzero(counts, axis=0)
+    weights = np.log((1 + len(rows)) / (1 + holders)) + 1
+    model = Model(weights, np.zeros((_TERMS, 0)), np.empty((0, 0)), np.array([r[0] for r in rows]), prior, neighbours)
     if len(rows):
-        shares = np.sqrt(counts / np.maximum(counts[:, :_SHAPES].sum(axis=1, keepdims=True), 1)) * weights
-        used = np.flatnonzero(counts.any(axis=0))
-        strength, axes = np.linalg.eigh(shares[:, used].T @ shares[:, used])
+        counts /= np.maximum(counts[:, used < _SHAPES].sum(axis=1, keepdims=True), 1)
+        shares = np.sqrt(counts, out=counts)
+        shares *= weights[used]
+        strength, axes = np.linalg.eigh(shares.T @ shares)
         keep = [i for i in np.argsort(-strength)[:dimensions] if strength[i] > 1e-9]
         model.axes = np.zeros((_TERMS, len(keep)))
         model.axes[used] = axes[:, keep]
-        model.vectors = model.embed(counts)
+        model.vectors = _unit(shares @ model.axes[used])
     return model
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -190,6 +191,16 @@ def test_votes_are_those_of_the_nearest(spark):
         assert bounds[0] - 1e-9 <= score <= bounds[1] + 1e-9
 
 
+def test_learning_holds_the_terms_in_use_only():
+    data = [(float(i % 2), {i % 50: 1 + i % 7, 100 + i % 30: 2}) for i in range(4000)]
+    tracemalloc.start()
+    try:
+        quality.learn(data, 0.5, 48, 7)
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_classifier_on_odd_rows(spark):
     docs = spark.createDataFrame([(i, "fine words here" if i % 2 else "BAD!! TEXT!!", "x") for i in range(40)] + [
         (None, None, "x"), (50, "", "x"), (51, "w " * 50000, "x"), (1, "fine words here", "x")], "doc_id long, text string, score string")
