@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from pathlib import Path
 
@@ -10,12 +11,14 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from recordflow import schema
+from recordflow.checks import streams
+from recordflow.checks.registry import QUERIES
 from recordflow.operators import progress
 from recordflow.operators.project import step_result
 from recordflow.plans.steps import Step
 from recordflow.sinks.tables import ProgressLog, ResultTable
-from recordflow.streaming import notifications, records, statistics, tasks
-from recordflow.streaming.settings import finish, landed_stream, state_settings
+from recordflow.streaming import admission, notifications, records, statistics, tasks
+from recordflow.streaming.settings import finish, finish_all, landed_stream, start, state_settings
 
 SECONDS = 300
 TASKS = "task_id bigint, id bigint, status string"
@@ -156,3 +159,52 @@ def test_settings_of_a_stateful_query_do_not_stay(spark):
     with state_settings(spark):
         assert spark.conf.get(key) == "false"
     assert spark.conf.get(key) == before
+
+
+def batches_of(files, rows_per_file, rows):
+    """How many batches a reader needs for so many files."""
+    return -(-files // max(1, rows // rows_per_file))
+
+
+@pytest.mark.parametrize("files", [1, 2, 5, 16, 17, 99])
+@pytest.mark.parametrize("rows_per_file, limit", [(200, 400), (200, 100), (7, 50)])
+def test_files_are_dealt_to_readers_by_the_batch(spark, files, rows_per_file, limit):
+    readers = admission.readers_for(files * rows_per_file, limit, rows_per_file)
+    dealt = spark.range(files).groupBy(
+        admission.reader_of(F.col("id"), readers, limit, rows_per_file).alias("reader")).count()
+    of_each = [n for _, n in rows(dealt)]
+    assert len(of_each) == readers == min(admission.READERS, batches_of(files, rows_per_file, limit))
+    assert sum(batches_of(n, rows_per_file, limit) for n in of_each) == batches_of(files, rows_per_file, limit)
+
+
+def test_bounded_queries_run_side_by_side_and_stop_together(spark, folder):
+    land(spark, f"{folder}/landed", [(1, 1, "STOP")], TASKS)
+    both = threading.Barrier(2)
+
+    def starting(name, write):
+        stream = landed_stream(spark, f"{folder}/landed", spark.createDataFrame([], TASKS).schema)
+        return lambda: start(stream.writeStream.foreachBatch(write), f"{folder}/{name}", name)
+
+    finish_all([starting(name, lambda batch, batch_id: both.wait(SECONDS) and None) for name in ("one", "two")], SECONDS)
+
+    def fail(*_):
+        raise RuntimeError("no more room")
+
+    with pytest.raises(Exception, match="no more room"):
+        finish_all([starting("bad", fail), starting("slow", lambda batch, batch_id: time.sleep(20))], SECONDS)
+    assert spark.streams.active == []
+
+
+@pytest.mark.parametrize("landing, batches", [(0, 0), (1, 1), (1700, 5)])
+def test_admission_takes_batches_up_side_by_side(spark, folder, monkeypatch, landing, batches):
+    checkpoints = []
+
+    def noted(writer, checkpoint):
+        checkpoints.append(checkpoint)
+        return start(writer, checkpoint)
+
+    monkeypatch.setattr(streams, "start", noted)
+    spark.range(landing).select(F.col("id").alias("event_id"), F.col("id").alias("user_id")).write.parquet(f"{folder}/events.parquet")
+    assert rows(QUERIES["stream_admission"](spark, folder)) == [
+        ("batches over the limit", 0), ("batches", batches), ("rows", landing)]
+    assert len(set(checkpoints)) == batches
