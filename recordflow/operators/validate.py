@@ -35,6 +35,11 @@ def canonical_elements(record_data: Column, ranks: Mapping[str, int]) -> Column:
     ``ranks`` gives the rank of local names; names without one come last. What stands between
     elements is left out, what is inside them stays as written. Null for text that is no record.
     """
+    return canonical_scan(elements.scanned(record_data), ranks)
+
+
+def canonical_scan(scan: Column, ranks: Mapping[str, int]) -> Column:
+    """The same of a record that has been cut into its elements (:func:`.elements.scanned`)."""
     pairs = [F.lit(part) for pair in ranks.items() for part in pair]
     rank = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
 
@@ -47,7 +52,7 @@ def canonical_elements(record_data: Column, ranks: Mapping[str, int]) -> Column:
         return F.concat(
             scan["head"], F.array_join(F.transform(F.array_sort(keyed), lambda k: k["written"]), ""), scan["tail"])
 
-    return elements.let(elements.scanned(record_data), ordered)
+    return elements.let(scan, ordered)
 
 
 def broken_rules(rules: Mapping[str, Column]) -> Column:

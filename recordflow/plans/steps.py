@@ -69,7 +69,8 @@ def internal_validation(rules: Mapping[str, Column], ranks: Mapping[str, int] |
     as ``checked_text``."""
     def run(records: DataFrame, execution_id: str) -> DataFrame:
         parsed = record_xml.with_parsed(records)
-        seen = parsed if ranks is None else parsed.withColumn("checked_text", _canonical(ranks))
+        seen = parsed if ranks is None else parsed.withColumn(
+            "checked_text", validate.canonical_scan(F.col("scan"), ranks))
         found = [validate.broken_rules(rules)] if rules else []
         if schema_ is not None:
             text_ = F.col("record_data" if ranks is None else "checked_text")

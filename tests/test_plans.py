@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import DATA
+from conftest import DATA, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from recordflow.checks.registry import QUERIES
 from recordflow import schema
 from recordflow.functions import text
 from recordflow.operators import enrich, project
+from recordflow.plans import steps
 from recordflow.plans.bindings import Tables, document_records
 from recordflow.sinks.first_wins import rows_to_insert
 from recordflow.sinks.tables import ResultTable
@@ -160,3 +161,27 @@ def test_dates_are_served_without_reading_texts(spark, folder):
     read = re.findall("ReadSchema: (.*)", state._jdf.queryExecution().executedPlan().toString().replace("\\n", "\n"))
     assert state.columns == ["record_id", "updated"] and state.count() == 1
     assert read and not any("record_data" in columns for columns in read)
+
+
+def test_internal_validation_cuts_a_record_once(spark):
+    records = spark.createDataFrame([
+        ("d", "e", "S", "1", "<record><b>2</b> <!-- c --><a>1</a></record>"), ("d", "e", "S", "2", "<record><b>"),
+        ("d", "e", "S", "3", None), ("d", "e", "S", "4", "<record><a>1</a></record>")], schema.EXECUTION_RECORD)
+    seen = {"in order": F.col("checked_text").isin("<record><a>1</a><b>2</b></record>", "<record><a>1</a></record>")}
+    done = steps.internal_validation(seen, {"a": 0, "b": 1}).run(records, "E1")
+    assert rows(done, "record_id", "exception") == [
+        ("1", None), ("2", "malformed record"), ("3", "malformed record"), ("4", None)]
+    assert physical(done).count("regexp_extract_all") == 1
+
+
+def test_validation_runs_of_one_source_transform_it_once(spark, folder):
+    text_ = "a title of 1874\nand a line"
+    spark.createDataFrame([(1, text_, "en", "s", len(text_)), (2, text_, "es", "s", len(text_)), (2, text_, "es", "s", len(text_))],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(
+        f"{folder}/documents.parquet")
+    done = QUERIES["workflow_xsd"](spark, folder)
+    bad = "record does not fit the schema"
+    got = sorted(((r["n"], r["record_id"], r["exception"]) for r in done.collect()), key=repr)
+    assert got == sorted(
+        [(1, i, bad) for i in "122"] + [(n, i, None if i == "1" else bad) for n in (2, 3) for i in "122"], key=repr)
+    assert physical(done).count("ReusedExchange") == 2
