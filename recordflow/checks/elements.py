@@ -60,8 +60,6 @@ def _(tables):
     body = r"(?s)^<record>(<about>[^<]*</about>)(.*)</record>$"
     swapped = route.good_records(transformed(tables)).withColumn(
         "record_data", F.regexp_replace("record_data", body, "<record>$2$1</record>"))
-    # all three runs read one shuffle; without it each would transform the documents anew
-    swapped = swapped.repartition("record_id", "record_data")
     fits = steps.Schema(ship_schema(tables.spark), TARGET)
     runs = [steps.external_validation({}, schema_=fits), steps.external_validation({}, RANKS, fits),
             steps.internal_validation({}, RANKS, fits)]
