@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordflow import schema
 from recordflow.sinks import upsert
@@ -108,6 +109,25 @@ def test_change_table_versions(spark, folder):
     assert rows(table.state()) == [(1, 2, 16), (2, 9, 9)]
 
 
+def test_a_row_of_the_driver_is_a_version_like_any_other(spark, folder):
+    table = ChangeTable(spark, f"{folder}/a table", T.StructType.fromDDL("k bigint, n bigint"), ["k"])
+    table.write(spark.createDataFrame([(1, 10), (2, 20)], "k bigint, n bigint"), 0)
+    table.write_one({"k": 1, "n": 11}, 1)
+    table.write_one({"k": 2, "n": None}, 2)
+    assert rows(table.state()) == [(1, 11), (2, None)]
+    table.write_one({"k": 1, "n": 12}, 0)  # in place of both rows
+    table.write_one({"k": 2, "n": 21}, 2)
+    table.write_one({"k": 2, "n": 21}, 2)
+    assert rows(table.state()) == [(1, 11), (2, 21)]
+    table.write_one({"k": 1, "n": None}, 3, removed=True)
+    assert rows(table.state()) == [(2, 21)]
+    (Path(folder) / "a table/changes/version=4").mkdir()
+    (Path(folder) / "a table/changes/version=4/_part-00000").write_bytes(b"PAR1")  # the driver was lost as it wrote
+    assert rows(table.state()) == [(2, 21)]
+    table.write_one({"k": 3, "n": 30}, 4)
+    assert rows(table.state()) == [(2, 21), (3, 30)]
+
+
 def test_one_hot_record_is_inserted_once(spark):
     copies = spark.range(5000).select(
         F.lit("d1").alias("dataset_id"), F.lit("e1").alias("execution_id"),

@@ -17,7 +17,7 @@ from recordflow.operators import progress
 from recordflow.operators.project import step_result
 from recordflow.plans.steps import Step
 from recordflow.sinks.tables import ProgressLog, ResultTable
-from recordflow.streaming import admission, notifications, records, statistics, tasks
+from recordflow.streaming import admission, notifications, records, settings, statistics, tasks
 from recordflow.streaming.settings import finish, finish_all, landed_stream, start, state_settings
 
 SECONDS = 300
@@ -161,6 +161,28 @@ def test_settings_of_a_stateful_query_do_not_stay(spark):
     assert spark.conf.get(key) == before
 
 
+def test_checkpoints_on_a_local_disk_start_few_processes(spark, folder):
+    key, before = settings.CHECKPOINT_MANAGER, spark.conf.get(settings.CHECKPOINT_MANAGER, None)
+    land(spark, f"{folder}/landed", [(1, 1, "STOP")], TASKS)
+    stream = landed_stream(spark, f"{folder}/landed", spark.createDataFrame([], TASKS).schema)
+    for _ in range(2):  # goes on from its own checkpoint, and from one of the other manager's
+        seen = []
+        with settings.checkpoint_settings(spark, folder):
+            assert spark.conf.get(key) == settings.LOCAL_MANAGER
+            finish(start(stream.writeStream.foreachBatch(lambda rows, _: seen.append(rows.count())), f"{folder}/checkpoint"), SECONDS)
+        assert spark.conf.get(key, None) == before
+        land(spark, f"{folder}/landed", [(2, 2, "STOP")], TASKS)
+        finish(start(stream.writeStream.foreachBatch(lambda rows, _: seen.append(rows.count())), f"{folder}/checkpoint"), SECONDS)
+        land(spark, f"{folder}/landed", [(3, 3, "STOP")], TASKS)
+        assert seen == [1, 1]
+    spark.conf.set(key, "a.manager.of.its.own")
+    try:
+        with settings.checkpoint_settings(spark, folder):
+            assert spark.conf.get(key) == "a.manager.of.its.own"
+    finally:
+        spark.conf.unset(key)
+
+
 def batches_of(files, rows_per_file, rows):
     """How many batches a reader needs for so many files."""
     return -(-files // max(1, rows // rows_per_file))
@@ -208,3 +230,30 @@ def test_admission_takes_batches_up_side_by_side(spark, folder, monkeypatch, lan
     assert rows(QUERIES["stream_admission"](spark, folder)) == [
         ("batches over the limit", 0), ("batches", batches), ("rows", landing)]
     assert len(set(checkpoints)) == batches
+
+
+@pytest.mark.parametrize("limit, tasks", [(400, {1}), (admission.ONE_TASK + 1, {1, 3})])
+def test_a_small_batch_is_counted_by_one_task(spark, folder, limit, tasks):
+    log, context = admission.admission_log(spark, folder), spark.sparkContext
+    group = f"counted {limit}"
+    context.setJobGroup(group, group)
+    log.add(0, spark.range(0, 300, 1, 3), limit)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    stages = [stage for job in status.getJobIdsForGroup(group) for stage in status.getJobInfo(job).stageIds]
+    assert {status.getStageInfo(stage).numTasks for stage in stages} == tasks
+    assert len(stages) == 1 or limit > admission.ONE_TASK
+    assert rows(log.state()) == [(0, 300, limit)]
+
+
+def test_admission_holds_the_checkpoint_settings(spark, folder, monkeypatch):
+    managers = []
+
+    def noted(writer, checkpoint):
+        managers.append(spark.conf.get(settings.CHECKPOINT_MANAGER, None))
+        return start(writer, checkpoint)
+
+    monkeypatch.setattr(streams, "start", noted)
+    spark.range(500).select(F.col("id").alias("event_id"), F.col("id").alias("user_id")).write.parquet(f"{folder}/events.parquet")
+    assert rows(QUERIES["stream_admission"](spark, folder), "what", "n")[1:] == [("batches", 2), ("rows", 500)]
+    assert managers == [settings.LOCAL_MANAGER] * 2
