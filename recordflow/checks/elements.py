@@ -8,7 +8,9 @@ from recordflow.checks.registry import query
 from recordflow.checks.steps import TARGET, TRANSFORMED, _escaped, ship_schema, transformed
 from recordflow.functions import text
 from recordflow.operators import route
+from recordflow.operators.project import spread
 from recordflow.plans import bindings, steps
+from recordflow.session import task_count
 
 #: The order of elements that the schema wants.
 RANKS = {name.split()[0]: rank for rank, name in enumerate(TARGET.split(", "))}
@@ -112,7 +114,9 @@ def _(tables):
         turn == 1, F.repeat(F.lit("<!---->"), F.lit(5000))).when(
         turn == 2, F.concat(F.repeat(F.lit("<b>"), F.lit(300)), F.repeat(F.lit("</b>"), F.lit(300)))).otherwise(
         F.repeat(F.lit("<b>"), F.lit(30000)))
-    records = tables.documents.where("lang = 'en'").select(
+    # texts are made of the ids alone: what is dealt out is a number a row, and no task is left with all long texts
+    documents = spread(tables.documents.where("lang = 'en'").select("doc_id"), task_count(tables.spark))
+    records = documents.select(
         F.lit("d").alias("dataset_id"), F.col("doc_id").cast("string").alias("record_id"),
         F.concat(F.lit("<record>"), some, F.lit("<title> "), F.col("doc_id").cast("string"), F.lit(" </title></record>")).alias("record_data"))
     return steps.normalization().run(records, "E1").select("record_id", "record_data", "exception")

@@ -25,7 +25,9 @@ _INSTRUCTION = r"<\?.*?(?:\?>|\z)"
 _DOCTYPE = r"<!DOCTYPE[^\[<>]*+(?:\[.*?(?:\]\s*+>|\z)|>)"
 _TAG = r"""<[^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>"""
 _DECLARATION = _TAG.replace("<", r"<!(?!\[CDATA\[)", 1)
-_TEXT = r"[^<]++"
+# Text is greedy, not possessive: the group around it never gives anything back, and the engine runs over
+# greedy characters in a loop of their own.
+_TEXT = r"[^<]+"
 _MARKS = f"{_COMMENT}|{_INSTRUCTION}|{_DOCTYPE}|{_DECLARATION}"
 TOKEN = f"(?s)(?:{_TEXT}|{_COMMENT}|{_CDATA}|{_INSTRUCTION}|{_DOCTYPE}|{_DECLARATION})++|{_TAG}"
 
@@ -36,8 +38,12 @@ _OTHER, _OPEN, _EMPTY, _CLOSE = 0, 1, 2, 3
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is named."""
-    return F.transform(F.array(value), use)[0]
+    """``use(value)`` with the value computed once, however often it is named.
+
+    The value is the start of a fold over nothing, whose end is ``use``: as an array's item it would be copied, and
+    so would what ``use`` gives, once for each ``let`` around it.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, use)
 
 
 def _kind(token: Column) -> Column:
@@ -124,10 +130,11 @@ def scanned(record: Column) -> Column:
             return let(steps, lambda s: F.when(F.aggregate(s, F.lit(0), lambda x, y: x + y) == 0, let(
                 running_sums(s), lambda depths: cut(tokens, kinds, depths))))
 
-        return F.when(F.octet_length(F.array_join(tokens, "")) == F.octet_length(record), let(F.transform(tokens, _kind), of_kinds))
+        found = F.aggregate(tokens, F.lit(0), lambda n, token: n + F.octet_length(token))
+        return F.when(found == F.octet_length(record), let(F.transform(tokens, _kind), of_kinds))
 
     tokens = F.regexp_extract_all(record, F.lit(TOKEN), F.lit(0))
-    return F.when(F.length(record) > 0, let(tokens, of_tokens))
+    return F.when(record != "", let(tokens, of_tokens))
 
 
 def written(part: Column) -> Column:

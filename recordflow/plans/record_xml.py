@@ -22,13 +22,14 @@ def with_parsed(records: DataFrame) -> DataFrame:
     """Adds ``scan`` (the record in parts) and ``xml`` (its fields by name), each once for all uses.
 
     The parser says whether a record is well formed and reads single fields. Lists come from the parts,
-    because the parser copies a list for each item.
+    because the parser copies a list for each item. What the parser refuses is not cut into parts: it may have
+    a mark at every third character, and its parts are of no use to a step.
     """
     data = F.col("record_data")
-    scanned = records.withColumns({
-        "scan": elements.scanned(data),
-        "fields": text.parse_xml(data, FIELDS, {"ignoreNamespace": "true"})})
-    broken = F.col("fields.malformed").isNotNull() | F.col("scan").isNull()
+    parsed = records.withColumn("fields", text.parse_xml(data, FIELDS, {"ignoreNamespace": "true"}))
+    refused = F.col("fields.malformed").isNotNull()
+    scanned = parsed.withColumn("scan", F.when(~refused, elements.scanned(data)))
+    broken = refused | F.col("scan").isNull()
 
     def values(name: str) -> Column:
         return F.when(~broken, F.transform(F.filter("scan.parts", lambda p: p["name"] == name), elements.value_of))
@@ -49,7 +50,9 @@ def name_of(part: Column) -> Column:
 
 def rebuilt(parts: Column) -> Column:
     """The record in its own frame, of the given parts."""
-    return F.concat("scan.head", F.array_join(F.transform(parts, elements.written), ""), "scan.tail")
+    # put together in one go, as a text may be long; null where there are no parts
+    texts = F.transform(parts, lambda p: F.array(p["open"], p["inner"], p["close"]))
+    return F.when(F.col("scan").isNotNull(), F.concat_ws("", "scan.head", F.flatten(texts), "scan.tail"))
 
 
 def with_added(data: Column, root: Column, tail: Column, added: Column) -> Column:

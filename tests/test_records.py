@@ -12,7 +12,7 @@ from recordflow import schema
 from recordflow.checks.steps import TARGET, ship_schema
 from recordflow.functions import text
 from recordflow.operators import enrich, harvest, index, media, progress, route, transform, validate
-from recordflow.plans import record_xml
+from recordflow.plans import record_xml, steps
 from recordflow.sources import landed, messages, store
 
 # An invented weather log in two namespaces.
@@ -397,3 +397,42 @@ def test_packed_pages_give_the_records_of_page_files(spark, folder):
     landed.pack_pages(spark.createDataFrame([("no listing",)], "value string"), f"{folder}/bad")
     with pytest.raises(Exception, match="page is no listing"):
         landed.read_records(spark, f"{folder}/bad", packed=True).collect()
+
+
+def test_what_the_parser_refuses_is_not_cut_into_parts(spark):
+    cases = [("good", "<record><a>1</a></record>"), ("crossed", "<record><a>1</b></record>"), ("open", "<record><a></record>"), ("none", None)]
+    parsed = record_xml.with_parsed(records(spark, *cases))
+    got = {name: (cut, error) for name, cut, error in rows(
+        parsed, "record_id", F.col("scan").isNotNull(), record_xml.malformed())}
+    assert got == {"good": (True, None), **{name: (False, record_xml.MALFORMED) for name in ("crossed", "open", "none")}}
+    plan = steps.normalization().run(records(spark, *cases), "E1")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == plan.count("regexp_extract_all(") == 1  # each once a record
+
+
+def test_a_record_is_rebuilt_as_it_was(spark):
+    cases = [("a", "<!-- x --><record n='1'> one <a>1</a>\n<b/> two <c><d></d></c></record> "), ("b", "<record/>"), ("c", "no record")]
+    parsed = record_xml.with_parsed(records(spark, *cases))
+    assert rows(parsed, "record_id", record_xml.rebuilt(F.col("scan.parts"))) == [*cases[:2], ("c", None)]
+
+
+def test_values_are_bound_once_and_as_they_are(spark):
+    from recordflow.functions import elements
+    got = spark.range(2).select(
+        elements.let(F.when(F.col("id") > 0, F.lit("ab")), lambda x: F.concat(x, x)).alias("text"),
+        elements.let(F.array(F.lit(1), F.lit(None)), lambda x: elements.let(F.size(x), lambda n: n + F.get(x, n - 2) + F.col("id"))).alias("number"),
+        elements.let(F.rand(), lambda x: x == x).alias("same"))
+    assert rows(got) == [("abab", 4, True), (None, 3, True)]
+
+
+def test_texts_of_one_file_are_made_by_many_tasks(spark, folder):
+    from recordflow.checks.registry import QUERIES
+    import recordflow.checks.elements  # noqa: F401
+    spark.createDataFrame([(i, "en" if i % 3 else "de") for i in range(40)], "doc_id bigint, lang string").coalesce(1).write.parquet(
+        f"{folder}/documents.parquet")
+    result = QUERIES["blanks_isolated"](spark, folder)
+    assert result.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+    got = rows(result, "record_id", F.length("record_data"), "exception")
+    frame = len("<record><title></title></record>")
+    assert got == sorted([(str(i), *{
+        0: (frame + 30000 + i + len(str(i)), None), 1: (frame + 35000 + len(str(i)), None),
+        2: (frame + 2100 + len(str(i)), None), 3: (0, "malformed record")}[i % 4]) for i in range(40) if i % 3], key=repr)
